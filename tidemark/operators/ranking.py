@@ -21,11 +21,23 @@ ACCURACY = 20000
 
 
 def _cut_points(value: Column, cuts: int) -> Column:
-    return F.percentile_approx(value, [i / cuts for i in range(1, cuts)], ACCURACY)
+    # One foldable string keeps the plan small; a list of literals would add a node per cut.
+    probs = F.split(F.lit(",".join(str(i / cuts) for i in range(1, cuts))), ",").cast("array<double>")
+    return F.percentile_approx(value, probs, F.lit(ACCURACY))
 
 
-def _below(cuts: str, value: Column) -> Column:
-    return F.size(F.filter(F.col(cuts), lambda c: c < value))
+def _two_level(cuts: Column) -> Column:
+    """Sorted cut points as blocks of 16 plus the last point of each full block."""
+    return F.struct(
+        F.filter(cuts, lambda c, i: i % 16 == 15).alias("ends"),
+        F.transform(F.sequence(F.lit(0), F.floor(F.size(cuts) / 16).cast("int")), lambda i: F.slice(cuts, i * 16 + 1, 16)).alias("blocks"),
+    )
+
+
+def _below(levels: Column, value: Column) -> Column:
+    """How many cut points lie below ``value``: first the block, then the place in it."""
+    block = F.size(F.filter(levels["ends"], lambda c: c < value))
+    return 16 * block + F.size(F.filter(F.get(levels["blocks"], block), lambda c: c < value))
 
 
 def global_positions(
@@ -40,19 +52,15 @@ def global_positions(
     ordered = -F.col(value) if descending else F.col(value)
     src = df.where(F.col(value).isNotNull()).withColumn("_v", ordered)
     bounds = src.agg(
-        F.struct(
-            F.array_distinct(_cut_points(F.col("_v"), cuts)).alias("v"),
-            F.array_distinct(_cut_points(F.col(key), cuts)).alias("k"),
-        ).alias("b")
-    )
+        F.array_distinct(_cut_points(F.col("_v"), cuts)).alias("v"),
+        F.array_distinct(_cut_points(F.col(key), cuts)).alias("k"),
+    ).select(F.struct("v", _two_level(F.col("v")).alias("v2"), _two_level(F.col("k")).alias("k2")).alias("b"))
     marked = (
         src.withColumn("_b", bounds.scalar())
-        .withColumn("_cv", F.col("_b.v"))
-        .withColumn("_ck", F.col("_b.k"))
-        .withColumn("_on_cut", F.array_contains("_cv", F.col("_v")))
-        .withColumn("_vb", 2 * _below("_cv", F.col("_v")) + F.col("_on_cut").cast("int"))
-        .withColumn("_kb", F.when(F.col("_on_cut"), _below("_ck", F.col(key))).otherwise(0))
-        .drop("_b", "_cv", "_ck", "_on_cut")
+        .withColumn("_on_cut", F.array_contains("_b.v", F.col("_v")))
+        .withColumn("_vb", 2 * _below(F.col("_b.v2"), F.col("_v")) + F.col("_on_cut").cast("int"))
+        .withColumn("_kb", F.when(F.col("_on_cut"), _below(F.col("_b.k2"), F.col(key))).otherwise(0))
+        .drop("_b", "_on_cut")
     )
     # At most (2 * cuts) * cuts bucket rows reach this single-partition window.
     running = Window.orderBy("_vb", "_kb").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,11 +115,11 @@ def exact_percentiles(
     )
     if by:
         bounds = hist.groupBy(*by).agg(_cut_points(F.col(value), cuts).alias("_cuts"))
-        marked = hist.join(bounds, by)
+        marked = hist.join(bounds.select(*by, _two_level(F.col("_cuts")).alias("_cuts")), by)
     else:
         bounds = hist.agg(_cut_points(F.col(value), cuts).alias("_cuts"))
-        marked = hist.withColumn("_cuts", bounds.scalar())
-    marked = marked.withColumn("_bucket", _below("_cuts", F.col(value))).drop("_cuts")
+        marked = hist.withColumn("_cuts", bounds.select(_two_level(F.col("_cuts"))).scalar())
+    marked = marked.withColumn("_bucket", _below(F.col("_cuts"), F.col(value))).drop("_cuts")
 
     # At most `cuts` bucket rows per group from here on.
     scope = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
