@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tidemark.plans.registry import REGISTRY, run
 
-for _module in ("p01_windows", "p02_segments", "p03_grouping"):
+for _module in ("p01_windows", "p02_segments", "p03_grouping", "p04_documents", "p05_joins"):
     import_module(f"tidemark.plans.{_module}")
 
 __all__ = ["REGISTRY", "run"]
