@@ -224,3 +224,38 @@ def iqr_outliers(txns: DataFrame, factor: float = 1.5) -> DataFrame:
     )
 
 
+
+
+def trailing_mean(
+    df: DataFrame, key: str, order: Sequence[str], value: str, rows: int, out: str, chunk: str = "MONTH"
+) -> DataFrame:
+    """Mean of ``value`` over the ``rows`` preceding rows of the same key, the current row left out.
+
+    Row positions and running sums are built per (key, time chunk) on top of the
+    chunk totals, and the trailing sum is the difference of two running sums, so
+    a key with very many rows is never ordered in one task. ``order[0]`` is a date.
+    """
+    rows_in = df.withColumn("_chunk", F.date_trunc(chunk, F.col(order[0])))
+    chunks = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        rows_in.groupBy(key, "_chunk")
+        .agg(F.count("*").alias("_n"), F.count(value).alias("_c"), F.sum(value).alias("_s"))
+        .select(key, "_chunk", *[F.coalesce(F.sum(c).over(chunks), F.lit(0)).alias(f"{c}0") for c in ("_n", "_c", "_s")])
+    )
+    inside = Window.partitionBy(key, "_chunk").orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        rows_in.join(starts, [key, "_chunk"])
+        .withColumn("_pos", F.col("_n0") + F.row_number().over(inside))
+        .withColumn("_cnt", F.col("_c0") + F.count(value).over(before))
+        .withColumn("_sum", F.col("_s0") + F.coalesce(F.sum(value).over(before), F.lit(0)))
+        .drop("_chunk", "_n0", "_c0", "_s0")
+    )
+    edge = placed.select(key, (F.col("_pos") + rows).alias("_pos"), F.col("_cnt").alias("_cnt_e"), F.col("_sum").alias("_sum_e"))
+    span_sum = (F.col("_sum") - F.coalesce("_sum_e", F.lit(0))).cast("double")
+    span_cnt = F.col("_cnt") - F.coalesce("_cnt_e", F.lit(0))
+    return (
+        placed.join(edge, [key, "_pos"], "left")
+        .withColumn(out, F.try_divide(span_sum, span_cnt.cast("double")))
+        .drop("_pos", "_cnt", "_sum", "_cnt_e", "_sum_e")
+    )
