@@ -248,6 +248,15 @@ SELECT concat('R-', cast(l_orderkey AS STRING), '-', cast(l_linenumber AS STRING
 FROM {lineitem}
 """
 
+FIXTURES["stg_product"] = """
+SELECT concat('SKU-', cast(p_partkey AS STRING)) AS product_id, p_name AS product_name, p_type AS product_category, p_brand AS brand,
+  cast(cast(p_retailprice AS DECIMAL(14,2)) * CASE WHEN p_partkey % 4 = 0 THEN 1.2 ELSE 1.0 END AS DECIMAL(18,2)) AS list_price,
+  cast(cast(p_retailprice AS DECIMAL(14,2)) * 0.6 AS DECIMAL(18,2)) AS cost_price, p_partkey % 9 <> 0 AS is_active
+FROM {part}
+UNION ALL
+SELECT concat('NEW-', cast(p_partkey AS STRING)), p_name, p_type, p_brand, cast(99.50 AS DECIMAL(18,2)), cast(40.25 AS DECIMAL(18,2)), true FROM {part} WHERE p_partkey % 50 = 7
+"""
+
 FIXTURES["erp"] = """
 SELECT txn_id, txn_no, txn_date, CASE WHEN txn_no % 211 = 0 THEN amount_usd + 1 ELSE amount_usd END AS amount_usd FROM {txn_core} WHERE customer_key % 7 <> 0
 """
@@ -257,10 +266,11 @@ FIXTURES["oms"] = "SELECT txn_id, txn_no, txn_date, amount_usd FROM {txn_core} W
 FIXTURES["customer_cdc"] = """
 SELECT concat('C-', cast(c_custkey AS STRING)) AS customer_id, c_name AS full_name,
   CASE WHEN c_custkey % 5 = 0 THEN 'REASSIGNED' ELSE c_mktsegment END AS customer_segment,
-  CASE WHEN c_acctbal > 7000 THEN 'GOLD' WHEN c_acctbal > 3000 THEN 'SILVER' ELSE 'BRONZE' END AS tier, c_custkey % 10 <> 0 AS is_active
+  CASE WHEN c_acctbal > 7000 THEN 'GOLD' WHEN c_acctbal > 3000 THEN 'SILVER' ELSE 'BRONZE' END AS tier, c_custkey % 10 <> 0 AS is_active,
+  c_custkey % 35 = 0 AS full_load_flag, TIMESTAMP '2001-07-01 00:00:00' + (c_custkey % 50) * INTERVAL '1' DAY AS effective_from
 FROM {customer} WHERE c_custkey % 2 = 0 OR c_custkey % 5 = 0
 UNION ALL
-SELECT concat('N-', cast(c_custkey AS STRING)), c_name, c_mktsegment, 'NEW', true FROM {customer} WHERE c_custkey % 20 = 0
+SELECT concat('N-', cast(c_custkey AS STRING)), c_name, c_mktsegment, 'NEW', true, false, TIMESTAMP '2001-07-05 00:00:00' FROM {customer} WHERE c_custkey % 20 = 0
 """
 
 _PLACEHOLDER = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
