@@ -63,11 +63,11 @@ def replace_window(df: DataFrame, path: str, day: str, first: str, last: str) ->
     and the new rows inside it.
     """
     window = F.col(day).between(day_literal(first), day_literal(last))
-    _rewrite_months(path, day, df.where(window), lambda old: old.where(F.col(MONTH).between(first[:7], last[:7]) & ~window))
+    months = F.col(MONTH).between(first[:7], last[:7])
+    written = _rewrite_months(path, day, df.where(window), lambda old: old.where(months & ~window))
     # Dynamic overwrite cannot empty a partition: a month left without any row would keep its old rows.
-    spark = df.sparkSession
-    empty = read_table(spark, path).where(F.col(MONTH).between(first[:7], last[:7]) & window).join(df, day, "left_anti")
-    if not empty.isEmpty():
+    left_over = read_table(df.sparkSession, path).where(months).join(written.select(MONTH).distinct(), MONTH, "left_anti")
+    if not left_over.isEmpty():
         raise ValueError(f"days of {first}..{last} without new rows fill a whole month; drop that partition first")
 
 
@@ -84,10 +84,12 @@ def refresh_days(base: DataFrame, base_day: str, touched: DataFrame, view: Calla
     _rewrite_months(path, view_day, fresh, lambda old: old.join(months, MONTH, "left_semi").join(gone, view_day, "left_anti"))
 
 
-def _rewrite_months(path: str, day: str, new: DataFrame, survivors: Callable[[DataFrame], DataFrame]) -> None:
+def _rewrite_months(path: str, day: str, new: DataFrame, survivors: Callable[[DataFrame], DataFrame]) -> DataFrame:
     old = survivors(read_table(new.sparkSession, path))
     rows = old.unionByName(_as_table(new.withColumn(MONTH, month_of(day)), old))
-    overwrite_partitions(cut_lineage(rows), path, MONTH)
+    rows = cut_lineage(rows)
+    overwrite_partitions(rows, path, MONTH)
+    return rows
 
 
 def _as_table(df: DataFrame, table: DataFrame) -> DataFrame:
