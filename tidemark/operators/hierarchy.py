@@ -114,24 +114,43 @@ def bom_explosion(bom: DataFrame, root: int) -> DataFrame:
 
 
 def downstream(edges: DataFrame, start_table: str, start_column: str, max_depth: int = 1000) -> DataFrame:
-    """All columns fed by one column, with their shortest distance.
+    """All columns fed by one column, with the length of the longest way to each (0 for direct).
 
-    Columns already reached leave the frontier, so cycles end by themselves.
+    A level holds each reached column once, however many ways lead to it. A cycle
+    has no longest way and raises; ``reachable`` copes with cycles.
     """
-    links = edges.select("source_table", "source_column", "target_table", "target_column").distinct()
-    key = ["target_table", "target_column"]
+    links, heads, start = _links(edges, start_table, start_column)
 
-    def heads(df: DataFrame) -> DataFrame:
-        return df.select(*key).distinct()
+    def down(level: DataFrame) -> DataFrame:
+        return heads(links.join(_as_source(level), ["source_table", "source_column"], "left_semi"))
 
-    start = (F.col("source_table") == start_table) & (F.col("source_column") == start_column)
+    steps = levels(heads(links.where(start)), down, max_depth)
+    marked = [step.withColumn("depth", F.lit(i)) for i, step in enumerate(steps)]
+    return stacked(marked).groupBy("target_table", "target_column").agg(F.max("depth").alias("depth"))
+
+
+def reachable(edges: DataFrame, start_table: str, start_column: str, max_depth: int = 1000) -> DataFrame:
+    """All columns fed by one column with their shortest distance. Columns already
+    reached leave the frontier, so cycles end by themselves.
+    """
+    links, heads, start = _links(edges, start_table, start_column)
+    key = ["target_table", "target_column"]
     frontier = cut_lineage(heads(links.where(start)).withColumn("depth", F.lit(0)))
     seen = frontier
     for depth in range(1, max_depth + 1):
         if frontier.isEmpty():
             return seen
-        came_from = frontier.select(F.col("target_table").alias("source_table"), F.col("target_column").alias("source_column"))
-        reached = heads(links.join(came_from, ["source_table", "source_column"], "left_semi"))
+        reached = heads(links.join(_as_source(frontier), ["source_table", "source_column"], "left_semi"))
         frontier = cut_lineage(reached.join(seen, key, "left_anti").withColumn("depth", F.lit(depth)))
         seen = seen.unionByName(frontier)
     raise ValueError(f"lineage deeper than {max_depth}")
+
+
+def _links(edges: DataFrame, start_table: str, start_column: str):
+    links = edges.select("source_table", "source_column", "target_table", "target_column").distinct()
+    start = (F.col("source_table") == start_table) & (F.col("source_column") == start_column)
+    return links, lambda df: df.select("target_table", "target_column").distinct(), start
+
+
+def _as_source(level: DataFrame) -> DataFrame:
+    return level.select(F.col("target_table").alias("source_table"), F.col("target_column").alias("source_column"))

@@ -195,10 +195,25 @@ SELECT concat('tbl_', cast(floor((p_partkey - 1) / 3) AS BIGINT)) AS source_tabl
   CASE p_size % 4 WHEN 0 THEN 'cast' WHEN 1 THEN 'aggregate' WHEN 2 THEN 'rename' ELSE 'direct' END AS transformation
 FROM {part} WHERE p_partkey > 0
 UNION ALL
-SELECT concat('tbl_', cast(p_partkey AS STRING)), 'c', concat('tbl_', cast(p_partkey - p_partkey % 4 + 5 AS STRING)), 'c', 'direct'
+SELECT concat('tbl_', cast(p_partkey AS STRING)), 'c', concat('tbl_', cast(2 * p_partkey + 3 AS STRING)), 'c', 'direct'
 FROM {part} WHERE p_partkey % 4 = 1
 """
 
+FIXTURES["view_texts"] = """
+SELECT concat('v_', cast(p_partkey AS STRING)) AS target_table,
+  concat('SELECT src_', cast(p_partkey % 50 AS STRING), '.amount AS amt, CAST(src_', cast(p_partkey % 50 AS STRING), '.price AS STRING) AS price_txt, src_',
+    cast(p_partkey % 50 AS STRING), '.qty * 2 AS dbl, other.z AS zz, plain FROM src_', cast(p_partkey % 50 AS STRING), ' WHERE x > ', cast(p_size AS STRING)) AS view_sql
+FROM {part}
+"""
+
+FIXTURES["upload"] = """
+SELECT event_id + 2 AS row_no, CASE WHEN event_id % 40 = 7 THEN concat('E-', cast(event_id - 1 AS STRING)) ELSE concat('E-', cast(event_id AS STRING)) END AS txn_id,
+  CASE WHEN event_id % 31 = 0 THEN ' ' ELSE cast(user_id AS STRING) END AS customer_id,
+  CASE WHEN event_id % 17 = 0 THEN concat('-', cast(cast(value AS DECIMAL(14,2)) AS STRING)) WHEN event_id % 101 = 0 THEN '75000.5' WHEN event_id % 57 = 0 THEN 'n/a' ELSE cast(cast(value AS DECIMAL(14,2)) AS STRING) END AS amount_usd,
+  CASE WHEN event_type = 'error' THEN 'REFUND' ELSE 'PAYMENT' END AS txn_type, CASE WHEN event_id % 23 = 0 THEN 'weird' ELSE 'posted' END AS status, event_type AS promo
+FROM {events}
+"""
+
 FIXTURES["dq_results"] = """
 SELECT o_orderkey AS run_id, o_orderdate + (o_orderkey % 120) * INTERVAL '1' MINUTE AS run_timestamp, cast(o_orderdate AS DATE) AS run_date,
   concat('DQ-', cast(o_custkey % 50 AS STRING)) AS rule_id, concat('core.tbl_', cast(o_custkey % 12 AS STRING)) AS table_id, concat('col_', cast(o_custkey % 5 AS STRING)) AS column_name,
