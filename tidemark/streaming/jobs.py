@@ -89,16 +89,24 @@ def baseline_rate(history: DataFrame, minutes: int, when: str = "event_timestamp
     return history.agg((F.count("*") / windows).alias("per_window"))
 
 
-def low_volume(events: DataFrame, per_window: float, minutes: int = 5, floor: float = 0.6, when: str = "event_timestamp") -> DataFrame:
-    """Windows below floor x baseline between the first and last event, windows without events included."""
-    counts = events.groupBy(F.window(when, f"{minutes} minutes").alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "n")
-    span = counts.agg(F.explode(F.sequence(F.min("window_start"), F.max("window_start"), F.expr(f"INTERVAL {int(minutes)} MINUTES"))).alias("window_start"))
-    return span.join(counts, "window_start", "left").select("window_start", F.coalesce("n", F.lit(0)).alias("events")).where(F.col("events") <= floor * per_window)
+def final_counts(events: DataFrame, minutes: int, late: str = "0 seconds", when: str = "event_timestamp") -> DataFrame:
+    """Counts of windows the watermark has closed. A window still open is not judged."""
+    windows = events.withWatermark(when, late).groupBy(F.window(when, f"{minutes} minutes").alias("w")).agg(F.count("*").alias("events"))
+    return windows.select(F.col("w.start").alias("window_start"), "events")
 
 
-def volume_guard(events: DataFrame, path: str, checkpoint: str, per_window: float, minutes: int = 5, floor: float = 0.6) -> StreamingQuery:
-    """Report windows whose volume fell below the guardrail."""
-    return each_batch(events, checkpoint, lambda df, batch: write_batch(low_volume(df, per_window, minutes, floor), batch, path))
+def volume_guard(events: DataFrame, path: str, checkpoint: str, per_window: float, minutes: int = 5, floor: float = 0.6, late: str = "0 seconds") -> StreamingQuery:
+    """Closed windows with a flag on those whose volume fell below the guardrail."""
+    flagged = final_counts(events, minutes, late).withColumn("low", F.col("events") <= floor * per_window)
+    return each_batch(flagged, checkpoint, lambda df, batch: write_batch(df, batch, path))
+
+
+def low_windows(closed: DataFrame, minutes: int) -> DataFrame:
+    """Flagged windows and, between the first and last closed window, those without any event."""
+    step = F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    span = closed.agg(F.explode(F.sequence(F.min("window_start"), F.max("window_start"), step)).alias("window_start"))
+    filled = span.join(closed.select("window_start", "events", "low"), "window_start", "left")
+    return filled.where(F.coalesce("low", F.lit(True))).select("window_start", F.coalesce("events", F.lit(0)).alias("events"))
 
 
 def is_late(loaded: str, happened: str, limit: str) -> Column:
