@@ -24,30 +24,30 @@ from tidemark.operators.ranking import ntile_by_value
 def executive_daily(txns: DataFrame, units: DataFrame, regions: DataFrame, products: DataFrame) -> DataFrame:
     """V1: KPIs by day, business unit and region.
 
-    The facts are first combined per (day, unit, region, customer, product), so
-    the dimension join and the distinct count see combined rows only.
+    Rows are combined per (day, unit, region, customer) and then per cell, so the
+    distinct customers are a plain count and a hot cell is spread over its customers.
     """
     good = counts_as_gmv()
-    combined = txns.groupBy("txn_date", "bu_code", "region_key", "customer_key", "product_key").agg(
-        count_where(good).alias("n"),
-        sum_where("amount_usd", good).alias("gmv"),
-        sum_where(F.abs("amount_usd"), F.col("txn_type") == "REFUND").alias("refunds"),
-        F.sum("amount_usd").alias("total"),
-    )
     margins = products.where("is_current").select("product_key", "margin_pct")
-    weighted = (F.col("total") * F.col("margin_pct")).cast("decimal(38,6)")
-    kpis = (
-        combined.join(margins, "product_key", "left")
-        .groupBy("txn_date", "bu_code", "region_key")
+    per_customer = (
+        txns.join(margins, "product_key", "left")
+        .groupBy("txn_date", "bu_code", "region_key", "customer_key")
         .agg(
-            F.sum("n").alias("txn_count"),
-            F.count_distinct(F.when(F.col("n") > 0, F.col("customer_key"))).alias("active_customers"),
-            F.sum("gmv").alias("gmv_usd"),
-            F.sum("refunds").alias("refunds_usd"),
-            ratio(F.sum("gmv"), F.sum("n"), 2).alias("avg_order_value_usd"),
-            ratio(F.sum(weighted), F.sum("total"), 4).alias("blended_margin_rate"),
+            count_where(good).alias("n"),
+            sum_where("amount_usd", good).alias("gmv"),
+            sum_where(F.abs("amount_usd"), F.col("txn_type") == "REFUND").alias("refunds"),
+            F.sum("amount_usd").alias("total"),
+            F.sum(F.col("amount_usd") * F.col("margin_pct")).alias("weighted"),
         )
     )
+    kpis = per_customer.groupBy("txn_date", "bu_code", "region_key").agg(
+        F.sum("n").alias("txn_count"),
+        count_where(F.col("n") > 0).alias("active_customers"),
+        F.sum("gmv").alias("gmv_usd"),
+        F.sum("refunds").alias("refunds_usd"),
+        ratio(F.sum("gmv"), F.sum("n"), 2).alias("avg_order_value_usd"),
+        ratio(F.sum("weighted"), F.sum("total"), 4).alias("blended_margin_rate"),
+    )
     return (
         kpis.join(units, "bu_code")
         .join(regions.select("region_key", "region_name"), "region_key")

@@ -114,7 +114,7 @@ def rapid_repeat(df: DataFrame, same: Sequence[str], when: str, ident: str, minu
     and the next bucket, however many rows its key has.
     """
     width = minutes * 60
-    bucket = F.floor(F.unix_seconds(F.col(when).cast("timestamp")) / width)
+    bucket = F.floor(F.unix_seconds(F.col(when).cast("timestamp_ltz")) / width)
     base = df.select(*same, F.col(when), F.col(ident), bucket.alias("_b"))
     first = base.select(*same, F.col(when).alias("_t1"), F.col(ident).alias("first_id"), F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"))
     second = base.select(*same, F.col(when).alias("_t2"), F.col(ident).alias("second_id"), "_b")

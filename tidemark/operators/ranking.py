@@ -2,11 +2,14 @@
 
 A global ``ntile`` / ``percent_rank`` / ``percentile`` needs the position of a
 row in a total order. An unpartitioned window would move every row into one
-task. Here the value range is cut at approximate quantiles (one small row of
-cut points), rows are counted per bucket, and the running count per bucket
-gives each bucket its exact start position. Only the order inside a bucket is
-then left, which is an ordinary partitioned window. The cut points affect
-balance only, never the result.
+task. Here the rows are range-partitioned on the full order (Spark samples the
+cut points), the partition number is kept as a bucket, and the running count per
+bucket gives each bucket its exact start position. Only the order inside a
+bucket is then left, which is an ordinary partitioned window.
+
+The bucketed rows are checkpointed once: every later step sees the same buckets,
+also after an executor is lost, and the input is computed only once. Building
+these frames therefore runs a job.
 """
 
 from __future__ import annotations
@@ -16,67 +19,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CUTS = 256
-ACCURACY = 20000
+from tidemark.session import cut_lineage
 
 
-def _cut_points(value: Column, cuts: int) -> Column:
-    # One foldable string keeps the plan small; a list of literals would add a node per cut.
-    probs = F.split(F.lit(",".join(str(i / cuts) for i in range(1, cuts))), ",").cast("array<double>")
-    return F.percentile_approx(value, probs, F.lit(ACCURACY))
+MIN_RANGES = 32
 
 
-def _two_level(cuts: Column) -> Column:
-    """Sorted cut points as blocks of 16 plus the last point of each full block."""
-    return F.struct(
-        F.filter(cuts, lambda c, i: i % 16 == 15).alias("ends"),
-        F.transform(F.sequence(F.lit(0), F.floor(F.size(cuts) / 16).cast("int")), lambda i: F.slice(cuts, i * 16 + 1, 16)).alias("blocks"),
-    )
-
-
-def _below(levels: Column, value: Column) -> Column:
-    """How many cut points lie below ``value``: first the block, then the place in it."""
-    block = F.size(F.filter(levels["ends"], lambda c: c < value))
-    return 16 * block + F.size(F.filter(F.get(levels["blocks"], block), lambda c: c < value))
+def _in_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows with the number of their value range. More ranges than shuffle partitions keep each one small."""
+    ranges = max(MIN_RANGES, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return cut_lineage(df.repartitionByRange(ranges, *order).withColumn("_bucket", F.spark_partition_id()))
 
 
-def global_positions(
-    df: DataFrame, value: str, key: str, descending: bool = False, cuts: int = CUTS
-) -> DataFrame:
+def global_positions(df: DataFrame, value: str, key: str, descending: bool = False) -> DataFrame:
     """Add ``position`` (1-based rank in the order value, key) and ``population``.
 
-    ``value`` and ``key`` are numeric and ``key`` is unique. A value shared by
-    many rows gets its own buckets, split again by key, so a hot value cannot
-    pile up in one task.
+    ``key`` is unique, so a value shared by many rows is still cut into ranges.
     """
-    ordered = -F.col(value) if descending else F.col(value)
-    src = df.where(F.col(value).isNotNull()).withColumn("_v", ordered)
-    bounds = src.agg(
-        F.array_distinct(_cut_points(F.col("_v"), cuts)).alias("v"),
-        F.array_distinct(_cut_points(F.col(key), cuts)).alias("k"),
-    ).select(F.struct("v", _two_level(F.col("v")).alias("v2"), _two_level(F.col("k")).alias("k2")).alias("b"))
-    marked = (
-        src.withColumn("_b", bounds.scalar())
-        .withColumn("_on_cut", F.array_contains("_b.v", F.col("_v")))
-        .withColumn("_vb", 2 * _below(F.col("_b.v2"), F.col("_v")) + F.col("_on_cut").cast("int"))
-        .withColumn("_kb", F.when(F.col("_on_cut"), _below(F.col("_b.k2"), F.col(key))).otherwise(0))
-        .drop("_b", "_on_cut")
-    )
-    # At most (2 * cuts) * cuts bucket rows reach this single-partition window.
-    running = Window.orderBy("_vb", "_kb").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col(value).desc() if descending else F.col(value).asc()
+    placed = _in_ranges(df.where(F.col(value).isNotNull()), first, F.col(key).asc())
+    # One row per range partition reaches this single-partition window.
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        marked.groupBy("_vb", "_kb")
+        placed.groupBy("_bucket")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(running), F.lit(0)))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .withColumn("population", F.sum("_n").over(Window.partitionBy(F.lit(1))))
         .drop("_n")
     )
-    inside = Window.partitionBy("_vb", "_kb").orderBy("_v", key)
-    return (
-        marked.join(starts, ["_vb", "_kb"])
-        .withColumn("position", F.col("_start") + F.row_number().over(inside))
-        .drop("_vb", "_kb", "_v", "_start")
-    )
+    inside = Window.partitionBy("_bucket").orderBy(first, F.col(key).asc())
+    return placed.join(starts, "_bucket").withColumn("position", F.col("_start") + F.row_number().over(inside)).drop("_bucket", "_start")
 
 
 def tile_of(position: str | Column, population: str | Column, tiles: int) -> Column:
@@ -98,30 +70,17 @@ def ntile_by_value(
     return placed.withColumn(out, tile_of("position", "population", tiles)).drop("position", "population")
 
 
-def exact_percentiles(
-    df: DataFrame, value: str, probs: Sequence[tuple[str, float]], by: Sequence[str] = (), cuts: int = CUTS
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, value: str, probs: Sequence[tuple[str, float]], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated percentiles, one row per group (one row in all when ``by`` is empty).
 
-    Works on the value histogram, so repeated values collapse before any
-    shuffle, and a hot group is spread over its value buckets.
+    Works on the value histogram, so repeated values collapse before they are
+    ordered, and a hot group is spread over several value ranges.
     """
     by = list(by)
-    hist = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count("*").alias("_n"))
-        .where("_n > 0")
-    )
-    if by:
-        bounds = hist.groupBy(*by).agg(_cut_points(F.col(value), cuts).alias("_cuts"))
-        marked = hist.join(bounds.select(*by, _two_level(F.col("_cuts")).alias("_cuts")), by)
-    else:
-        bounds = hist.agg(_cut_points(F.col(value), cuts).alias("_cuts"))
-        marked = hist.withColumn("_cuts", bounds.select(_two_level(F.col("_cuts"))).scalar())
-    marked = marked.withColumn("_bucket", _below(F.col("_cuts"), F.col(value))).drop("_cuts")
-
-    # At most `cuts` bucket rows per group from here on.
+    hist = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    marked = _in_ranges(hist, *by, value)
+
+    # At most one row per group and range partition from here on.
     scope = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
     run = scope.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (

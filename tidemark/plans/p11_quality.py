@@ -79,7 +79,7 @@ def _(t):
     return active_rules(t.dq_rules).select("rule_id", "table_id", "column_name")
 
 
-SEED_TABLES = ["transactions", "support_cases", "dim_customer", "ops_events", "pipeline_runs", "table_catalog"]
+SEED_TABLES = ["txn_core", "support_cases", "dim_customer", "ops_events", "pipeline_runs", "table_catalog"]
 
 
 def _seed_oracle() -> str:
@@ -91,15 +91,15 @@ def _seed_oracle() -> str:
 
     known = "NOT IN (SELECT customer_key FROM dim_customer)"
     parts = [
-        uniq("TXN-1", "transactions", "txn_id"),
-        rows("TXN-2", "COMPLETENESS", "transactions", "customer_key IS NULL", 0.001),
-        rows("TXN-3", "VALIDITY", "transactions", "txn_type NOT IN ('DEPOSIT', 'WITHDRAWAL', 'PAYMENT', 'TRANSFER', 'FEE', 'REFUND', 'CHARGEBACK')", 0.001),
-        rows("TXN-4", "VALIDITY", "transactions", "amount_usd < 0 AND txn_type NOT IN ('REFUND', 'CHARGEBACK')", 0.002),
-        rows("TXN-5", "INTEGRITY", "transactions", f"customer_key {known}", 0),
-        """SELECT 'TXN-6', 'transactions', 'VOLUME', 'WARNING', 0.0::DOUBLE, 1, count(*) FILTER (n < 0.5 * a) FROM (SELECT txn_date, count(*) AS n, avg(count(*)) OVER (ORDER BY txn_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS a
-           FROM transactions GROUP BY txn_date) WHERE txn_date = (SELECT max(txn_date) FROM transactions)""",
-        f"SELECT 'TXN-7', 'transactions', 'FRESHNESS', 'ERROR', 0.0::DOUBLE, 1, (date_sub('hour', max(etl_loaded_at), TIMESTAMP '{NOW}') > 24)::INT FROM transactions",
-        rows("TXN-8", "TIMELINESS", "transactions", "etl_loaded_at > txn_date::TIMESTAMP + INTERVAL 12 HOUR", 0.02, "WARNING"),
+        uniq("TXN-1", "txn_core", "txn_id"),
+        rows("TXN-2", "COMPLETENESS", "txn_core", "customer_key IS NULL", 0.001),
+        rows("TXN-3", "VALIDITY", "txn_core", "txn_type NOT IN ('DEPOSIT', 'WITHDRAWAL', 'PAYMENT', 'TRANSFER', 'FEE', 'REFUND', 'CHARGEBACK')", 0.001),
+        rows("TXN-4", "VALIDITY", "txn_core", "amount_usd < 0 AND txn_type NOT IN ('REFUND', 'CHARGEBACK')", 0.002),
+        rows("TXN-5", "INTEGRITY", "txn_core", f"customer_key {known}", 0),
+        """SELECT 'TXN-6', 'txn_core', 'VOLUME', 'WARNING', 0.0::DOUBLE, 1, count(*) FILTER (n < 0.5 * a) FROM (SELECT txn_date, count(*) AS n, avg(count(*)) OVER (ORDER BY txn_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS a
+           FROM txn_core GROUP BY txn_date) WHERE txn_date = (SELECT max(txn_date) FROM txn_core)""",
+        f"SELECT 'TXN-7', 'txn_core', 'FRESHNESS', 'ERROR', 0.0::DOUBLE, 1, (date_sub('hour', max(etl_loaded_at), TIMESTAMP '{NOW}') > 24)::INT FROM txn_core",
+        rows("TXN-8", "TIMELINESS", "txn_core", "etl_loaded_at > txn_date::TIMESTAMP + INTERVAL 12 HOUR", 0.02, "WARNING"),
         uniq("CASE-1", "support_cases", "case_number"),
         rows("CASE-2", "VALIDITY", "support_cases", "priority NOT IN ('P1', 'P2', 'P3', 'P4')", 0.001),
         rows("CASE-3", "INTEGRITY", "support_cases", f"customer_key {known}", 0.001),
@@ -123,7 +123,7 @@ SEED = _seed_oracle()
 
 
 def _seed_results(t):
-    return E.run_checks(t.spark, {n: getattr(t, n) for n in SEED_TABLES}, seed_rules(as_of_ts=NOW))
+    return E.run_checks(t.spark, {n: getattr(t, n) for n in SEED_TABLES}, seed_rules(transactions="txn_core", as_of_ts=NOW))
 
 
 @query("d11_run_checks", f"WITH {SEED} SELECT rule_id, table_id, dimension, severity, c::BIGINT AS rows_checked, f::BIGINT AS rows_failed, observed_value, status FROM results")

@@ -145,7 +145,7 @@ def _(t):
           (SELECT {div('sum(cost_usd)', '(sum(bytes_processed) / (1024 * 1e9))')} FROM query_cost) AS cost_per_tb FROM m""",
 )
 def _(t):
-    return A.executive_kpis(t.transactions, t.dim_product, t.ops_events, t.support_cases, t.dq_health, t.query_cost, ORDERS_AS_OF, EVENTS_AS_OF, None)
+    return A.executive_kpis(t.txn_core, t.dim_product, t.ops_events, t.support_cases, t.dq_health, t.query_cost, ORDERS_AS_OF, EVENTS_AS_OF, None)
 
 
 @query(

@@ -21,7 +21,7 @@ def _stream(t, fixture: str, base: str) -> DataFrame:
 
 
 def _ops_stream(t) -> DataFrame:
-    return _stream(t, "ops_events", "events").withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    return _stream(t, "ops_events", "events").withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ltz"))
 
 
 def _with_copies(events: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import count_where, half_up
 from tidemark.operators.alerts import alert_rows
 
-EVENT_SCHEMA = "event_id BIGINT, event_timestamp TIMESTAMP, event_type STRING, source_system STRING, status STRING, latency_ms DOUBLE, payload STRING"
+EVENT_SCHEMA = "event_id BIGINT, event_timestamp TIMESTAMP_LTZ, event_type STRING, source_system STRING, status STRING, latency_ms DOUBLE, payload STRING"
 
 
 def parse_events(raw: DataFrame, body: str = "body", schema: str = EVENT_SCHEMA) -> DataFrame:
@@ -83,7 +83,7 @@ def latest_hours(table: DataFrame) -> DataFrame:
 
 def baseline_rate(history: DataFrame, minutes: int, when: str = "event_timestamp") -> DataFrame:
     """Mean events per window over the span of the history, empty windows included."""
-    first, last = F.min(when).cast("timestamp"), F.max(when).cast("timestamp")
+    first, last = F.min(when).cast("timestamp_ltz"), F.max(when).cast("timestamp_ltz")
     width = 60 * minutes
     windows = F.floor(F.unix_seconds(last) / width) - F.floor(F.unix_seconds(first) / width) + 1
     return history.agg((F.count("*") / windows).alias("per_window"))
