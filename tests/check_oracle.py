@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -62,7 +63,9 @@ def main() -> int:
     sf = args[0] if args else "0.01"
     prefixes = tuple(args[1:])
     folder = f"/root/testdata/sf{sf}"
-    spark = local_session("oracle-check")
+    # CHECK_CONF="key=value;key=value" tries the queries under other session settings.
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("CHECK_CONF", "").split(";") if kv)
+    spark = local_session("oracle-check", **extra)
     con = connect(folder)
     oracles = oracle_sql()
     bad = 0
