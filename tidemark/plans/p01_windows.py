@@ -33,7 +33,7 @@ def _(t):
 @query(
     "q003_rank_metric",
     f"""WITH day_region AS (SELECT txn_date, region_key, sum(amount_usd) AS g FROM transactions WHERE {GMV} GROUP BY ALL)
-        SELECT txn_date, region_key, g::DOUBLE AS gmv_usd, rank() OVER w AS rank_standard, dense_rank() OVER w AS rank_dense
+        SELECT txn_date, region_key, g::DOUBLE AS gmv_usd, (rank() OVER w)::INT AS rank_standard, (dense_rank() OVER w)::INT AS rank_dense
         FROM day_region WINDOW w AS (PARTITION BY txn_date ORDER BY g DESC)""",
 )
 def _(t):
@@ -82,7 +82,7 @@ def _(t):
 @query(
     "q007_decile_by_value",
     f"""WITH ltv AS (SELECT customer_key, sum(amount_usd) AS v FROM txn_core WHERE {GMV} GROUP BY customer_key)
-        SELECT customer_key, v::DOUBLE AS lifetime_value, ntile(10) OVER (ORDER BY v DESC, customer_key) AS ltv_decile FROM ltv""",
+        SELECT customer_key, v::DOUBLE AS lifetime_value, (ntile(10) OVER (ORDER BY v DESC, customer_key))::INT AS ltv_decile FROM ltv""",
 )
 def _(t):
     return W.decile_by_value(t.txn_core)
@@ -130,7 +130,7 @@ def _(t):
 @query(
     "q012_rank_and_trend",
     f"""WITH x AS (SELECT txn_date, bu_code, sum(amount_usd) AS g FROM transactions WHERE {GMV} GROUP BY ALL)
-        SELECT txn_date, bu_code, g::DOUBLE AS gmv_usd, rank() OVER (PARTITION BY txn_date ORDER BY g DESC) AS rank_today,
+        SELECT txn_date, bu_code, g::DOUBLE AS gmv_usd, (rank() OVER (PARTITION BY txn_date ORDER BY g DESC))::INT AS rank_today,
           {r("(sum(g) OVER w)::DOUBLE / (count(g) OVER w)", 2)} AS trailing_avg
         FROM x WINDOW w AS (PARTITION BY bu_code ORDER BY txn_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 )

@@ -51,7 +51,7 @@ def _(t):
           count(DISTINCT account_key) AS account_count FROM txn_core WHERE {GMV} GROUP BY customer_key),
         o AS (SELECT customer_key, count(*) AS n FROM support_cases WHERE status = 'OPEN' GROUP BY customer_key)
         SELECT customer_key, customer_id, full_name, customer_segment, tier, is_active, total_txns, v::DOUBLE AS lifetime_value_usd, last_txn_date, d AS days_since_last_txn, account_count,
-          ntile(4) OVER (ORDER BY v DESC, customer_key) AS value_quartile, ntile(4) OVER (ORDER BY d, customer_key) AS recency_quartile, coalesce(n, 0) AS open_cases,
+          (ntile(4) OVER (ORDER BY v DESC, customer_key))::INT AS value_quartile, (ntile(4) OVER (ORDER BY d, customer_key))::INT AS recency_quartile, coalesce(n, 0) AS open_cases,
           CASE WHEN d <= 30 THEN 'ACTIVE' WHEN d <= 90 THEN 'AT_RISK' WHEN d <= 180 THEN 'DORMANT' ELSE 'LAPSED' END AS engagement_status
         FROM dim_customer JOIN a USING (customer_key) LEFT JOIN o USING (customer_key)""",
 )
@@ -147,7 +147,7 @@ def _(t):
     return _loaded_customers(t).select("customer_id", *ATTRS, "valid_from", "valid_to", "is_current")
 
 
-@query("l1_scd2_customer_keys", f"WITH {L1_ROWS} SELECT count(*) AS row_count, count(*) AS key_count, 0 AS lowest, count(*) - 1 AS highest FROM loaded")
+@query("l1_scd2_customer_keys", f"WITH {L1_ROWS} SELECT count(*) AS row_count, count(*) AS key_count, 0::BIGINT AS lowest, count(*) - 1 AS highest FROM loaded")
 def _(t):
     """Surrogate keys are unique and without gaps."""
     return _loaded_customers(t).agg(

@@ -138,7 +138,7 @@ def _(t):
     return rows.select("rule_id", F.get_json_object("failing_row", "$.txn_no").alias("txn_no"))
 
 
-@query("d13_persist_results", f"WITH {SEED} SELECT count(*) * 2 AS result_rows, 2 AS runs, 1 AS days FROM results")
+@query("d13_persist_results", f"WITH {SEED} SELECT count(*) * 2 AS result_rows, 2::BIGINT AS runs, 1::BIGINT AS days FROM results")
 def _(t):
     """Two runs appended to the result table; nothing of the first is lost."""
     from tidemark.loads.partitions import append_rows, read_table
