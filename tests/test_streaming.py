@@ -43,6 +43,11 @@ def test_hourly_table_after_several_batches(spark):
     S.hourly_events(stream_table(spark, source, 1), out, ck).awaitTermination()
     got = {r.event_hour: (r.event_count, r.failures) for r in S.latest_hours(read_table(spark, out)).collect()}
     assert got == {T0: (1, 0), T0 + dt.timedelta(hours=1): (3, 2)}
+    small = run_dir(spark, "compacted")
+    S.compact_hours(read_table(spark, out), small)
+    compacted = read_table(spark, small)
+    assert compacted.count() == 2
+    assert sorted(S.latest_hours(compacted).collect()) == sorted(S.latest_hours(read_table(spark, out)).collect())
 
 
 def test_a_repeated_batch_leaves_the_same_rows(spark):

@@ -307,7 +307,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.folder = folder.rstrip("/")
+        self.folder = str(folder).rstrip("/")
         self._seen: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:

@@ -71,14 +71,25 @@ def hourly_events(events: DataFrame, path: str, checkpoint: str, late: str = "1
     return each_batch(hourly_counts(events, late), checkpoint, lambda df, batch: write_batch(df, batch, path), "update")
 
 
+HOUR_KEYS = ["event_hour", "source_system", "event_type"]
+HOUR_VALUES = ["event_count", "latency_sum", "latency_n", "failures"]
+
+
+def newest_values(table: DataFrame) -> DataFrame:
+    """One row per hour, the one written by the highest batch."""
+    newest = table.groupBy(*HOUR_KEYS).agg(F.max("batch_id").alias("batch_id"), F.max_by(F.struct(*HOUR_VALUES), "batch_id").alias("v"))
+    return newest.select(*HOUR_KEYS, *[F.col(f"v.{c}").alias(c) for c in HOUR_VALUES], "batch_id")
+
+
+def compact_hours(table: DataFrame, path: str) -> None:
+    """Copy the newest values to a new path, so the table stops growing with the number of batches."""
+    newest_values(table).hint("rebalance", "batch_id").write.partitionBy("batch_id").parquet(path)
+
+
 def latest_hours(table: DataFrame) -> DataFrame:
-    """The newest value of each hour: the one of the highest batch."""
-    value = F.struct("event_count", "latency_sum", "latency_n", "failures")
-    newest = table.groupBy("event_hour", "source_system", "event_type").agg(F.max_by(value, "batch_id").alias("v"))
-    return newest.select(
-        "event_hour", "source_system", "event_type", F.col("v.event_count").alias("event_count"),
-        half_up(F.try_divide(F.col("v.latency_sum").cast("double"), F.col("v.latency_n").cast("double")), 0).alias("avg_latency_ms"), F.col("v.failures").alias("failures"),
-    )
+    """R3 as a report: counts, mean latency and failures of each hour."""
+    mean = F.try_divide(F.col("latency_sum").cast("double"), F.col("latency_n").cast("double"))
+    return newest_values(table).select(*HOUR_KEYS, "event_count", half_up(mean, 0).alias("avg_latency_ms"), "failures")
 
 
 def baseline_rate(history: DataFrame, minutes: int, when: str = "event_timestamp") -> DataFrame:
