@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import hierarchy as H
 from tidemark.operators import incidents as S
+from tidemark.operators.business import stale_dashboards
 from tidemark.operators.health import freshness_report, schema_drift
 from tidemark.operators.segments import last_success
 from tidemark.operators.windows import gmv_by
 from tidemark.plans.p01_windows import GMV
 from tidemark.plans.p02_segments import NOW
-from tidemark.plans.registry import ORDERS_AS_OF, avg, div, pct, query, r
+from tidemark.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, avg, div, pct, query, r
 
 DIGITAL = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 IN_DIGITAL = "channel_code IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
@@ -233,6 +234,11 @@ ENTRIES = {
         """SELECT date_trunc('week', activity_date)::DATE AS week_start, count(DISTINCT employee_key) AS active_users, count(*) FILTER (activity_type = 'QUERY') AS queries,
            count(*) FILTER (activity_type = 'DASHBOARD_VIEW') AS views FROM activity GROUP BY 1""",
     ),
+    "s19b_stale_resources": (
+        lambda t: stale_dashboards(t.activity, EVENTS_AS_OF, days=1).drop("views"),
+        f"""SELECT resource_name, count(DISTINCT employee_key) AS viewers, max(activity_date) AS last_viewed,
+            CASE WHEN max(activity_date) < DATE '{EVENTS_AS_OF}' - 1 THEN 'STALE' ELSE 'ACTIVE' END AS usage FROM activity WHERE app_name = 'Tableau' GROUP BY resource_name""",
+    ),
     "s19c_usage_by_department": (
         lambda t: S.usage_by_department(t.activity, t.employees),
         "SELECT department, count(DISTINCT a.employee_key) AS users, count(*) FILTER (activity_type = 'QUERY') AS queries FROM activity a JOIN employees e ON e.employee_key = a.employee_key GROUP BY department",
