@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, simhash
+from tidemark.llm import decontaminate, fixity, langid, packing, pii, pivots, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,12 +23,49 @@ def query(name: str, table: str, oracle: str | None = None):
     return add
 
 
+@query("op1_secret_scan", "documents")
+def op1(docs: DataFrame) -> DataFrame:
+    return secrets.report(docs)
+
+
+@query("op3_shard", "documents")
+def op3(docs: DataFrame) -> DataFrame:
+    return sharding.shard_documents(docs)
+
+
+@query("op4_language_id", "documents")
+def op4(docs: DataFrame) -> DataFrame:
+    return langid.identify(docs)
+
+
+@query("op5_fixity_audit", "pages")
+def op5(pages: DataFrame) -> DataFrame:
+    return fixity.audit_pages(pages)
+
+
 @query("op6_best_fit_pack", "documents")
 def op6(docs: DataFrame) -> DataFrame:
     return packing.pack_documents(docs)
 
 
+@query("op7_pseudonyms", "documents")
+def op7(docs: DataFrame) -> DataFrame:
+    return pii.report(docs)
+
+
+@query("op8_pivot_search", "embeddings")
+def op8(vectors: DataFrame) -> DataFrame:
+    return pivots.nearest(vectors)
+
+
 @query("op9_simhash_dedup", "documents")
 def op9(docs: DataFrame) -> DataFrame:
     found = simhash.near_duplicates(docs)
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+QUERIES["op10_decontaminate"] = op10
