@@ -11,7 +11,7 @@ and drawn within a class by their counts, so the probabilities of all ids add up
 to one. Texts are cut into blocks of ``BLOCK`` ids; a window is a block and the
 block before it, windows overlap by half and score the ids of their last block,
 so each id is scored once. Training runs on every partition at once and
-averages; every training document takes part with one window in ``ONE_IN``.
+averages; the passages of all training documents take part, one in ``ONE_IN`` each round.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from tidemark.session import cut_lineage, run_dir
 #: Ids of the tokenizer: all, the mark before a text and the mark after it.
 VOCABULARY, START, END = 49_408, 49_406, 49_407
 BLOCK, WIDTH, CLASSES, OWN_ROWS = 32, 16, 64, 1024
-#: Share of the windows that a training round takes, rounds, and windows in a step.
-ONE_IN, TRAIN_ROUNDS, STEP = 12, 2, 64
+#: Words of a training passage, share of the passages that a training round takes, rounds, and windows in a step.
+PASSAGE, ONE_IN, TRAIN_ROUNDS, STEP = 48, 12, 2, 64
 #: Documents and bytes of text whose words are counted together.
 CHUNK_DOCS, CHUNK_BYTES = 4096, 16 << 20
 SEED = 17
@@ -208,7 +208,7 @@ def _coded(texts: list, path: str):
     import numpy as np
 
     ids, end = word_ids(path), END.to_bytes(4, "little")
-    return [np.frombuffer(b"".join(ids.of_words((t or b"").lower().split())) + end, "<u4").astype(np.int32) for t in texts]
+    return [np.frombuffer(ids.of_words((t or b"").lower().split()) + end, "<u4").astype(np.int32) for t in texts]
 
 
 def _parts(batch, rows: int = CHUNK_DOCS, size: int = CHUNK_BYTES):
@@ -226,22 +226,22 @@ def _parts(batch, rows: int = CHUNK_DOCS, size: int = CHUNK_BYTES):
         yield batch.slice(a)
 
 
-def id_counts(train: DataFrame, path: str):
-    """How often each subword id occurs in ``train(text)``, summed on the way."""
+def id_counts(words: DataFrame, path: str):
+    """How often each subword id occurs in texts with the word counts ``words(word, c)``; the empty word is the end."""
     import numpy as np
 
     def run(batches):
         import pyarrow as pa
 
-        total = np.zeros(VOCABULARY, np.int64)
+        total, ids = np.zeros(VOCABULARY, np.int64), word_ids(path)
         for b in batches:
-            for part in _parts(b):
-                for t in _coded(part.column(0).to_pylist(), path):
-                    total += np.bincount(t, minlength=VOCABULARY)
+            for word, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                # A word may hold an id more than once.
+                np.add.at(total, np.frombuffer(ids[word], "<u4") if word else END, c)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
 
-    rows = train.mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = words.select("word", "c").mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(VOCABULARY)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -270,8 +270,21 @@ def _averaged(updates: DataFrame, groups: int) -> dict | None:
     return mean((r["steps"], r["model"]) for r in grouped.collect())[0]
 
 
+def _passages(text: bytes | None, path: str, one_in: int, turn: int):
+    """Id sequences of the drawn passages of one text, each with the passage before it, and whether it starts the text."""
+    import numpy as np
+
+    ids, words, seed = word_ids(path), (text or b"").lower().split(), crc32(text or b"")
+    for a in range(0, len(words) + 1, PASSAGE):
+        if crc32(a.to_bytes(8, "little"), seed) % one_in == turn % one_in:
+            begin, stop = max(0, a - PASSAGE), a + PASSAGE
+            coded = ids.of_words(words[begin:stop]) + (END.to_bytes(4, "little") if stop > len(words) else b"")
+            if coded:
+                yield np.frombuffer(coded, "<u4").astype(np.int32), begin == 0
+
+
 def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUNDS, one_in: int = ONE_IN) -> dict:
-    """Rounds over ``docs(text)``: each partition trains on its windows from the shared model, then the models are averaged."""
+    """Rounds over ``docs(text)``: each partition trains on its passages from the shared model, then the models are averaged."""
     import numpy as np
 
     model = new_model()
@@ -285,23 +298,27 @@ def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUN
 
             own = {k: x.copy() for k, x in model.items()}
 
-            def steps():
-                held, size = [], 0
+            def windows():
                 for b in batches:
                     for part in _parts(b, 256):
-                        texts = part.column(0).to_pylist()
-                        rows, ids, first, owner = blocks_of(_coded(texts, path), classes)
-                        # A window is drawn by the checksum of its text and its own ids.
-                        marks = np.array([crc32(t or b"") for t in texts], np.uint64)[owner] + ids.astype(np.uint64).sum(axis=1) * np.uint64(2654435761)
-                        drawn = np.flatnonzero((marks >> np.uint64(7)) % np.uint64(one_in) == r % one_in)
-                        goals = np.where(ids[drawn] >= 0, classes.of[np.maximum(ids[drawn], 0)].astype(np.int64), -1)
-                        held.append((rows[drawn], goals, first[drawn]))
-                        size += len(drawn)
-                        if size >= STEP:
-                            every = [np.concatenate(c) for c in zip(*held)]
-                            for a in range(0, size - STEP + 1, STEP):
-                                yield [c[a : a + STEP] for c in every]
-                            held, size = [[c[size // STEP * STEP :] for c in every]], size % STEP
+                        drawn = [x for t in part.column(0).to_pylist() for x in _passages(t, path, one_in, r)]
+                        if drawn:
+                            rows, ids, first, owner = blocks_of([x for x, _ in drawn], classes)
+                            # What the start mark predicts is learned from the starts of texts alone.
+                            ids[first & ~np.array([x for _, x in drawn])[owner], 0] = -1
+                            yield rows, np.where(ids >= 0, classes.of[np.maximum(ids, 0)].astype(np.int64), -1), first
+
+            def steps():
+                held, size = [], 0
+                for w in windows():
+                    held.append(w)
+                    size += len(w[0])
+                    if size >= STEP:
+                        every = [np.concatenate(c) for c in zip(*held)]
+                        whole = size // STEP * STEP
+                        for a in range(0, whole, STEP):
+                            yield [c[a : a + STEP] for c in every]
+                        held, size = [[c[whole:] for c in every]], size - whole
                 if size:
                     yield [np.concatenate(c) for c in zip(*held)]
 
@@ -314,53 +331,62 @@ def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUN
     return model
 
 
-def _chunks(docs: DataFrame, model: dict, classes: Classes, path: str) -> DataFrame:
+def model_scores(docs: DataFrame, model: dict, classes: Classes, path: str) -> DataFrame:
+    """``digest, score`` of each distinct text of ``docs(text)``: log10 probability, by the text's MD5."""
+
+    def run(batches):
+        from hashlib import md5
+
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for part in _parts(b, 128, 1 << 19):
+                texts = part.column(0).to_pylist()
+                found = scores(model, classes, _coded(texts, path)) / np.log(10)
+                yield pa.RecordBatch.from_arrays([pa.array([md5(t or b"").digest() for t in texts]), pa.array(found)], ["digest", "score"])
+
+    return docs.mapInArrow(run, "digest binary, score double").groupBy("digest").agg(F.min("score").alias("score"))
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
     """Of each chunk of ``docs(doc_id, held_out, text)``: one row a word with the documents that hold it, and one head row with the rest."""
 
     def run(batches):
         import pickle
         from array import array
+        from hashlib import md5
 
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
+        names = ["chunk", "word", "learned", "docs", "times", "head"]
         task, serial = TaskContext.get().partitionId(), 0
         for b in batches:
             for part in _parts(b):
                 doc_ids, held, texts = (c.to_pylist() for c in part.columns)
+                # The empty word stands for the end of a text.
                 known: dict[bytes, int] = {b"": 0}
                 word, doc, times, sizes = array("I"), array("I"), array("I"), []
-                ids, end = word_ids(path), END.to_bytes(4, "little")
-                total = np.zeros(len(texts))
-                waiting, waited = [], 0
                 for k, text in enumerate(texts):
                     words = (text or b"").lower().split()
                     sizes.append(len(words) + 1)
-                    for w, n in Counter(words).items():
-                        word.append(known.setdefault(w, len(known)))
-                        doc.append(k)
-                        times.append(n)
-                    word.append(0)
-                    doc.append(k)
-                    times.append(1)
-                    waiting.append(np.frombuffer(b"".join(ids.of_words(words)) + end, "<u4").astype(np.int32))
-                    waited += len(waiting[-1])
-                    if waited > 1 << 17 or k == len(texts) - 1:
-                        total[k + 1 - len(waiting) : k + 1] = scores(model, classes, waiting)
-                        waiting, waited = [], 0
+                    counted = Counter(words)
+                    counted[b""] = 1
+                    word.extend([known.setdefault(w, len(known)) for w in counted])
+                    doc.extend([k] * len(counted))
+                    times.extend(counted.values())
                 word, doc, times = (np.frombuffer(x, np.uint32) for x in (word, doc, times))
                 order = np.argsort(word, kind="stable")
-                stops = np.cumsum(np.bincount(word, minlength=len(known))).astype(np.int32) * 4
-                offsets = pa.py_buffer(np.r_[np.int32(0), stops].astype(np.int32).tobytes())
+                stops = np.cumsum(np.bincount(word, minlength=len(known))) * 4
+                offsets = pa.py_buffer(np.r_[0, stops].astype(np.int32).tobytes())
                 lists = [pa.Array.from_buffers(pa.binary(), len(known), [None, offsets, pa.py_buffer(x[order].tobytes())]) for x in (doc, times)]
                 learned = np.bincount(word, times * ~np.array(held, bool)[doc], len(known)).astype(np.int64)
-                head = pickle.dumps((doc_ids, held, np.array(sizes), total))
-                chunk = task << 32 | serial
+                head = pickle.dumps((doc_ids, held, [md5(t or b"").digest() for t in texts], np.array(sizes)))
+                chunk, keys = task << 32 | serial, list(known)
                 serial += 1
-                names = ["chunk", "word", "learned", "docs", "times", "head"]
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([None], pa.binary()), pa.array([0], pa.int64()), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([head], pa.binary())], names)
-                keys = list(known)
                 for a in range(0, len(keys), 50_000):
                     n = min(50_000, len(keys) - a)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(keys[a : a + n], pa.binary()), pa.array(learned[a : a + n]), *(x.slice(a, n) for x in lists), pa.nulls(n, pa.binary())], names)
@@ -387,13 +413,13 @@ def _finish(population: int, distinct: int):
             lengths = np.diff(ends) // 4
         doc, times = lists
         count = np.repeat(np.nan_to_num(c), lengths)
-        doc_ids, held, sizes, total = pickle.loads(next(h for h in rows.column("head").to_pylist() if h is not None))
+        doc_ids, held, digests, sizes = pickle.loads(next(h for h in rows.column("head").to_pylist() if h is not None))
         n = len(sizes)
         base = np.bincount(doc, times * np.log10((count + 0.5) / (population + 0.5 * (distinct + 1))), n)
         known = np.bincount(doc, times * (count > 0), n).astype(np.int64)
         return pa.table([
-            pa.array(doc_ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(known), pa.array(np.full(n, population), pa.int64()), pa.array(base), pa.array(total / np.log(10)),
-        ], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            pa.array(doc_ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(known), pa.array(np.full(n, population), pa.int64()), pa.array(base), pa.array(digests, pa.binary()),
+        ], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "digest"])
 
     return run
 
@@ -408,14 +434,16 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path()
     rows = docs.select("doc_id", held_out().alias("held_out"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     learned = rows.where(~F.col("held_out")).select("text")
-    classes = Classes(id_counts(learned, path))
-    model = train(learned, classes, path)
     folder = f"{run_dir(docs.sparkSession, 'lm')}/chunks"
-    _chunks(rows, model, classes, path).write.parquet(folder)
+    _chunks(rows).write.parquet(folder)
     parts = docs.sparkSession.read.parquet(folder)
     words = parts.where("word is not null")
     counts = cut_lineage(words.groupBy("word").agg(F.sum("learned").alias("c")).where("c > 0"))
     population, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     met = words.join(counts, "word", "left").select("chunk", "c", "docs", "times", F.lit(None).cast("binary").alias("head"))
     heads = parts.where("word is null").select("chunk", F.lit(None).cast("bigint").alias("c"), "docs", "times", "head")
-    return met.union(heads).groupBy("chunk").applyInArrow(_finish(population, distinct), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    found = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, digest binary"
+    based = met.union(heads).groupBy("chunk").applyInArrow(_finish(population, distinct), found)
+    classes = Classes(id_counts(counts, path))
+    model = train(learned, classes, path)
+    return based.join(model_scores(rows.select("text"), model, classes, path), "digest").drop("digest")

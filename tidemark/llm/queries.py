@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fixity, langid, packing, pii, pivots, secrets, sharding, simhash
+from tidemark.llm import decontaminate, fixity, langid, lm, packing, pii, pivots, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,11 @@ def op1(docs: DataFrame) -> DataFrame:
     return secrets.report(docs)
 
 
+@query("op2_lm_score", "documents")
+def op2(docs: DataFrame) -> DataFrame:
+    return lm.score_documents(docs)
+
+
 @query("op3_shard", "documents")
 def op3(docs: DataFrame) -> DataFrame:
     return sharding.shard_documents(docs)
