@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+import struct
+import unicodedata
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,54 +59,72 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-class WordIds:
-    """Subword ids of words as little-endian unsigned 32-bit bytes, remembered by word.
+class WordIds(dict):
+    """Subword ids of words as little-endian unsigned 32-bit bytes, looked up once and then remembered.
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are the ids of its words in order. Marks at the end of a word are a
     piece of their own, so they are looked up apart.
     """
 
-    TAIL = re.compile(rb"(.*[^\W_])([.,;:!?]+)", re.DOTALL)
+    TAIL = re.compile(rb"(.*[0-9A-Za-z\x80-\xff])([.,;:!?]+)", re.DOTALL)
+    PLAIN = re.compile(rb"[a-z]+")
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.remembered = remembered
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    def _encode(self, texts: list[bytes]) -> Iterable[bytes]:
-        import numpy as np
-
-        found = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
-        return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > self.remembered:
-            self.words, self.cores = {}, {}
-        parts = {w: m.groups() if w.isascii() and (m := self.TAIL.fullmatch(w)) else (w,) for w in words}
-        new = list({p for ps in parts.values() for p in ps} - self.cores.keys())
-        self.cores.update(zip(new, self._encode(new)))
-        self.words.update((w, b"".join([self.cores[p] for p in ps])) for w, ps in parts.items())
-
-    def of_words(self, words: list[bytes]) -> list[bytes]:
-        """One byte string for each word."""
-        if missing := set(words) - self.words.keys():
-            self._learn(missing)
-            missing = set(words) - self.words.keys()
-            if missing:
-                self._learn(set(words))
-        return list(map(self.words.__getitem__, words))
+        self.pieces: dict[bytes, bytes] = {}
+        # Byte-level models show bytes without a visible character of their own as code points from 256 on.
+        visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        self.shown = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(visible)))}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.remembered:
+            self.clear()
+            self.pieces.clear()
+        m = self.TAIL.fullmatch(word)
+        if m and (m[1].isascii() or m[1].decode("utf-8", "replace")[-1].isalpha()):
+            found = self._piece(m[1]) + self._piece(m[2])
+        else:
+            found = self._piece(word)
+        self[word] = found
+        return found
+
+    def _piece(self, word: bytes) -> bytes:
+        found = self.pieces.get(word)
+        if found is None:
+            shown = self._shown(word)
+            ids = [t.id for t in self.model.tokenize(shown)] if shown else self._whole(word)
+            found = self.pieces[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _shown(self, word: bytes) -> str | None:
+        """The word as the model reads it if normalizing and splitting leave it whole: lower-case Latin letters only."""
+        if self.PLAIN.fullmatch(word):
+            return word.decode()
+        if word.isascii():
+            return None
+        text = word.decode("utf-8", "replace")
+        plain = text.isalpha() and max(text) < "\u0250" and text == text.lower() and unicodedata.is_normalized("NFC", text)
+        return word.decode("latin-1").translate(self.shown) if plain else None
+
+    def _whole(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+    def of_words(self, words: list[bytes]) -> bytes:
+        return b"".join(map(self.__getitem__, words))
 
     def of_text(self, text: bytes | None) -> bytes:
         """The ids of a whole text, letter case as the tokenizer treats it."""
         text = text or b""
         if b"<|" in text:
-            return b"".join(self._encode([text]))
-        return b"".join(self.of_words(text.lower().split()))
+            ids = self._whole(text)
+            return struct.pack(f"<{len(ids)}I", *ids)
+        return self.of_words(text.lower().split())
 
 
 _word_ids: dict[str, WordIds] = {}
