@@ -56,20 +56,23 @@ class Classes:
         self.of = np.empty(VOCABULARY, np.int16)
         self.of[order] = cls
         smooth = counts + 0.5
-        self.log_share = np.log(smooth / np.bincount(self.of, smooth, CLASSES)[self.of])
+        mass = np.bincount(self.of, smooth, CLASSES)
+        self.log_share = np.log(smooth / mass[self.of])
+        self.log_mass = np.log(np.maximum(mass, 1e-9) / mass.sum()).astype(np.float32)
         self.row = np.empty(VOCABULARY, np.int16)
         self.row[order] = np.minimum(np.arange(VOCABULARY), OWN_ROWS + cls)
         self.row[order[OWN_ROWS:]] = OWN_ROWS + cls[OWN_ROWS:]
 
 
-def new_model() -> dict:
+def new_model(classes: Classes) -> dict:
+    """The model before training: close to the frequencies of the classes."""
     import numpy as np
 
     rng = np.random.default_rng(SEED)
     draw = lambda *shape: rng.normal(0, 0.3 / shape[0] ** 0.5 if shape[0] == WIDTH else 0.1, shape).astype(np.float32)
     return {
         "e": draw(OWN_ROWS + CLASSES, WIDTH), "q": draw(WIDTH, WIDTH), "k": draw(WIDTH, WIDTH), "v": draw(WIDTH, WIDTH),
-        "near": np.zeros(2 * BLOCK, np.float32), "u": draw(WIDTH, CLASSES), "c": np.zeros(CLASSES, np.float32),
+        "near": np.zeros(2 * BLOCK, np.float32), "u": draw(WIDTH, CLASSES), "c": classes.log_mass.copy(),
     }
 
 
@@ -287,7 +290,7 @@ def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUN
     """Rounds over ``docs(text)``: each partition trains on its passages from the shared model, then the models are averaged."""
     import numpy as np
 
-    model = new_model()
+    model = new_model(classes)
     for r in range(rounds):
 
         def run(batches, model=model, r=r):
