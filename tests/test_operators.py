@@ -157,14 +157,23 @@ def test_cycles(spark):
     loop = edges(spark, [("a", "b"), ("b", "a"), ("b", "c")])
     assert {r[0]: r[2] for r in hierarchy.reachable(loop, "a", "c").collect()} == {"b": 0, "a": 1, "c": 1}
     with pytest.raises(ValueError, match="cycle"):
-        hierarchy.downstream(loop, "a", "c", max_depth=5)
+        hierarchy.downstream(loop, "a", "c")
 
 
-def test_wide_targets_are_split_and_whole(spark):
-    graph = edges(spark, [(f"s{i}", "t") for i in range(200)]).withColumn("transformation", F.lit("direct"))
-    parts = documents.incoming_edges(graph, per_array=30)
-    sizes = [len(r.incoming_edges) for r in parts.collect()]
-    assert len(sizes) > 1 and sum(sizes) == 200 and max(sizes) < 100
+def test_a_wide_target_is_one_row(spark):
+    pairs = [(f"s{i}", "t") for i in range(200)]
+    graph = edges(spark, pairs + pairs[:50]).withColumn("transformation", F.lit("direct"))
+    (row,) = documents.incoming_edges(graph).collect()
+    assert len(row.incoming_edges) == 200 and sum(e.times for e in row.incoming_edges) == 250
+
+
+def test_a_chain_of_150_levels(spark):
+    people = spark.range(151).selectExpr("id AS employee_key", "concat('e', id) AS full_name", "nullif(id, 0) - 1 AS manager_employee_key")
+    chain = hierarchy.manager_chain(people, spark.range(150, 151).toDF("employee_key"))
+    assert chain.agg(F.max("depth")).first()[0] == 150
+    looped = people.selectExpr("employee_key", "full_name", "coalesce(manager_employee_key, 150) AS manager_employee_key")
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.manager_chain(looped)
 
 
 def test_json_that_does_not_parse_gives_nulls(spark):

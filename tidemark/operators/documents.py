@@ -119,19 +119,15 @@ def json_typed_struct(events: DataFrame, event_type: str | None = None) -> DataF
     return _of_type(events, event_type).select("event_id", doc["customer"]["id"].alias("customer_id"))
 
 
-def incoming_edges(edges: DataFrame, per_array: int = 10_000) -> DataFrame:
-    """Q053: edge structs per target table.
+def incoming_edges(edges: DataFrame) -> DataFrame:
+    """Q053: the distinct edges into each target table with how often each occurs, one row a target.
 
-    A target with more than ``per_array`` edges is spread over several rows
-    (``part`` 0, 1, ...), so no array grows without bound and no edge is dropped.
+    Repeated edges are combined first. The array then has at most one entry for
+    each column that feeds the table, which its definition bounds.
     """
-    width = edges.groupBy("target_table").agg(F.count("*").alias("n"))
-    parts = F.ceil(F.col("n") / per_array)
-    spread = edges.join(width, "target_table").withColumn(
-        "part", F.pmod(F.xxhash64("source_table", "source_column", "transformation"), parts).cast("int")
-    )
-    edge = F.struct("source_table", "source_column", "transformation")
-    return spread.groupBy("target_table", "part").agg(F.sort_array(F.collect_list(edge)).alias("incoming_edges"))
+    keys = ["source_table", "source_column", "transformation"]
+    counted = edges.groupBy("target_table", *keys).agg(F.count("*").alias("times"))
+    return counted.groupBy("target_table").agg(F.sort_array(F.collect_list(F.struct(*keys, "times"))).alias("incoming_edges"))
 
 
 def alert_payload(results: DataFrame, run_date: Column | None = None) -> DataFrame:

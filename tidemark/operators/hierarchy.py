@@ -16,21 +16,56 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-MAX_DEPTH = 100
-
-
-def levels(start: DataFrame, step: Callable[[DataFrame], DataFrame], max_depth: int = MAX_DEPTH) -> list[DataFrame]:
-    """The start rows and every following level until one is empty."""
+def levels(start: DataFrame, step: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
+    """The start rows and every following level until one is empty. The caller has ruled out cycles."""
     current = cut_lineage(start)
     found = []
     while not current.isEmpty():
         found.append(current)
-        if len(found) > max_depth:
-            raise ValueError(f"more than {max_depth} levels: the hierarchy has a cycle or the limit is too low")
         current = cut_lineage(step(current))
     return found or [current]
 
 
+def require_no_loop(links: DataFrame) -> None:
+    """Raises if following ``links(node, above)`` from some node never ends; each node has one row at most.
+
+    Links are doubled, so each round looks twice as far up and a chain of n
+    nodes takes log2(n) rounds. A way longer than the number of nodes repeats one.
+    """
+    far = cut_lineage(links.where("above IS NOT NULL"))
+    nodes, reach = far.count(), 1
+    while reach <= nodes and not far.isEmpty():
+        up = far.select(F.col("node").alias("above"), F.col("above").alias("_next"))
+        far = cut_lineage(far.join(up, "above").select("node", F.col("_next").alias("above")))
+        reach *= 2
+    if not far.isEmpty():
+        raise ValueError("the hierarchy has a cycle")
+
+
+def peeled(links: DataFrame) -> DataFrame:
+    """``(node, depth)`` of every node of ``links(node, next)``; depth is the longest way from a node without predecessors.
+
+    Nodes that no remaining link points to are taken away, round by round. If a
+    round takes none, what is left holds a cycle, which raises.
+    """
+    left = cut_lineage(links.distinct())
+    n, depth, found = left.count(), 0, []
+    while n:
+        open_nodes = left.select(F.col("next").alias("node")).distinct()
+        heads = left.select("node").distinct().join(open_nodes, "node", "left_anti")
+        rest = cut_lineage(left.join(open_nodes, "node", "left_semi"))
+        remaining = rest.count()
+        if remaining == n:
+            raise ValueError("the hierarchy has a cycle")
+        found.append(heads.withColumn("depth", F.lit(depth)))
+        # Ends of links that start nowhere else come one round later.
+        ends = left.join(heads, "node", "left_semi").select(F.col("next").alias("node")).distinct().join(links.select("node").distinct(), "node", "left_anti")
+        found.append(ends.withColumn("depth", F.lit(depth + 1)))
+        left, n, depth = rest, remaining, depth + 1
+    nodes = stacked(found) if found else links.select("node", F.lit(0).alias("depth")).limit(0)
+    return nodes.groupBy("node").agg(F.max("depth").alias("depth"))
+
+
 def stacked(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -38,9 +73,11 @@ def stacked(parts: list[DataFrame]) -> DataFrame:
 def manager_chain(employees: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """Q024: the way up from each start employee (all when none is given).
 
-    One row per step: depth 0 is the employee, the chain text grows upwards.
+    One row per step: depth 0 is the employee, the chain text grows upwards. A
+    cycle among all employees raises.
     """
     people = employees.select("employee_key", "full_name", "manager_employee_key")
+    require_no_loop(people.select(F.col("employee_key").alias("node"), F.col("manager_employee_key").alias("above")))
     first = people if start is None else people.join(start, "employee_key", "left_semi")
     seed = first.select(
         F.col("employee_key").alias("start_key"),
@@ -78,6 +115,8 @@ def report_counts(employees: DataFrame, active_only: bool = True, top: int | Non
         F.col("employee_key").alias("child"), F.col("manager_employee_key").alias("manager"), live.alias("live")
     )
 
+    require_no_loop(edges.select(F.col("child").alias("node"), F.col("manager").alias("above")))
+
     def fold(rows: DataFrame) -> DataFrame:
         return rows.groupBy("manager").agg(
             F.sum("n").alias("below"), F.sum(F.when(F.col("live"), F.col("n")).otherwise(0)).alias("counted")
@@ -97,12 +136,13 @@ def report_counts(employees: DataFrame, active_only: bool = True, top: int | Non
 
 
 def bom_explosion(bom: DataFrame, root: int) -> DataFrame:
-    """Q026: quantity of every component below ``root``, multiplied along each path."""
+    """Q026: quantity of every component below ``root``, multiplied along each path. A cycle in the bill raises."""
     edges = bom.select(
         F.col("parent_product_key").alias("parent"),
         F.col("component_product_key").alias("part"),
         F.col("quantity_per_unit").cast("decimal(28,0)").alias("per_unit"),
     )
+    peeled(edges.select(F.col("parent").alias("node"), F.col("part").alias("next")))
     first = edges.where(F.col("parent") == root).groupBy("part").agg(F.sum("per_unit").alias("qty"))
 
     def down(level: DataFrame) -> DataFrame:
@@ -113,37 +153,34 @@ def bom_explosion(bom: DataFrame, root: int) -> DataFrame:
     return total.groupBy(F.col("part").alias("component_product_key")).agg(F.sum("qty").alias("total_qty"))
 
 
-def downstream(edges: DataFrame, start_table: str, start_column: str, max_depth: int = 1000) -> DataFrame:
+def downstream(edges: DataFrame, start_table: str, start_column: str) -> DataFrame:
     """All columns fed by one column, with the length of the longest way to each (0 for direct).
 
-    A level holds each reached column once, however many ways lead to it. A cycle
-    has no longest way and raises; ``reachable`` copes with cycles.
+    Only links below the start are peeled. A cycle there has no longest way and
+    raises; ``reachable`` copes with cycles.
     """
-    links, heads, start = _links(edges, start_table, start_column)
-
-    def down(level: DataFrame) -> DataFrame:
-        return heads(links.join(_as_source(level), ["source_table", "source_column"], "left_semi"))
-
-    steps = levels(heads(links.where(start)), down, max_depth)
-    marked = [step.withColumn("depth", F.lit(i)) for i, step in enumerate(steps)]
-    return stacked(marked).groupBy("target_table", "target_column").agg(F.max("depth").alias("depth"))
+    links, _, start = _links(edges, start_table, start_column)
+    below = _as_source(reachable(edges, start_table, start_column))
+    source, target = F.struct("source_table", "source_column"), F.struct(F.col("target_table").alias("source_table"), F.col("target_column").alias("source_column"))
+    inside = links.where(start).unionByName(links.join(below, ["source_table", "source_column"], "left_semi")).distinct()
+    depths = peeled(inside.select(source.alias("node"), target.alias("next"))).where("depth > 0")
+    return depths.select(F.col("node.source_table").alias("target_table"), F.col("node.source_column").alias("target_column"), (F.col("depth") - 1).alias("depth"))
 
 
-def reachable(edges: DataFrame, start_table: str, start_column: str, max_depth: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, start_table: str, start_column: str) -> DataFrame:
     """All columns fed by one column with their shortest distance. Columns already
     reached leave the frontier, so cycles end by themselves.
     """
     links, heads, start = _links(edges, start_table, start_column)
     key = ["target_table", "target_column"]
     frontier = cut_lineage(heads(links.where(start)).withColumn("depth", F.lit(0)))
-    seen = frontier
-    for depth in range(1, max_depth + 1):
-        if frontier.isEmpty():
-            return seen
+    seen, depth = frontier, 0
+    while not frontier.isEmpty():
+        depth += 1
         reached = heads(links.join(_as_source(frontier), ["source_table", "source_column"], "left_semi"))
         frontier = cut_lineage(reached.join(seen, key, "left_anti").withColumn("depth", F.lit(depth)))
         seen = seen.unionByName(frontier)
-    raise ValueError(f"lineage deeper than {max_depth}")
+    return seen
 
 
 def _links(edges: DataFrame, start_table: str, start_column: str):

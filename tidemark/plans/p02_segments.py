@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import hierarchy as H
 from tidemark.operators import segments as S
 from tidemark.plans.p01_windows import GMV
@@ -63,13 +65,14 @@ def _(t):
 @query(
     "q024_manager_chain",
     """WITH up AS (
-         SELECT employee_key AS start_key, 0 AS depth, full_name, full_name AS chain, manager_employee_key AS nxt FROM employees
+         SELECT employee_key AS start_key, 0 AS depth, full_name, full_name AS chain, manager_employee_key AS nxt FROM employees WHERE employee_key = (SELECT max(employee_key) FROM employees)
          UNION ALL
          SELECT u.start_key, u.depth + 1, e.full_name, concat(u.chain, ' > ', e.full_name), e.manager_employee_key FROM up u JOIN employees e ON e.employee_key = u.nxt)
        SELECT start_key, depth, full_name, chain FROM up""",
 )
 def _(t):
-    return H.manager_chain(t.employees)
+    newest = t.employees.agg(F.max("employee_key").alias("employee_key"))
+    return H.manager_chain(t.employees, newest)
 
 
 @query(

@@ -108,12 +108,13 @@ def _(t):
 
 @query(
     "q053_incoming_edges",
-    """SELECT target_table, 0 AS part, string_agg(concat_ws(':', source_table, source_column, transformation), ',' ORDER BY source_table, source_column, transformation) AS edges
-       FROM lineage_edges GROUP BY target_table""",
+    """WITH e AS (SELECT target_table, source_table, source_column, transformation, count(*) AS times FROM lineage_edges GROUP BY ALL)
+       SELECT target_table, string_agg(concat_ws(':', source_table, source_column, transformation, times), ',' ORDER BY source_table, source_column, transformation) AS edges
+       FROM e GROUP BY target_table""",
 )
 def _(t):
     edges = D.incoming_edges(t.lineage_edges)
-    return edges.select("target_table", "part", D.text_of("incoming_edges", ["source_table", "source_column", "transformation"]).alias("edges"))
+    return edges.select("target_table", D.text_of("incoming_edges", ["source_table", "source_column", "transformation", "times"]).alias("edges"))
 
 
 @query(

@@ -52,8 +52,8 @@ def _(t):
 
 @query(
     "q059_employee_manager",
-    """SELECT e.full_name AS employee, e.department, m.full_name AS manager, m.department AS manager_department
-       FROM employees e LEFT JOIN employees m ON m.employee_key = e.manager_employee_key WHERE e.employment_status = 'ACTIVE'""",
+    """WITH bosses AS (SELECT employee_key AS manager_employee_key, full_name AS manager, department AS manager_department FROM employees)
+       SELECT full_name AS employee, department, manager, manager_department FROM employees LEFT JOIN bosses USING (manager_employee_key) WHERE employment_status = 'ACTIVE'""",
 )
 def _(t):
     return J.employee_manager(t.employees)

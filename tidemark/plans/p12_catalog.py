@@ -70,9 +70,10 @@ def _(t):
 
 @query(
     "g5_lineage_edges",
-    """WITH v AS (SELECT target_table, regexp_extract(view_sql, 'FROM (src_[0-9]+)', 1) AS src FROM view_texts)
-       SELECT src AS source_table, c AS source_column, target_table, a AS target_column, k AS transformation
-       FROM v, (VALUES ('amount', 'amt', 'rename'), ('price', 'price_txt', 'cast'), ('qty', 'dbl', 'aggregate')) x(c, a, k)""",
+    """WITH e AS (FROM (VALUES (0, 's', 'amount', 'amt', 'rename'), (0, 's', 'price', 'price_txt', 'cast'), (0, 's', 'qty', 'dbl', 'aggregate'),
+         (1, 's', 'a#', 'picked', 'rename'), (1, 't', 'b', 'picked', 'rename'), (1, 's', 'a', 'total', 'aggregate'), (1, 't', 'b', 'total', 'aggregate'),
+         (2, 's', 'v#', 'v', 'cast'), (3, 's', 'k', 'k', 'rename'), (3, 's', 'lo', 'bound', 'rename'), (3, 's', 'hi', 'bound', 'rename')) x(form, source_table, source_column, target_column, transformation))
+       SELECT source_table, replace(source_column, '#', p_size::VARCHAR) AS source_column, concat('v_', p_partkey) AS target_table, target_column, transformation FROM part JOIN e ON form = p_partkey % 4""",
 )
 def _(t):
     return L.lineage_edges(t.view_texts)
@@ -80,11 +81,12 @@ def _(t):
 
 @query(
     "g6_transformation_type",
-    """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'cast' WHEN 1 THEN 'aggregate' WHEN 2 THEN 'rename' ELSE 'direct' END AS kind FROM events""",
+    """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'cast' WHEN event_id % 5 IN (1, 4) THEN 'aggregate' WHEN event_id % 5 = 2 THEN 'rename' ELSE 'direct' END AS kind FROM events""",
 )
 def _(t):
-    n = F.col("event_id").cast("string")
-    text = F.element_at(F.array(F.concat(F.lit("cast (a.c"), n, F.lit(" AS INT)")), F.concat(F.lit("a.c"), n, F.lit(" / 2")), F.concat(F.lit("a.c"), n), F.concat(F.lit("c"), n)), (F.col("event_id") % 4 + 1).cast("int"))
+    n, kind = F.col("event_id").cast("string"), F.col("event_type")
+    texts = [F.concat(F.lit("cast (a.c"), n, F.lit(" AS INT)")), F.concat(F.lit("a.c"), n, F.lit(" / 2")), F.concat(F.lit("a."), kind, n), F.concat(kind, n), F.concat(F.lit("nvl("), kind, F.lit(", 0) - b.c"), n)]
+    text = F.element_at(F.array(*texts), (F.col("event_id") % 5 + 1).cast("int"))
     return t.events.select("event_id", L.transformation_type(text).alias("kind"))
 
 
@@ -104,8 +106,6 @@ def _(t):
 
 @query("g8_incoming_edges", "SELECT target_table, count(*) AS edges, count(*) FILTER (transformation = 'direct') AS direct_edges FROM lineage_edges GROUP BY target_table")
 def _(t):
-    edges = D.incoming_edges(t.lineage_edges)
-    return edges.groupBy("target_table").agg(
-        F.sum(F.size("incoming_edges")).alias("edges"),
-        F.sum(F.size(F.filter("incoming_edges", lambda e: e["transformation"] == "direct"))).alias("direct_edges"),
-    )
+    total = lambda array: F.aggregate(array, F.lit(0).cast("bigint"), lambda n, e: n + e["times"])
+    direct = F.filter("incoming_edges", lambda e: e["transformation"] == "direct")
+    return D.incoming_edges(t.lineage_edges).select("target_table", total(F.col("incoming_edges")).alias("edges"), total(direct).alias("direct_edges"))

@@ -208,8 +208,11 @@ FROM {part} WHERE p_partkey % 4 = 1
 
 FIXTURES["view_texts"] = """
 SELECT concat('v_', cast(p_partkey AS STRING)) AS target_table,
-  concat('SELECT src_', cast(p_partkey % 50 AS STRING), '.amount AS amt, CAST(src_', cast(p_partkey % 50 AS STRING), '.price AS STRING) AS price_txt, src_',
-    cast(p_partkey % 50 AS STRING), '.qty * 2 AS dbl, other.z AS zz, plain FROM src_', cast(p_partkey % 50 AS STRING), ' WHERE x > ', cast(p_size AS STRING)) AS view_sql
+  concat('SELECT ', CASE p_partkey % 4
+    WHEN 0 THEN concat('s.amount AS amt, CAST(s.price AS STRING) AS price_txt, s.qty * 2 AS dbl, other.z AS zz, plain FROM s WHERE x > ', cast(p_size AS STRING))
+    WHEN 1 THEN concat('coalesce(s.a', cast(p_size AS STRING), ', nullif(t.b, 0), 1) AS picked, s.a * t.b total FROM s JOIN t ON s.k = t.k')
+    WHEN 2 THEN concat('CAST(round(s.v', cast(p_size AS STRING), ', 2) AS DECIMAL(10, 2)) AS v FROM s')
+    ELSE concat('s.k k, greatest(least(s.lo, ', cast(p_size AS STRING), '), s.hi) AS bound FROM s LEFT JOIN t ON t.k = s.k') END) AS view_sql
 FROM {part}
 """
 
