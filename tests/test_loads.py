@@ -88,11 +88,33 @@ def test_window_is_replaced_and_the_rest_stays(spark):
     assert got == [("2024-01-05", 1), ("2024-01-25", 20), ("2024-02-04", 30), ("2024-03-01", 4)]
 
 
-def test_emptied_month_is_reported(spark):
+def test_emptied_partitions_go(spark):
     path = run_dir(spark, "t")
-    P.write_by_month(daily(spark, [("2024-01-05", 1), ("2024-02-03", 3)]), path, "d")
-    with pytest.raises(ValueError, match="drop that partition"):
-        P.replace_window(daily(spark, [("2024-01-06", 9)]), path, "d", "2024-01-01", "2024-02-28")
+    P.write_by_month(daily(spark, [("2024-01-05", 1), ("2024-02-03", 3), ("2024-04-01", 4)]), path, "d")
+    P.replace_window(daily(spark, [("2024-01-06", 9)]), path, "d", "2024-01-01", "2024-02-28")
+    assert sorted(r.v for r in P.read_table(spark, path).collect()) == [4, 9]
+    days = run_dir(spark, "t")
+    P.write_table(daily(spark, [("2024-01-01", -2), ("2024-01-02", 2), ("2024-01-03", 3)]), days, "d")
+    P.reprocess_partitions(spark, days, "d", "2024-01-01", "2024-01-02", lambda df: df.where("v > 0"))
+    assert sorted(r.v for r in P.read_table(spark, days).collect()) == [2, 3]
+    total = lambda df: df.groupBy("d").agg(F.sum("v").alias("v"))
+    base = daily(spark, [("2024-01-05", 1)])
+    P.refresh_days(base, "d", daily(spark, [("2024-04-01", 4)]), total, path, "d")
+    assert sorted(r.v for r in P.read_table(spark, path).collect()) == [9]
+
+
+def test_newest_change_of_a_key_counts(spark):
+    dim = start(spark, [("a", "x", "T")])
+    batch = spark.createDataFrame([("a", "old", "T", 1), ("a", "new", "T", 2), ("a", "new", "T", 2), (None, "n", "T", 1)], LAYOUT + ", at int")
+    out = scd.scd2_load(dim, batch, "id", "sk", ATTRS, "2024-02-01 00:00:00", order="at").collect()
+    assert [r.name for r in out if r.is_current] == ["new"] and len(out) == 2
+
+
+def test_hashes_do_not_collide(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("c", None)], "name string, tier string")
+    assert df.select(scd.record_hash(ATTRS)).distinct().count() == 5
+    on = spark.createDataFrame([(None,), (True,), (False,)], "is_active boolean").select(scd.record_hash(["is_active"], {"is_active": True}))
+    assert on.distinct().count() == 2
 
 
 def test_reprocess_touches_only_the_window(spark):

@@ -1,8 +1,8 @@
 """Partitioned tables: write, append, recompute windows and refresh touched days.
 
 A table is a Parquet folder partitioned by a day or a month. Rewrites replace only the
-partitions present in the new rows (dynamic overwrite). The new rows are
-checkpointed first, so a table may be rebuilt from its own content.
+partitions of their window (dynamic overwrite) and remove those that end empty. The new
+rows are checkpointed first, so a table may be rebuilt from its own content.
 """
 
 from __future__ import annotations
@@ -60,36 +60,47 @@ def replace_window(df: DataFrame, path: str, day: str, first: str, last: str) ->
     """DELETE the window and INSERT ``df`` in a table partitioned by month.
 
     The months of the window are rewritten from their rows outside the window
-    and the new rows inside it.
+    and the new rows inside it; months without any row left go.
     """
     window = F.col(day).between(day_literal(first), day_literal(last))
     months = F.col(MONTH).between(first[:7], last[:7])
-    written = _rewrite_months(path, day, df.where(window), lambda old: old.where(months & ~window))
-    # Dynamic overwrite cannot empty a partition: a month left without any row would keep its old rows.
-    left_over = read_table(df.sparkSession, path).where(months).join(written.select(MONTH).distinct(), MONTH, "left_anti")
-    if not left_over.isEmpty():
-        raise ValueError(f"days of {first}..{last} without new rows fill a whole month; drop that partition first")
+    table = read_table(df.sparkSession, path)
+    _swap(table.where(months & ~window), df.where(window).withColumn(MONTH, month_of(day)), table.where(months), path, MONTH)
 
 
 def refresh_days(base: DataFrame, base_day: str, touched: DataFrame, view: Callable[[DataFrame], DataFrame], path: str, view_day: str) -> None:
     """Bring a daily pre-aggregate up to date (M1-M4).
 
     Distinct counts do not add up, so every touched day is recomputed from the
-    base. ``touched`` holds the newly loaded rows.
+    base. ``touched`` holds the newly loaded, changed or deleted rows; a day
+    without base rows left disappears.
     """
     days = touched.select(base_day).distinct()
-    fresh = view(base.join(days, base_day, "left_semi"))
+    fresh = view(base.join(days, base_day, "left_semi")).withColumn(MONTH, month_of(view_day))
     gone = days.select(F.col(base_day).alias(view_day))
     months = gone.select(month_of(view_day).alias(MONTH)).distinct()
-    _rewrite_months(path, view_day, fresh, lambda old: old.join(months, MONTH, "left_semi").join(gone, view_day, "left_anti"))
+    old = read_table(base.sparkSession, path).join(months, MONTH, "left_semi")
+    _swap(old.join(gone, view_day, "left_anti"), fresh, old, path, MONTH)
 
 
-def _rewrite_months(path: str, day: str, new: DataFrame, survivors: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    old = survivors(read_table(new.sparkSession, path))
-    rows = old.unionByName(_as_table(new.withColumn(MONTH, month_of(day)), old))
-    rows = cut_lineage(rows)
-    overwrite_partitions(rows, path, MONTH)
-    return rows
+def _swap(survivors: DataFrame, new: DataFrame, old: DataFrame, path: str, partition: str) -> None:
+    """Write survivors and new rows over the partitions of ``old``, then remove those of them that are left without rows.
+
+    The rows are safe in a checkpoint before anything is touched. A run that
+    breaks off can be repeated: each step replaces whole partitions.
+    """
+    before = [r[0] for r in old.select(partition).distinct().collect()]  # names of partitions of one window
+    rows = cut_lineage(survivors.unionByName(_as_table(new, survivors)))
+    kept = {r[0] for r in rows.select(partition).distinct().collect()}
+    overwrite_partitions(rows, path, partition)
+    drop_partitions(old.sparkSession, path, partition, [p for p in before if p not in kept])
+
+
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: Sequence[object]) -> None:
+    """Remove whole partitions by value."""
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _as_table(df: DataFrame, table: DataFrame) -> DataFrame:
@@ -98,6 +109,6 @@ def _as_table(df: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def reprocess_partitions(spark: SparkSession, path: str, partition: str, first: str, last: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    """Recompute the partitions of a window from their own rows and swap them in."""
-    window = read_table(spark, path).where(F.col(partition).between(day_literal(first), day_literal(last)))
-    overwrite_partitions(cut_lineage(fn(window)), path, partition)
+    """Recompute the partitions of a window from their own rows and swap them in (P4); those that ``fn`` empties go."""
+    old = read_table(spark, path).where(F.col(partition).between(day_literal(first), day_literal(last)))
+    _swap(old.limit(0), fn(old), old, path, partition)

@@ -109,6 +109,25 @@ def _(t):
     return V.dq_trend_daily(t.dq_health)
 
 
+def _refreshed(t, base: DataFrame, day: str, late, view, out_day: str, cluster: list[str]) -> DataFrame:
+    """Built without the late rows and with rows since deleted, then refreshed on the days of both."""
+    path = run_dir(t.spark, "refreshed")
+    stale = base.withColumn(day, F.date_add(day, 40000)).where(F.pmod(F.xxhash64(*base.columns), F.lit(3)) == 0)
+    P.write_by_month(view(base.where(~late).unionByName(stale)), path, out_day, cluster)
+    P.refresh_days(base, day, base.where(late).unionByName(stale), view, path, out_day)
+    return P.read_table(t.spark, path).drop(P.MONTH)
+
+
+@query("m3_daily_cost_refreshed", f"""SELECT job_date, user_email, dataset_id, count(*) AS query_count, {r('sum(bytes_processed) / 1e12', 3)} AS terabytes_processed, {r('sum(cost_usd)', 2)} AS cost_usd FROM query_cost GROUP BY ALL""")
+def _(t):
+    return _refreshed(t, t.query_cost, "job_date", F.dayofmonth("job_date") % 2 == 0, V.daily_cost_by_user, "job_date", ["user_email"])
+
+
+@query("m4_dq_trend_refreshed", f"SELECT score_date, data_product_name, {avg('dq_score', 4)} AS dq_score, sum(checks_failed)::BIGINT AS checks_failed FROM dq_health GROUP BY ALL")
+def _(t):
+    return _refreshed(t, t.dq_health, "score_date", F.dayofmonth("score_date") % 2 == 0, V.dq_trend_daily, "score_date", ["data_product_name"])
+
+
 @query(
     "p1_dim_date",
     """WITH b AS (SELECT min(txn_date) AS lo, max(txn_date) AS hi FROM txn_core), d AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS k FROM b),
@@ -127,24 +146,35 @@ ATTRS = ["full_name", "customer_segment", "tier", "is_active"]
 RUN_TS = "2001-08-01 06:00:00"
 BATCH = f"batch AS (FROM customer_cdc WHERE NOT full_load_flag AND effective_from <= TIMESTAMP '{RUN_TS}')"
 CHANGED = "(d.full_name, d.customer_segment, d.tier, d.is_active) IS DISTINCT FROM (b.full_name, b.customer_segment, b.tier, b.is_active)"
-L1_ROWS = f"""{BATCH}, old_rows AS (SELECT d.customer_id, d.full_name, d.customer_segment, d.tier, d.is_active, b.customer_id IS NOT NULL AND {CHANGED} AS ch FROM dim_customer d LEFT JOIN batch b USING (customer_id)),
+CARRIED = ["email", "country"]
+L1_ROWS = f"""{BATCH}, old_rows AS (SELECT d.customer_id, d.full_name, d.customer_segment, d.tier, d.is_active, concat(d.customer_id, '@old') AS email, 'C1' AS country, b.customer_id IS NOT NULL AND {CHANGED} AS ch FROM dim_customer d LEFT JOIN batch b USING (customer_id)),
   new_rows AS (SELECT b.* FROM batch b LEFT JOIN dim_customer d USING (customer_id) WHERE d.customer_id IS NULL OR {CHANGED}),
-  loaded AS (SELECT customer_id, full_name, customer_segment, tier, is_active, TIMESTAMP '1995-01-01 00:00:00' AS valid_from, CASE WHEN ch THEN TIMESTAMP '{RUN_TS}' END AS valid_to, NOT ch AS is_current FROM old_rows
-    UNION ALL SELECT customer_id, full_name, customer_segment, tier, is_active, TIMESTAMP '{RUN_TS}', NULL, true FROM new_rows)"""
+  loaded AS (SELECT customer_id, full_name, customer_segment, tier, is_active, email, country, TIMESTAMP '1995-01-01 00:00:00' AS valid_from, CASE WHEN ch THEN TIMESTAMP '{RUN_TS}' END AS valid_to, NOT ch AS is_current FROM old_rows
+    UNION ALL SELECT customer_id, full_name, customer_segment, tier, is_active, concat(customer_id, '@new'), 'C2', TIMESTAMP '{RUN_TS}', NULL, true FROM new_rows)"""
+
+
+DEFAULTS = {"is_active": True}
+
+
+def _with_contact(df: DataFrame, mark: str, country: str) -> DataFrame:
+    """Columns that versions carry along without being compared."""
+    return df.withColumn("email", F.concat("customer_id", F.lit(mark))).withColumn("country", F.lit(country))
 
 
 def _customer_dim(t) -> DataFrame:
-    return scd.initial_dimension(t.dim_customer, "customer_id", "customer_key", ATTRS, "1995-01-01 00:00:00")
+    return scd.initial_dimension(_with_contact(t.dim_customer, "@old", "C1"), "customer_id", "customer_key", ATTRS, "1995-01-01 00:00:00", CARRIED, DEFAULTS)
 
 
 def _loaded_customers(t) -> DataFrame:
-    batch = scd.incremental(t.customer_cdc, RUN_TS)
-    return scd.scd2_load(_customer_dim(t), batch, "customer_id", "customer_key", ATTRS, RUN_TS)
+    """The batch holds an outdated change of every member besides the newest one."""
+    batch = _with_contact(scd.incremental(t.customer_cdc, RUN_TS), "@new", "C2")
+    outdated = batch.withColumn("tier", F.lit("outdated")).withColumn("effective_from", F.col("effective_from") - F.expr("INTERVAL 1 DAY"))
+    return scd.scd2_load(_customer_dim(t), outdated.unionByName(batch), "customer_id", "customer_key", ATTRS, RUN_TS, CARRIED, DEFAULTS, "effective_from")
 
 
 @query("l1_scd2_customer", f"WITH {L1_ROWS} FROM loaded")
 def _(t):
-    return _loaded_customers(t).select("customer_id", *ATTRS, "valid_from", "valid_to", "is_current")
+    return _loaded_customers(t).select("customer_id", *ATTRS, *CARRIED, "valid_from", "valid_to", "is_current")
 
 
 @query("l1_scd2_customer_keys", f"WITH {L1_ROWS} SELECT count(*) AS row_count, count(*) AS key_count, 0::BIGINT AS lowest, count(*) - 1 AS highest FROM loaded")
@@ -156,10 +186,24 @@ def _(t):
     )
 
 
-@query("p2_logged_load", f"WITH {L1_ROWS}, n AS (SELECT (SELECT count(*) FROM dim_customer) AS a, (SELECT count(*) FROM loaded) AS b) SELECT 'SCD2_CUSTOMER' AS pipeline_name, 'SUCCESS' AS status, a AS rows_read, b AS rows_written, b - a AS row_count_delta FROM n")
+@query(
+    "p2_logged_load",
+    f"""WITH {L1_ROWS}, n AS (SELECT (SELECT count(*) FROM dim_customer) AS a, (SELECT count(*) FROM loaded) AS b)
+        SELECT 'SCD2_CUSTOMER' AS pipeline_name, 'SUCCESS' AS status, a AS rows_read, b AS rows_written, b - a AS row_count_delta, 100.0::DOUBLE AS dq_score, false AS has_error FROM n
+        UNION ALL SELECT 'SCD2_CUSTOMER_BAD', 'FAILED', a, NULL, NULL, NULL, true FROM n""",
+)
 def _(t):
-    log = scd.logged_load("SCD2_CUSTOMER", "core.dim_customer", _customer_dim(t), lambda: _loaded_customers(t), run_dir(t.spark, "dim_customer"), RUN_TS)
-    return log.select("pipeline_name", "status", "rows_read", "rows_written", "row_count_delta")
+    """One load that works and one that fails while it runs; both leave a row."""
+    log, target = run_dir(t.spark, "run_log"), run_dir(t.spark, "dim_customer")
+    no_nulls = lambda df: 100.0 * (1 - df.where("customer_id IS NULL").count() / max(1, df.count()))
+    scd.logged_load("SCD2_CUSTOMER", "core.dim_customer", _customer_dim(t), lambda: _loaded_customers(t), target, RUN_TS, log, no_nulls)
+    broken = lambda: _loaded_customers(t).withColumn("tier", F.raise_error(F.lit("source is broken")).cast("string"))
+    try:
+        scd.logged_load("SCD2_CUSTOMER_BAD", "core.dim_customer", _customer_dim(t), broken, run_dir(t.spark, "broken"), RUN_TS, log)
+    except Exception as failure:
+        if "source is broken" not in str(failure):
+            raise
+    return P.read_table(t.spark, log).select("pipeline_name", "status", "rows_read", "rows_written", "row_count_delta", "dq_score", F.col("error_message").isNotNull().alias("has_error"))
 
 
 @query("p3_recompute_kpis", f"WITH {DAILY_CTE} SELECT metric_date, bu_code, region_key, txn_count, active_customers, gmv_usd, refunds_usd, avg_order_value_usd, blended_margin_rate, dq_score, freshness_hours, cost_usd FROM v1 {DAY_JOINS}")
@@ -187,6 +231,25 @@ def _(t):
     return P.read_table(t.spark, path).select("event_id", "event_date", "status", "latency_ms")
 
 
+@query("p3_window_losing_months", f"SELECT metric_date, bu_code, txn_count FROM ({M1}) m WHERE metric_date NOT BETWEEN DATE '1998-02-01' AND DATE '1998-04-10' OR day(metric_date) = 7 AND month(metric_date) <> 3")
+def _(t):
+    """The recomputed window keeps one day of a month, and no row at all of March."""
+    daily = V.daily_gmv_by_bu(t.transactions).select("metric_date", "bu_code", "txn_count")
+    path = run_dir(t.spark, "window")
+    P.write_by_month(daily, path, "metric_date", ["bu_code"])
+    P.replace_window(daily.where("day(metric_date) = 7 AND month(metric_date) <> 3"), path, "metric_date", "1998-02-01", "1998-04-10")
+    return P.read_table(t.spark, path).select("metric_date", "bu_code", "txn_count")
+
+
+@query("p4_emptied_partitions", "SELECT event_id, event_date FROM ops_events WHERE event_date NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-15' OR day(event_date) % 2 = 0")
+def _(t):
+    """Every second day of the window is emptied."""
+    path = run_dir(t.spark, "events")
+    P.write_table(t.ops_events.select("event_id", "event_date"), path, "event_date")
+    P.reprocess_partitions(t.spark, path, "event_date", "2024-01-10", "2024-01-15", lambda df: df.where("day(event_date) % 2 = 0"))
+    return P.read_table(t.spark, path).select("event_id", "event_date")
+
+
 @query(
     "l2_scd1_overwrite",
     """SELECT customer_key, d.customer_id, coalesce(b.full_name, d.full_name) AS full_name, coalesce(b.customer_segment, d.customer_segment) AS customer_segment
