@@ -28,11 +28,11 @@ from tidemark.session import cut_lineage, run_dir
 
 #: Ids of the tokenizer: all, the mark before a text and the mark after it.
 VOCABULARY, START, END = 49_408, 49_406, 49_407
-BLOCK, WIDTH, CLASSES, OWN_ROWS = 32, 16, 64, 1024
+BLOCK, WIDTH, CLASSES, OWN_ROWS = 32, 16, 32, 1024
 #: Words of a training passage, share of the passages that a training round takes, rounds, and windows in a step.
-PASSAGE, ONE_IN, TRAIN_ROUNDS, STEP = 48, 12, 2, 64
+PASSAGE, ONE_IN, TRAIN_ROUNDS, STEP = 48, 48, 2, 64
 #: Documents and bytes of text whose words are counted together.
-CHUNK_DOCS, CHUNK_BYTES = 4096, 16 << 20
+CHUNK_DOCS, CHUNK_BYTES = 12_288, 48 << 20
 SEED = 17
 
 
@@ -138,23 +138,55 @@ def _mask(m: dict):
 
 
 def scores(m: dict, classes: Classes, texts: list):
-    """Natural log probability of each id sequence, END included by the caller."""
+    """Natural log probability of each id sequence, END included by the caller.
+
+    The same sums as in ``attend`` and ``log_classes`` with less work: keys and
+    values of a row are made once, weights are divided after the weighted sum,
+    and exponents stay in range without their maximum being taken off, or else
+    the careful way is taken.
+    """
     import numpy as np
 
     total = np.zeros(len(texts))
     rows, ids, first, owner = blocks_of(texts, classes)
     mask = _mask(m)
+    scale = np.float32(WIDTH**-0.5)
+    q_of, k_of, v_of, u, c = m["e"] @ m["q"] * scale, m["e"] @ m["k"], m["e"] @ m["v"], m["u"], m["c"]
     for a in range(0, len(rows), STEP):
         part = slice(a, a + STEP)
-        h = attend(m, rows[part], first[part], mask)[-1]
+        seen, own = rows[part], rows[part, BLOCK:]
+        s = q_of[own] @ k_of[seen].transpose(0, 2, 1)
+        s += mask
+        s[first[part], :, :BLOCK] = -1e9
+        if s.max() < 60:
+            np.exp(s, out=s)
+            h = s @ v_of[seen]
+            h /= s.sum(axis=2, keepdims=True)
+            h += m["e"][own]
+        else:
+            h = attend(m, seen, first[part], mask)[-1]
         target = ids[part].ravel()
+        z = h.reshape(-1, WIDTH) @ u
+        z += c
         real = np.flatnonzero(target >= 0)
         target = target[real]
-        found = log_classes(m, h)[real, classes.of[target]] + classes.log_share[target]
-        total += np.bincount(np.repeat(owner[part], BLOCK)[real], found, len(texts))
+        goal = classes.of[target]
+        if z.max() < 60 and z.min() > -60:
+            found = _picked(z, real, goal)
+        else:
+            found = log_classes(m, h)[real, goal]
+        total += np.bincount(np.repeat(owner[part], BLOCK)[real], found + classes.log_share[target], len(texts))
     return total
 
 
+def _picked(z, real, goal):
+    """Log softmax of rows ``real`` at ``goal``; overwrites ``z``."""
+    import numpy as np
+
+    own = z[real, goal]
+    return own - np.log(np.exp(z, out=z).sum(axis=1))[real]
+
+
 def gradients(m: dict, rows, target_classes, first):
     """Mean loss over the real targets (class -1: none) and its gradient."""
     import numpy as np
@@ -214,7 +246,7 @@ def _coded(texts: list, path: str):
     return [np.frombuffer(ids.of_words((t or b"").lower().split()) + end, "<u4").astype(np.int32) for t in texts]
 
 
-def _parts(batch, rows: int = CHUNK_DOCS, size: int = CHUNK_BYTES):
+def _parts(batch, rows: int = 256, size: int = 4 << 20):
     """An Arrow batch in slices of bounded rows and bytes of its last column."""
     import pyarrow.compute as pc
 
@@ -303,7 +335,7 @@ def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUN
 
             def windows():
                 for b in batches:
-                    for part in _parts(b, 256):
+                    for part in _parts(b):
                         drawn = [x for t in part.column(0).to_pylist() for x in _passages(t, path, one_in, r)]
                         if drawn:
                             rows, ids, first, owner = blocks_of([x for x, _ in drawn], classes)
@@ -352,53 +384,93 @@ def model_scores(docs: DataFrame, model: dict, classes: Classes, path: str) -> D
     return docs.mapInArrow(run, "digest binary, score double").groupBy("digest").agg(F.min("score").alias("score"))
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """Of each chunk of ``docs(doc_id, held_out, text)``: one row a word with the documents that hold it, and one head row with the rest."""
+#: Rows of a chunk: one head with the documents, one row a word, one row a text.
+HEAD, WORD, TEXT = 0, 1, 2
 
-    def run(batches):
-        import pickle
+
+class _Chunk:
+    """Documents whose words are counted together: postings of (document, times) in the order of the words."""
+
+    def __init__(self):
         from array import array
+
+        # The empty word stands for the end of a text.
+        self.words: dict[bytes, int] = {b"": 0}
+        self.texts: dict[bytes, int] = {}
+        self.ids, self.held, self.sizes, self.text_of, self.bytes = [], [], [], [], 0
+        self.word, self.doc, self.times = array("I"), array("H"), array("B")
+
+    def add(self, doc_id, held: bool, text: bytes) -> None:
         from hashlib import md5
 
+        words = text.lower().split()
+        counted = Counter(words)
+        counted[b""] = 1
+        known, here = self.words, len(self.ids)
+        numbers, times = [known.setdefault(w, len(known)) for w in counted], list(counted.values())
+        while max(times) > 255:
+            # A byte holds so many; the rest is another posting.
+            over = [(w, n - 255) for w, n in zip(numbers, times) if n > 255]
+            self._post([w for w, _ in over], here, [255] * len(over))
+            rest = dict(over)
+            times = [rest.get(w, n) if n > 255 else n for w, n in zip(numbers, times)]
+        self._post(numbers, here, times)
+        self.ids.append(doc_id)
+        self.held.append(held)
+        self.sizes.append(len(words) + 1)
+        self.text_of.append(self.texts.setdefault(md5(text).digest(), len(self.texts)))
+        self.bytes += len(text)
+
+    def _post(self, numbers: list[int], doc: int, times: list[int]) -> None:
+        self.word.extend(numbers)
+        self.doc.extend([doc] * len(numbers))
+        self.times.extend(times)
+
+    def rows(self, chunk: int):
+        import pickle
+
         import numpy as np
         import pyarrow as pa
+
+        word, doc, times = np.frombuffer(self.word, np.uint32), np.frombuffer(self.doc, np.uint16), np.frombuffer(self.times, np.uint8)
+        order = np.argsort(word, kind="stable")
+        n = len(self.words)
+        learned = np.bincount(word, times * ~np.array(self.held, bool)[doc], n).astype(np.int64)
+        postings = (np.bincount(word, minlength=n).astype(np.uint32).tobytes(), doc[order].tobytes(), times[order].tobytes())
+        head = pickle.dumps((self.ids, self.held, self.sizes, self.text_of, postings))
+        made = [(HEAD, [b""], [0], [0], [head])]
+        for kind, keys, counts in ((WORD, list(self.words), learned), (TEXT, list(self.texts), np.zeros(len(self.texts), np.int64))):
+            for a in range(0, len(keys), 50_000):
+                part = keys[a : a + 50_000]
+                made.append((kind, part, np.arange(a, a + len(part)), counts[a : a + len(part)], [None] * len(part)))
+        for kind, keys, at, counts, heads in made:
+            m = len(keys)
+            columns = [np.full(m, chunk), np.full(m, kind, np.int8)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(keys, pa.binary()), pa.array(at, pa.int32()), pa.array(counts, pa.int64()), pa.array(heads, pa.binary())], ["chunk", "kind", "key", "at", "learned", "head"])
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    """The chunks of ``docs(doc_id, held_out, text)`` as head, word and text rows."""
+
+    def run(batches):
         from pyspark import TaskContext
 
-        names = ["chunk", "word", "learned", "docs", "times", "head"]
-        task, serial = TaskContext.get().partitionId(), 0
+        task, serial, held = TaskContext.get().partitionId(), 0, _Chunk()
         for b in batches:
             for part in _parts(b):
-                doc_ids, held, texts = (c.to_pylist() for c in part.columns)
-                # The empty word stands for the end of a text.
-                known: dict[bytes, int] = {b"": 0}
-                word, doc, times, sizes = array("I"), array("I"), array("I"), []
-                for k, text in enumerate(texts):
-                    words = (text or b"").lower().split()
-                    sizes.append(len(words) + 1)
-                    counted = Counter(words)
-                    counted[b""] = 1
-                    word.extend([known.setdefault(w, len(known)) for w in counted])
-                    doc.extend([k] * len(counted))
-                    times.extend(counted.values())
-                word, doc, times = (np.frombuffer(x, np.uint32) for x in (word, doc, times))
-                order = np.argsort(word, kind="stable")
-                stops = np.cumsum(np.bincount(word, minlength=len(known))) * 4
-                offsets = pa.py_buffer(np.r_[0, stops].astype(np.int32).tobytes())
-                lists = [pa.Array.from_buffers(pa.binary(), len(known), [None, offsets, pa.py_buffer(x[order].tobytes())]) for x in (doc, times)]
-                learned = np.bincount(word, times * ~np.array(held, bool)[doc], len(known)).astype(np.int64)
-                head = pickle.dumps((doc_ids, held, [md5(t or b"").digest() for t in texts], np.array(sizes)))
-                chunk, keys = task << 32 | serial, list(known)
-                serial += 1
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([None], pa.binary()), pa.array([0], pa.int64()), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([head], pa.binary())], names)
-                for a in range(0, len(keys), 50_000):
-                    n = min(50_000, len(keys) - a)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(keys[a : a + n], pa.binary()), pa.array(learned[a : a + n]), *(x.slice(a, n) for x in lists), pa.nulls(n, pa.binary())], names)
-
-    return docs.mapInArrow(run, "chunk bigint, word binary, learned bigint, docs binary, times binary, head binary")
+                for doc_id, out, text in zip(*(c.to_pylist() for c in part.columns)):
+                    if held.ids and (len(held.ids) >= CHUNK_DOCS or held.bytes + len(text) > CHUNK_BYTES):
+                        yield from held.rows(task << 32 | serial)
+                        held, serial = _Chunk(), serial + 1
+                    held.add(doc_id, out, text)
+        if held.ids:
+            yield from held.rows(task << 32 | serial)
+
+    return docs.mapInArrow(run, "chunk bigint, kind tinyint, key binary, at int, learned bigint, head binary")
 
 
 def _finish(population: int, distinct: int):
-    """Base scores of one chunk's documents."""
+    """Both scores of one chunk's documents from the answers to its words and texts."""
 
     def run(key, rows):
         import pickle
@@ -406,23 +478,18 @@ def _finish(population: int, distinct: int):
         import numpy as np
         import pyarrow as pa
 
-        c = rows.column("c").to_numpy()
-        # The head row has no lists, so each list belongs to one word row in order.
-        lists = []
-        for name in ("docs", "times"):
-            col = rows.column(name).combine_chunks()
-            ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
-            lists.append(np.frombuffer(col.buffers()[2].to_pybytes()[ends[0] : ends[-1]] if col.buffers()[2] else b"", "<u4").astype(np.int64))
-            lengths = np.diff(ends) // 4
-        doc, times = lists
-        count = np.repeat(np.nan_to_num(c), lengths)
-        doc_ids, held, digests, sizes = pickle.loads(next(h for h in rows.column("head").to_pylist() if h is not None))
-        n = len(sizes)
-        base = np.bincount(doc, times * np.log10((count + 0.5) / (population + 0.5 * (distinct + 1))), n)
-        known = np.bincount(doc, times * (count > 0), n).astype(np.int64)
+        kind, at, value = (rows.column(c).to_numpy() for c in ("kind", "at", "value"))
+        ids, held, sizes, text_of, (lengths, doc, times) = pickle.loads(next(h for h in rows.column("head").to_pylist() if h is not None))
+        lengths, doc, times = np.frombuffer(lengths, np.uint32), np.frombuffer(doc, np.uint16), np.frombuffer(times, np.uint8)
+        n, count, score = len(ids), np.zeros(len(lengths)), np.zeros(max(text_of) + 1)
+        count[at[kind == WORD]] = value[kind == WORD]
+        score[at[kind == TEXT]] = value[kind == TEXT]
+        worth = np.log10((count + 0.5) / (population + 0.5 * (distinct + 1)))
+        base = np.bincount(doc, times * np.repeat(worth, lengths), n)
+        known = np.bincount(doc, times * np.repeat(count > 0, lengths), n).astype(np.int64)
         return pa.table([
-            pa.array(doc_ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(known), pa.array(np.full(n, population), pa.int64()), pa.array(base), pa.array(digests, pa.binary()),
-        ], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "digest"])
+            pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(known), pa.array(np.full(n, population), pa.int64()), pa.array(base), pa.array(score[np.array(text_of)]),
+        ], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 
@@ -440,13 +507,16 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     folder = f"{run_dir(docs.sparkSession, 'lm')}/chunks"
     _chunks(rows).write.parquet(folder)
     parts = docs.sparkSession.read.parquet(folder)
-    words = parts.where("word is not null")
-    counts = cut_lineage(words.groupBy("word").agg(F.sum("learned").alias("c")).where("c > 0"))
+    words = parts.where(F.col("kind") == WORD)
+    counts = cut_lineage(words.groupBy("key").agg(F.sum("learned").alias("c")).where("c > 0").withColumnRenamed("key", "word"))
     population, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    met = words.join(counts, "word", "left").select("chunk", "c", "docs", "times", F.lit(None).cast("binary").alias("head"))
-    heads = parts.where("word is null").select("chunk", F.lit(None).cast("bigint").alias("c"), "docs", "times", "head")
-    found = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, digest binary"
-    based = met.union(heads).groupBy("chunk").applyInArrow(_finish(population, distinct), found)
     classes = Classes(id_counts(counts, path))
     model = train(learned, classes, path)
-    return based.join(model_scores(rows.select("text"), model, classes, path), "digest").drop("digest")
+    scored = model_scores(rows.select("text"), model, classes, path)
+    # Words without an answer were never learned; each answer is one number.
+    answers = words.select("chunk", "kind", "key", "at").join(counts.select(F.col("word").alias("key"), F.col("c").cast("double").alias("value")), "key")
+    texts = parts.where(F.col("kind") == TEXT).select("chunk", "kind", "key", "at").join(scored.select(F.col("digest").alias("key"), F.col("score").alias("value")), "key")
+    heads = parts.where(F.col("kind") == HEAD).select("chunk", "kind", "at", F.lit(0.0).alias("value"), "head")
+    every = answers.unionByName(texts).drop("key").withColumn("head", F.lit(None).cast("binary")).unionByName(heads)
+    found = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return every.groupBy("chunk").applyInArrow(_finish(population, distinct), found)
