@@ -90,10 +90,29 @@ def test_rule_table_keeps_active_rules_only(spark):
         [("a", "UNIQUE", "t", "id", "ERROR", 0.0, {"filter": "id > 0"}, True), ("b", "NOT_NULL", "t", "id", "ERROR", 0.0, None, False)],
         "rule_id string, dimension string, table_id string, column_name string, severity string, max_rate double, params map<string,string>, is_active boolean",
     )
-    assert load_rules(table) == [Rule("a", "UNIQUENESS", "t", "id", params={"filter": "id > 0"})]
+    assert list(load_rules(table)) == [[Rule("a", "UNIQUENESS", "t", "id", params={"filter": "id > 0"})]]
 
 
 def test_row_rules_of_a_table_share_one_scan(spark, tables):
     rules = [Rule(str(i), "VALIDITY", "facts", "v", params={"condition": f"v > {i}"}) for i in range(8)]
-    plan = E.run_checks(spark, tables, rules)._jdf.queryExecution().executedPlan().toString()
+    plan = E._planned(rules, tables, spark)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") == 1
+
+
+def test_a_rule_that_fails_on_its_rows_stops_no_other(spark):
+    df = spark.createDataFrame([("1", 1), ("x", 2)], "c string, v int")
+    bad = Rule("bad", "VALIDITY", "t", "c", params={"condition": "CAST(c AS INT) > 0"})
+    got = run(spark, {"t": df}, Rule("good", "VALIDITY", "t", "v", params={"condition": "v > 1"}), bad, Rule("keys", "UNIQUENESS", "t", "v"))
+    assert {k: r.status for k, r in got.items()} == {"good": "FAIL", "bad": "ERROR", "keys": "PASS"}
+
+
+def test_samples_keep_to_the_filter(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "b")], "k int, g string")
+    rule = Rule("u", "UNIQUENESS", "t", "k", params={"filter": "g = 'b'"})
+    assert [r.failing_row for r in E.sample_failures(df, rule, ["k"]).collect()] == ['{"k":1,"g":"b"}'] * 2
+    late = Rule("f", "VOLUME", "t", params={"date": "k", "ratio": 0.9})
+    assert E.sample_failures(df, late, ["k"]).count() == 1
+    high = Rule("a", "ACCURACY", "t", "k", params={"sigma": 1})
+    assert E.sample_failures(df, high, ["k"]).count() == 1
+    both = Rule("c", "CONSISTENCY", "t", "k", params={"other": "o", "by": "g", "other_column": "k"})
+    assert E.sample_failures(df, both, ["k"], tables={"o": df.where("g = 'a'")}).count() == 3

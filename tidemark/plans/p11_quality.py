@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.p02_segments import NOW
 from tidemark.plans.registry import query, r
 from tidemark.quality import engine as E
-from tidemark.quality.rules import RULE_TYPES, Rule, active_rules, seed_rules
+from tidemark.quality.rules import RULE_TYPES, Rule, active_rules, rule_table, seed_rules
 
 COUNTS = ["rule_id", "rows_checked", "rows_failed"]
 
@@ -138,6 +138,45 @@ def _(t):
     return rows.select("rule_id", F.get_json_object("failing_row", "$.txn_no").alias("txn_no"))
 
 
+@query(
+    "d11_one_bad_rule",
+    """SELECT 'GOOD' AS rule_id, count(*) AS rows_checked, count(*) FILTER (amount_usd < 0) AS rows_failed, if(count(*) FILTER (amount_usd < 0) > 0, 'FAIL', 'PASS') AS status FROM txn_core
+       UNION ALL SELECT 'KEYS', count(txn_id), count(txn_id) - count(DISTINCT txn_id), if(count(txn_id) > count(DISTINCT txn_id), 'FAIL', 'PASS') FROM txn_core
+       UNION ALL SELECT unnest(['CAST', 'GONE']), 0, -1, 'ERROR'""",
+)
+def _(t):
+    """A cast that fails on the rows and a missing column among good rules."""
+    condition = lambda text: {"condition": text}
+    rules = [
+        Rule("GOOD", "VALIDITY", "txn_core", "amount_usd", params=condition("amount_usd >= 0")), Rule("KEYS", "UNIQUENESS", "txn_core", "txn_id"),
+        Rule("CAST", "VALIDITY", "txn_core", "txn_type", params=condition("CAST(txn_type AS INT) > 0")), Rule("GONE", "COMPLETENESS", "txn_core", "no_such_column"),
+    ]
+    return _check(t, rules).select(*COUNTS, "status")
+
+
+@query("d12_sample_integrity", "SELECT 'X' AS rule_id, txn_no::VARCHAR AS txn_no FROM txn_gaps WHERE (customer_ref IS NULL OR customer_ref NOT IN (SELECT customer_key FROM dim_customer WHERE customer_key % 2 = 0)) AND txn_type = 'PAYMENT' ORDER BY txn_gaps.txn_no, product_key, account_key LIMIT 5")
+def _(t):
+    rule = Rule("X", "INTEGRITY", "txn_gaps", "customer_ref", params={"dim": "even", "dim_key": "k", "filter": "txn_type = 'PAYMENT'"})
+    members = t.dim_customer.where("customer_key % 2 = 0").select(F.col("customer_key").alias("k"))
+    rows = E.sample_failures(t.txn_gaps, rule, ["txn_no", "product_key", "account_key"], tables={"even": members})
+    return rows.select("rule_id", F.get_json_object("failing_row", "$.txn_no").alias("txn_no"))
+
+
+@query("d12_sample_uniqueness", "SELECT 'X' AS rule_id, txn_no::VARCHAR AS txn_no FROM txn_gaps WHERE txn_type = 'PAYMENT' AND customer_ref IN (SELECT customer_ref FROM txn_gaps WHERE txn_type = 'PAYMENT' GROUP BY 1 HAVING count(*) > 1) ORDER BY txn_gaps.txn_no, product_key, account_key LIMIT 5")
+def _(t):
+    rule = Rule("X", "UNIQUENESS", "txn_gaps", "customer_ref", params={"filter": "txn_type = 'PAYMENT'"})
+    rows = E.sample_failures(t.txn_gaps, rule, ["txn_no", "product_key", "account_key"])
+    return rows.select("rule_id", F.get_json_object("failing_row", "$.txn_no").alias("txn_no"))
+
+
+@query("d19_seed_rules", f"WITH {SEED} SELECT rule_id, table_id, dimension, severity, c::BIGINT AS rows_checked, f::BIGINT AS rows_failed, status FROM results")
+def _(t):
+    """The seeded rules as a table, loaded from it and run."""
+    stored = rule_table(t.spark, seed_rules(transactions="txn_core", as_of_ts=NOW))
+    found = E.run_rule_table(t.spark, {n: getattr(t, n) for n in SEED_TABLES}, stored)
+    return found.select("rule_id", "table_id", "dimension", "severity", "rows_checked", "rows_failed", "status")
+
+
 @query("d13_persist_results", f"WITH {SEED} SELECT count(*) * 2 AS result_rows, 2::BIGINT AS runs, 1::BIGINT AS days FROM results")
 def _(t):
     """Two runs appended to the result table; nothing of the first is lost."""
@@ -162,9 +201,10 @@ def _(t):
     return E.dimension_scores(_seed_results(t))
 
 
-@query("d15_enterprise_score", f"WITH {SEED} SELECT {r('sum(dq_score * table_rows::DOUBLE) / sum(table_rows::DOUBLE)', 2)} AS enterprise_dq_score FROM scores")
+@query("d15_enterprise_score", f"WITH {SEED} SELECT {r('sum(dq_score * table_rows::DOUBLE) / sum(table_rows::DOUBLE)', 2)} AS enterprise_dq_score FROM scores WHERE table_id <> 'support_cases'")
 def _(t):
-    return E.enterprise_score(E.score_tables(_seed_results(t)))
+    certified = t.spark.createDataFrame([(n,) for n in SEED_TABLES if n != "support_cases"], "table_id string")
+    return E.enterprise_score(E.score_tables(_seed_results(t)), certified)
 
 
 @query(

@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import count_where, half_up, ts_literal, units_between
-from tidemark.quality.rules import Rule
+from tidemark.quality.rules import Rule, load_rules
+from tidemark.session import cut_lineage
 
 # Severity weights; a severity not listed weighs 0.5.
 SEVERITY_WEIGHTS = {"ERROR": 1.0, "WARNING": 0.5, "INFO": 0.1}
@@ -155,31 +157,60 @@ def _one_pass(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: list[Rule]) -> DataFrame:
-    """One result row per rule.
+    """One result row per rule, stored in the shared folder.
 
     FAIL when the failure rate is above ``max_rate``; no rows checked is rate 1.
-    A rule that cannot be planned (missing table or column, unknown dimension) is
-    an ERROR row and stops no other rule.
+    A rule that cannot be planned (missing table or column, unknown dimension) or
+    fails while it runs (a bad cast in one row) is an ERROR row and stops no other.
     """
-    parts: list[DataFrame] = []
+    singles: list[list[Rule]] = []
     broken: list[Rule] = []
     row_rules: dict[str, list[Rule]] = {}
     for rule in rules:
         try:
+            _planned([rule], tables, spark)  # analysed, not run
+        except (PySparkException, KeyError, ValueError, TypeError):
+            broken.append(rule)
+        else:
             if rule.dimension in ROW_DIMENSIONS:
-                tables[rule.table].agg(*[c.alias(f"x{i}") for i, c in enumerate(_row_counts(rule))])  # analysed, not run
                 row_rules.setdefault(rule.table, []).append(rule)
             else:
-                parts.append(_own_plan(rule, tables, spark).select(*_labels(rule), "rows_checked", "rows_failed"))
-        except (PySparkException, KeyError, ValueError, TypeError):
-            broken.append(rule)
-    parts += [_one_pass(tables[name], group) for name, group in row_rules.items()]
+                singles.append([rule])
+    done = _run_apart([*row_rules.values(), *singles], tables, spark, broken)
     if broken:
         rows = [(b.rule_id, b.table, b.column, b.dimension, b.severity, float(b.max_rate), 0, -1) for b in broken]
-        parts.append(spark.createDataFrame(rows, RESULT_SCHEMA))
-    if not parts:
+        done.append(spark.createDataFrame(rows, RESULT_SCHEMA))
+    if not done:
         return _judged(spark.createDataFrame([], RESULT_SCHEMA))
-    return _judged(reduce(DataFrame.unionByName, parts))
+    return _judged(reduce(DataFrame.unionByName, done))
+
+
+def run_rule_table(spark: SparkSession, tables: Mapping[str, DataFrame], rules: DataFrame) -> DataFrame:
+    """A run over the active rules of a rules table, table by table."""
+    parts = [run_checks(spark, tables, group) for group in load_rules(rules)]
+    return reduce(DataFrame.unionByName, parts) if parts else run_checks(spark, tables, [])
+
+
+def _planned(rules: list[Rule], tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
+    if rules[0].dimension in ROW_DIMENSIONS:
+        return _one_pass(tables[rules[0].table], rules)
+    return _own_plan(rules[0], tables, spark).select(*_labels(rules[0]), "rows_checked", "rows_failed")
+
+
+def _run_apart(groups: list[list[Rule]], tables: Mapping[str, DataFrame], spark: SparkSession, broken: list[Rule]) -> list[DataFrame]:
+    """Results of groups of rules. All run as one job; if it fails the halves run apart, down to the single rule at fault."""
+    if not groups:
+        return []
+    try:
+        return [cut_lineage(reduce(DataFrame.unionByName, [_planned(g, tables, spark) for g in groups]))]
+    except (PySparkException, Py4JJavaError):
+        if len(groups) == 1 and len(groups[0]) == 1:
+            broken.append(groups[0][0])
+            return []
+    if len(groups) == 1:
+        groups = [[rule] for rule in groups[0]]
+    half = len(groups) // 2
+    return _run_apart(groups[:half], tables, spark, broken) + _run_apart(groups[half:], tables, spark, broken)
 
 
 def _judged(results: DataFrame) -> DataFrame:
@@ -190,13 +221,38 @@ def _judged(results: DataFrame) -> DataFrame:
     )
 
 
-def sample_failures(df: DataFrame, rule: Rule, order: list[str], n: int = 5) -> DataFrame:
-    """Up to n rows that break this very rule, as JSON."""
+def failing_rows(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The rows in the rule's scope that make it fail."""
+    src, p = df.where(_scope(rule)), rule.params
     if rule.dimension == "UNIQUENESS":
-        surplus = df.where(F.col(rule.column).isNotNull()).groupBy(rule.column).agg(F.count("*").alias("copies")).where("copies > 1")
-        bad = df.join(surplus.select(rule.column), rule.column, "left_semi")
-    else:
-        bad = df.where(_scope(rule) & failing(rule))
+        surplus = src.where(F.col(rule.column).isNotNull()).groupBy(rule.column).agg(F.count("*").alias("_copies")).where("_copies > 1")
+        return src.join(surplus.select(rule.column), rule.column, "left_semi")
+    if rule.dimension == "INTEGRITY":
+        members = tables[p["dim"]].select(F.col(p["dim_key"]).alias("_k"))
+        return src.join(members, src[rule.column] == F.col("_k"), "left_anti")
+    if rule.dimension == "FRESHNESS":
+        newest = df.agg(F.max(p["timestamp"]))
+        _, stale = _row_counts(rule)
+        return df.where((F.col(p["timestamp"]) == newest.scalar()) & (df.agg(stale).scalar() > 0))
+    if rule.dimension == "VOLUME":
+        newest = src.agg(F.max(p["date"]))
+        return src.where((F.col(p["date"]) == newest.scalar()) & (_volume(df, rule).select("rows_failed").scalar() > 0))
+    if rule.dimension == "ACCURACY":
+        x = F.col(rule.column).cast("double")
+        limit = src.agg(F.avg(x) + float(p.get("sigma", 5)) * F.stddev_samp(x))
+        return src.where(x > limit.scalar())
+    if rule.dimension == "CONSISTENCY":
+        by, other = p["by"], tables[p["other"]]
+        a = src.groupBy(by).agg(F.sum(rule.column).alias("_a"))
+        b = other.groupBy(F.col(p.get("other_by", by)).alias(by)).agg(F.sum(p["other_column"]).alias("_b"))
+        off = a.join(b, by, "left").where(F.col("_b").isNull() | F.col("_a").isNull() | (F.abs(F.col("_a") - F.col("_b")) > float(p.get("tolerance", 0.01))))
+        return src.join(off.select(by), by, "left_semi")
+    return src.where(failing(rule))
+
+
+def sample_failures(df: DataFrame, rule: Rule, order: list[str], n: int = 5, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Up to n rows that break this very rule, as JSON. ``tables`` holds what integrity and consistency compare with."""
+    bad = failing_rows(df, rule, tables).select(*df.columns)
     return bad.orderBy(*order).limit(n).select(F.lit(rule.rule_id).alias("rule_id"), F.to_json(F.struct(*df.columns)).alias("failing_row"))
 
 
@@ -239,13 +295,14 @@ def score_tables(results: DataFrame, floor: float = SCORE_FLOOR) -> DataFrame:
     return totals.join(per_dimension, "table_id").withColumn("anomaly_flag", F.col("dq_score") < floor)
 
 
-def enterprise_score(scores: DataFrame) -> DataFrame:
-    """Mean of the table scores weighted by table rows."""
+def enterprise_score(scores: DataFrame, certified: DataFrame | None = None) -> DataFrame:
+    """Mean of the scores of certified tables weighted by table rows; ``certified(table_id)``, all tables when not given."""
     rows = F.col("table_rows").cast("double")
-    return scores.agg(half_up(F.try_divide(F.sum(F.col("dq_score").cast("double") * rows), F.sum(rows)), 2).alias("enterprise_dq_score"))
+    counted = scores if certified is None else scores.join(certified.select("table_id").distinct(), "table_id", "left_semi")
+    return counted.agg(half_up(F.try_divide(F.sum(F.col("dq_score").cast("double") * rows), F.sum(rows)), 2).alias("enterprise_dq_score"))
 
 
-def health_rows(scores: DataFrame, products: DataFrame | None, as_of_ts: str) -> DataFrame:
+def health_rows(scores: DataFrame, products: DataFrame | None, as_of_ts: str, certified: DataFrame | None = None) -> DataFrame:
     """One daily row per table under its product name and one ENTERPRISE row."""
     named = scores if products is None else scores.join(products, "table_id", "left")
     product = F.col("table_id") if products is None else F.coalesce("data_product_name", "table_id")
@@ -255,7 +312,7 @@ def health_rows(scores: DataFrame, products: DataFrame | None, as_of_ts: str) ->
         (100 - F.col("dq_score")).alias("weighted_errors"), "checks_run", "checks_passed", "checks_failed", "by_dimension", "anomaly_flag",
     )
     whole = scores.agg(F.sum("checks_run").alias("checks_run"), F.sum("checks_passed").alias("checks_passed"), F.sum("checks_failed").alias("checks_failed"))
-    total = whole.withColumn("dq_score", enterprise_score(scores).scalar()).select(
+    total = whole.withColumn("dq_score", enterprise_score(scores, certified).scalar()).select(
         F.to_date(at).alias("score_date"), F.lit("ENTERPRISE").alias("data_product_name"), F.lit("ENTERPRISE").alias("table_id"), "dq_score",
         (100 - F.col("dq_score")).alias("weighted_errors"), "checks_run", "checks_passed", "checks_failed",
         F.lit(None).cast("string").alias("by_dimension"), (F.col("dq_score") < SCORE_FLOOR).alias("anomaly_flag"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,7 +42,9 @@ RULE_TYPES = {
 }
 
 
-MAX_RULES = 5_000
+RULE_TABLE = (
+    "rule_id string, dimension string, table_id string, column_name string, severity string, max_rate double, params map<string,string>, is_active boolean"
+)
 
 
 def active_rules(rules: DataFrame) -> DataFrame:
@@ -48,16 +52,22 @@ def active_rules(rules: DataFrame) -> DataFrame:
     return rules.where(F.col("is_active"))
 
 
-def load_rules(rules: DataFrame) -> list[Rule]:
-    """Active rules as objects that drive plan building. More than MAX_RULES is refused: split the run by table then."""
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """Rules as rows of the rules table."""
+    text = lambda params: {k: str(v) for k, v in params.items() if v is not None}
+    rows = [(r.rule_id, r.dimension, r.table, r.column, r.severity, float(r.max_rate), text(r.params), True) for r in rules]
+    return spark.createDataFrame(rows, RULE_TABLE)
+
+
+def load_rules(rules: DataFrame) -> Iterator[list[Rule]]:
+    """Active rules as objects that drive plan building, one list a table; only one table's rules are held at once."""
     columns = ["rule_id", "dimension", "table_id", "column_name", "severity", "max_rate", "params"]
-    rows = active_rules(rules).select(*columns).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} active rules in one run")
-    return [
-        Rule(x.rule_id, RULE_TYPES.get(x.dimension, x.dimension), x.table_id, x.column_name, x.severity, float(x.max_rate), dict(x.params or {}))
-        for x in rows
-    ]
+    rows = active_rules(rules).select(*columns).orderBy("table_id", "rule_id").toLocalIterator()
+    for _, group in groupby(rows, key=lambda x: x.table_id):
+        yield [
+            Rule(x.rule_id, RULE_TYPES.get(x.dimension, x.dimension), x.table_id, x.column_name, x.severity, float(x.max_rate or 0), dict(x.params or {}))
+            for x in group
+        ]
 
 
 def seed_rules(
