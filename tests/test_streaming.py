@@ -61,9 +61,9 @@ def test_a_repeated_batch_leaves_the_same_rows(spark):
 def test_volume_guard_finds_low_and_silent_windows(spark):
     source, out, ck = (run_dir(spark, x) for x in ("src", "out", "ck"))
     add_file(spark, source, [(i, i % 5, "SUCCESS") for i in range(10)] + [(50, 6, "SUCCESS")] + [(60 + i, 16, "SUCCESS") for i in range(10)] + [(99, 30, "SUCCESS")])
-    S.volume_guard(stream_table(spark, source), out, ck, per_window=10, minutes=5).awaitTermination()
-    low = {r.window_start: r.events for r in S.low_windows(read_table(spark, out), 5).collect()}
-    assert low == {T0 + dt.timedelta(minutes=5): 1, T0 + dt.timedelta(minutes=10): 0}
+    S.volume_guard(stream_table(spark, source), out, ck, minutes=5).awaitTermination()
+    low = {r.window_start: r.events for r in S.low_windows(read_table(spark, out), 10, 5).collect()}
+    assert low == {T0 + dt.timedelta(minutes=m): int(m == 5) for m in (5, 10, 20, 25)}
 
 
 def test_late_rows_are_kept_aside(spark):
@@ -72,3 +72,24 @@ def test_late_rows_are_kept_aside(spark):
     rows = stream_table(spark, source).withColumn("loaded", F.col("event_timestamp") + F.make_interval(hours=F.when(F.col("event_id") < 2, 30).otherwise(1)))
     S.late_rows(rows, main, side, ck, "loaded", "event_timestamp", "12 HOURS").awaitTermination()
     assert read_table(spark, side).count() == 2 and read_table(spark, main).count() == 4
+
+
+def test_no_event_is_lost_in_any_order(spark):
+    source, out, late, ck, hours = (run_dir(spark, x) for x in ("src", "out", "late", "ck", "hours"))
+
+    def tick():
+        raw = stream_table(spark, source, 1).select(F.to_json(F.struct("*")).alias("body"))
+        S.ingest_events(raw, out, ck, late).awaitTermination()
+
+    day = 24 * 60
+    add_file(spark, source, [(1, 3 * day, "SUCCESS"), (2, 3 * day + 1, "SUCCESS")])
+    tick()
+    add_file(spark, source, [(3, 0, "SUCCESS"), (1, 3 * day + 2, "SUCCESS"), (4, 3 * day + 3, "SUCCESS")])
+    tick()
+    add_file(spark, source, [(5, day, "FAILURE"), (3, 5, "SUCCESS")])
+    tick()
+    tick()
+    assert sorted(r.event_id for r in read_table(spark, out).collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.event_id for r in read_table(spark, late).collect()) == [3, 5]
+    S.hourly_events(stream_table(spark, source, 1), hours, run_dir(spark, "ck")).awaitTermination()
+    assert S.latest_hours(read_table(spark, hours)).agg(F.sum("event_count")).first()[0] == 7

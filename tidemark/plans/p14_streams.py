@@ -21,7 +21,11 @@ def _stream(t, fixture: str, base: str) -> DataFrame:
 
 
 def _ops_stream(t) -> DataFrame:
-    return _stream(t, "ops_events", "events").withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ltz"))
+    """The operations events from four files that each hold events of the whole time, one file a batch."""
+    folder = run_dir(t.spark, "scattered")
+    t.events.repartition(4, "event_id").write.parquet(folder)
+    text = FIXTURES["ops_events"].replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
+    return t.spark.sql(text, events=stream_table(t.spark, folder, 1)).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ltz"))
 
 
 def _with_copies(events: DataFrame) -> DataFrame:
@@ -30,20 +34,32 @@ def _with_copies(events: DataFrame) -> DataFrame:
     return events.withColumn("_delay", F.explode(copies)).withColumn("event_timestamp", F.col("event_timestamp") + F.make_interval(mins=F.col("_delay").cast("int"))).drop("_delay")
 
 
-@query("r1_ingest_events", "SELECT event_id, event_date, event_type, source_system, status, payload FROM ops_events")
-def _(t):
+def _ingested(t) -> tuple[str, str]:
     fields = ["event_id", "event_timestamp", "event_type", "source_system", "status", F.col("latency_ms").cast("double").alias("latency_ms"), "payload"]
     raw = _with_copies(_ops_stream(t)).select(F.to_json(F.struct(*fields)).alias("body"))
-    path = run_dir(t.spark, "events")
-    S.ingest_events(raw, path, run_dir(t.spark, "ck")).awaitTermination()
+    path, late = run_dir(t.spark, "events"), run_dir(t.spark, "late")
+    S.ingest_events(raw, path, run_dir(t.spark, "ck"), late).awaitTermination()
+    return path, late
+
+
+@query("r1_ingest_events", "SELECT event_id, event_date, event_type, source_system, status, payload FROM ops_events")
+def _(t):
+    path, _ = _ingested(t)
     return read_table(t.spark, path).select("event_id", "event_date", "event_type", "source_system", "status", "payload")
 
 
+@query("r1_late_events", "SELECT count(*) AS late_not_stored, true AS some_late FROM ops_events WHERE false")
+def _(t):
+    """The side table records late events without taking them out of the table."""
+    path, late = _ingested(t)
+    aside, stored = read_table(t.spark, late), read_table(t.spark, path)
+    return aside.join(stored, "event_id", "left_anti").agg(F.count("*").alias("late_not_stored")).withColumn("some_late", F.lit(not aside.isEmpty()))
+
+
 @query("r2_dedup_events", "SELECT event_id, event_type FROM ops_events")
 def _(t):
     path = run_dir(t.spark, "dedup")
-    rows = S.dedup_events(_with_copies(_ops_stream(t))).select("event_id", "event_type", "event_date")
-    S.append_stream(rows, path, run_dir(t.spark, "ck"), "event_date").awaitTermination()
+    S.dedup_stream(_with_copies(_ops_stream(t)), path, run_dir(t.spark, "ck")).awaitTermination()
     return read_table(t.spark, path).select("event_id", "event_type")
 
 
@@ -68,8 +84,8 @@ def _(t):
 def _(t):
     baseline = S.baseline_rate(t.ops_events, 60).first().per_window  # one number
     path = run_dir(t.spark, "guard")
-    S.volume_guard(_ops_stream(t), path, run_dir(t.spark, "ck"), baseline, minutes=60).awaitTermination()
-    low = S.low_windows(read_table(t.spark, path), 60)
+    S.volume_guard(_ops_stream(t), path, run_dir(t.spark, "ck"), minutes=60).awaitTermination()
+    low = S.low_windows(read_table(t.spark, path), baseline, 60)
     return low.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "events")
 
 

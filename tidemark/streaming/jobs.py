@@ -3,18 +3,24 @@
 Every job takes a streaming DataFrame and writes with a checkpoint in the shared
 folder. Batch writes are keyed by batch id or replace what they touch, so a
 batch repeated after a failure leaves the same rows.
+
+No job drops an event for being late. Copies are found in the stored days
+rather than in a state that forgets, and counts are written as parts that add
+up, so a late event changes the hour it belongs to. What came late is also
+recorded aside for restatement.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import count_where, half_up
 from tidemark.operators.alerts import alert_rows
+from tidemark.session import cut_lineage
 
 EVENT_SCHEMA = "event_id BIGINT, event_timestamp TIMESTAMP_LTZ, event_type STRING, source_system STRING, status STRING, latency_ms DOUBLE, payload STRING"
 
@@ -24,21 +30,55 @@ def parse_events(raw: DataFrame, body: str = "body", schema: str = EVENT_SCHEMA)
     return raw.select(F.from_json(body, schema).alias("e")).select("e.*").withColumn("event_date", F.to_date("event_timestamp"))
 
 
-def dedup_events(events: DataFrame, within: str = "15 minutes", key: str = "event_id", when: str = "event_timestamp") -> DataFrame:
-    """R2: one row per event id among copies arriving within the window. State older than the window is dropped."""
-    return events.withWatermark(when, within).dropDuplicatesWithinWatermark([key])
+def is_stored(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str, partition: str) -> StreamingQuery:
-    return (
-        df.writeStream.format("parquet").partitionBy(partition).option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+def dedup_stream(
+    events: DataFrame, path: str, checkpoint: str, late_path: str | None = None, within: str = "15 minutes",
+    key: str = "event_id", when: str = "event_timestamp", day: str = "event_date",
+) -> StreamingQuery:
+    """R2: one row per key in a table partitioned by day, whatever order the events arrive in.
+
+    A batch keeps the earliest of its own copies and drops those whose key is
+    stored within a day of it; only the key column of those days is read. Rows
+    older than the newest stored event by more than ``within`` are written to
+    ``late_path`` as well.
+    """
+    gap = F.expr(f"INTERVAL {within}")
+
+    def write(df: DataFrame, batch: int) -> None:
+        spark = df.sparkSession
+        first = Window.partitionBy(key).orderBy(when, F.xxhash64(*df.columns))
+        rows = df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
+        newest = None
+        if is_stored(spark, path):
+            # What an earlier attempt of this batch has written does not count.
+            stored = spark.read.parquet(path).where(F.col("batch_id") < batch)
+            low, high, newest = df.agg(F.date_sub(F.min(day), 1), F.date_add(F.max(day), 1)).withColumn("_newest", _newest_event(stored, day, when).scalar()).first()
+            near = stored.where(F.col(day).between(F.lit(low), F.lit(high))).select(key)
+            rows = rows.join(near, key, "left_anti")
+        rows = cut_lineage(rows)
+        _write_parts(rows.withColumn("batch_id", F.lit(batch)), path, [day, "batch_id"])
+        if late_path is not None and newest is not None:
+            write_batch(rows.where(F.col(when) < F.lit(newest) - gap), batch, late_path)
+
+    return each_batch(events, checkpoint, write)
+
+
+def _newest_event(stored: DataFrame, day: str, when: str) -> DataFrame:
+    """Time of the newest stored event, from the newest day alone."""
+    return stored.where(F.col(day) == stored.agg(F.max(day)).scalar()).agg(F.max(when).alias("newest"))
+
+
+def _write_parts(df: DataFrame, path: str, parts: list[str]) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def ingest_events(raw: DataFrame, path: str, checkpoint: str, within: str = "15 minutes") -> StreamingQuery:
-    """JSON events to daily partitions, one row per event id. The file sink commits each batch once."""
-    return append_stream(dedup_events(parse_events(raw), within), path, checkpoint, "event_date")
+def ingest_events(raw: DataFrame, path: str, checkpoint: str, late_path: str | None = None, within: str = "15 minutes") -> StreamingQuery:
+    """JSON events to daily partitions, one row per event id; late ones also aside."""
+    return dedup_stream(parse_events(raw), path, checkpoint, late_path, within)
 
 
 def each_batch(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
@@ -47,49 +87,41 @@ def each_batch(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, int],
 
 def write_batch(df: DataFrame, batch: int, path: str) -> None:
     """Replace the partition of this batch id, so a repeated batch does not add rows twice."""
-    (
-        df.withColumn("batch_id", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(path)
-    )
+    _write_parts(df.withColumn("batch_id", F.lit(batch)), path, ["batch_id"])
 
 
-def hourly_counts(events: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Running hourly counts, latency sums and failures by system and type."""
-    return (
-        events.withWatermark("event_timestamp", late)
-        .groupBy(F.window("event_timestamp", "1 hour").alias("w"), "source_system", "event_type")
-        .agg(
-            F.count("*").alias("event_count"), F.sum("latency_ms").alias("latency_sum"), F.count("latency_ms").alias("latency_n"),
-            count_where(F.col("status") == "FAILURE").alias("failures"),
-        )
-        .select(F.col("w.start").alias("event_hour"), "source_system", "event_type", "event_count", "latency_sum", "latency_n", "failures")
-    )
+HOUR_KEYS = ["event_hour", "source_system", "event_type"]
+HOUR_VALUES = ["event_count", "latency_sum", "latency_n", "failures"]
 
 
-def hourly_events(events: DataFrame, path: str, checkpoint: str, late: str = "1 hour") -> StreamingQuery:
-    """Keep the hourly table current. Each batch writes the full value of the hours it changed."""
-    return each_batch(hourly_counts(events, late), checkpoint, lambda df, batch: write_batch(df, batch, path), "update")
+def hourly_parts(events: DataFrame) -> DataFrame:
+    """Counts, latency sums and failures by hour, system and type; parts of several batches add up."""
+    return events.groupBy(F.date_trunc("hour", "event_timestamp").alias("event_hour"), "source_system", "event_type").agg(
+        F.count("*").alias("event_count"), F.sum("latency_ms").alias("latency_sum"), F.count("latency_ms").alias("latency_n"),
+        count_where(F.col("status") == "FAILURE").alias("failures"),
+    )
 
 
-HOUR_KEYS = ["event_hour", "source_system", "event_type"]
-HOUR_VALUES = ["event_count", "latency_sum", "latency_n", "failures"]
+def hourly_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the hourly table current. Each batch adds its part to the hours of its events, late ones too."""
+    return each_batch(events, checkpoint, lambda df, batch: write_batch(hourly_parts(df), batch, path))
 
 
-def newest_values(table: DataFrame) -> DataFrame:
-    """One row per hour, the one written by the highest batch."""
-    newest = table.groupBy(*HOUR_KEYS).agg(F.max("batch_id").alias("batch_id"), F.max_by(F.struct(*HOUR_VALUES), "batch_id").alias("v"))
-    return newest.select(*HOUR_KEYS, *[F.col(f"v.{c}").alias(c) for c in HOUR_VALUES], "batch_id")
+def summed_hours(table: DataFrame) -> DataFrame:
+    """One row per hour over all batches."""
+    return table.groupBy(*HOUR_KEYS).agg(*[F.sum(c).alias(c) for c in HOUR_VALUES])
 
 
 def compact_hours(table: DataFrame, path: str) -> None:
-    """Copy the newest values to a new path, so the table stops growing with the number of batches."""
-    newest_values(table).hint("rebalance", "batch_id").write.partitionBy("batch_id").parquet(path)
+    """Copy the sums to a new path as the part of the newest batch, so the table stops growing with the number of batches."""
+    newest = table.agg(F.max("batch_id")).scalar()
+    summed_hours(table).withColumn("batch_id", newest).write.partitionBy("batch_id").parquet(path)
 
 
 def latest_hours(table: DataFrame) -> DataFrame:
     """R3 as a report: counts, mean latency and failures of each hour."""
     mean = F.try_divide(F.col("latency_sum").cast("double"), F.col("latency_n").cast("double"))
-    return newest_values(table).select(*HOUR_KEYS, "event_count", half_up(mean, 0).alias("avg_latency_ms"), "failures")
+    return summed_hours(table).select(*HOUR_KEYS, "event_count", half_up(mean, 0).alias("avg_latency_ms"), "failures")
 
 
 def baseline_rate(history: DataFrame, minutes: int, when: str = "event_timestamp") -> DataFrame:
@@ -100,24 +132,28 @@ def baseline_rate(history: DataFrame, minutes: int, when: str = "event_timestamp
     return history.agg((F.count("*") / windows).alias("per_window"))
 
 
-def final_counts(events: DataFrame, minutes: int, late: str = "0 seconds", when: str = "event_timestamp") -> DataFrame:
-    """Counts of windows the watermark has closed. A window still open is not judged."""
-    windows = events.withWatermark(when, late).groupBy(F.window(when, f"{minutes} minutes").alias("w")).agg(F.count("*").alias("events"))
-    return windows.select(F.col("w.start").alias("window_start"), "events")
+def volume_guard(events: DataFrame, path: str, checkpoint: str, minutes: int = 5, when: str = "event_timestamp") -> StreamingQuery:
+    """Counts by window as parts that add up; a late event counts in its own window."""
 
+    def write(df: DataFrame, batch: int) -> None:
+        parts = df.groupBy(F.window(when, f"{minutes} minutes").alias("w")).agg(F.count("*").alias("events"))
+        write_batch(parts.select(F.col("w.start").alias("window_start"), "events"), batch, path)
 
-def volume_guard(events: DataFrame, path: str, checkpoint: str, per_window: float, minutes: int = 5, floor: float = 0.6, late: str = "0 seconds") -> StreamingQuery:
-    """Closed windows with a flag on those whose volume fell below the guardrail."""
-    flagged = final_counts(events, minutes, late).withColumn("low", F.col("events") <= floor * per_window)
-    return each_batch(flagged, checkpoint, lambda df, batch: write_batch(df, batch, path))
+    return each_batch(events, checkpoint, write)
 
 
-def low_windows(closed: DataFrame, minutes: int) -> DataFrame:
-    """Flagged windows and, between the first and last closed window, those without any event."""
+def low_windows(parts: DataFrame, per_window: float, minutes: int, floor: float = 0.6) -> DataFrame:
+    """Closed windows whose volume fell below the guardrail, those without any event included.
+
+    The newest window is still open and is not judged. Judged anew over the sums
+    of all parts, so a window filled by late events is taken off again.
+    """
     step = F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    span = closed.agg(F.explode(F.sequence(F.min("window_start"), F.max("window_start"), step)).alias("window_start"))
-    filled = span.join(closed.select("window_start", "events", "low"), "window_start", "left")
-    return filled.where(F.coalesce("low", F.lit(True))).select("window_start", F.coalesce("events", F.lit(0)).alias("events"))
+    sums = parts.groupBy("window_start").agg(F.sum("events").alias("events"))
+    bounds = sums.agg(F.min("window_start").alias("lo"), (F.max("window_start") - step).alias("hi")).where("lo <= hi")
+    span = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("window_start"))
+    filled = span.join(sums, "window_start", "left").select("window_start", F.coalesce("events", F.lit(0)).alias("events"))
+    return filled.where(F.col("events") <= floor * per_window)
 
 
 def is_late(loaded: str, happened: str, limit: str) -> Column:
