@@ -103,10 +103,14 @@ def test_refunds_count_against_revenue_whatever_their_sign(spark):
 
 def test_rapid_repeat_equals_brute_force(spark):
     df = skewed(spark, 400).withColumn("ts", F.lit(dt.datetime(2023, 1, 1)).cast("timestamp_ntz") + F.make_interval(mins=(F.col("id") % 50).cast("int")))
-    got = {(r.first_id, r.second_id) for r in joins.rapid_repeat(df.where("v IS NOT NULL"), ["k", "v"], "ts", "id", 5).collect()}
-    data = df.where("v IS NOT NULL").collect()
+    rows_in = df.where("v IS NOT NULL")
+    got = {(r.first_id, r.second_id) for r in joins.rapid_pairs(rows_in, rows_in, ["k", "v"], "ts", "id", 5).collect()}
+    data = rows_in.collect()
     want = {(a.id, b.id) for a in data for b in data if (a.k, a.v) == (b.k, b.v) and a.ts < b.ts <= a.ts + dt.timedelta(minutes=5)}
     assert got == want and want
+    at = {r.id: r.ts for r in data}
+    counted = {r.id: (r.repeats, at[r.nearest_id]) for r in joins.rapid_repeat(rows_in, ["k", "v"], "ts", "id", 5).collect()}
+    assert counted == {b: (sum(x[1] == b for x in want), max(at[a] for a, x in want if x == b)) for b in {x for _, x in want}}
 
 
 def test_asof_interval_is_half_open(spark):

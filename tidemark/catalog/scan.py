@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import ts_literal
 from tidemark.operators.alerts import alert_rows
+from tidemark.operators.joins import upsert
 
 # Name patterns of sensitive columns, strongest class first.
 SENSITIVE_NAMES = [
@@ -52,6 +53,18 @@ def table_size(df: DataFrame) -> DataFrame:
     return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("size_bytes"))
 
 
+def table_sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """G1: files and bytes of each table."""
+    return reduce(DataFrame.unionByName, [table_size(df).withColumn("table_id", F.lit(name)) for name, df in tables.items()])
+
+
+def column_layout(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Position and type of every column, from the schemas alone."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(name, f.name, i, f.dataType.simpleString()) for name, df in tables.items() for i, f in enumerate(df.schema.fields, 1)]
+    return spark.createDataFrame(rows, "table_id string, column_name string, ordinal int, data_type string")
+
+
 def sensitivity_of(name: str | Column, default: str | Column = "INTERNAL") -> Column:
     text = F.col(name) if isinstance(name, str) else name
     expr = None
@@ -86,6 +99,18 @@ def build_catalog(scan: DataFrame, meta: DataFrame, as_of_ts: str) -> DataFrame:
     return joined.select(*[scan[c] for c in scan.columns], *filled, ts_literal(as_of_ts).alias("updated_at"))
 
 
+def column_catalog(columns: DataFrame, overrides: DataFrame, as_of_ts: str) -> DataFrame:
+    """A catalog row per column with its sensitivity."""
+    classed = classify_columns(columns.select("table_id", "column_name"), overrides)
+    return columns.join(classed, ["table_id", "column_name"]).withColumn("updated_at", ts_literal(as_of_ts))
+
+
+def upsert_columns(catalog: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The column catalog after a scan; known columns take the new description, the others are added."""
+    keys = ["table_id", "column_name"]
+    return upsert(catalog, fresh, keys, [c for c in catalog.columns if c not in keys])
+
+
 def unregistered_tables(scan: DataFrame, catalog: DataFrame) -> DataFrame:
     """Scanned tables the catalog does not know."""
     return scan.select("table_id").distinct().join(catalog, "table_id", "left_anti")

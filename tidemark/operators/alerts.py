@@ -5,29 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import day_literal, half_up, sum_where, ts_literal, units_between
+from tidemark.functions import count_where, day_literal, half_up, sum_where, ts_literal, units_between
 from tidemark.operators.joins import upsert
 
 
-def cost_summary(cost: DataFrame, day: str | None = None, user_limit: float = 1000) -> DataFrame:
-    """SQ3: total, top spender, users above the limit as JSON and cost on the curated layers, per day."""
+def _per_user(cost: DataFrame, day: str | None) -> DataFrame:
     src = cost if day is None else cost.where(F.col("job_date") == day_literal(day))
     curated = F.col("table_reference").like("%core_layer%") | F.col("table_reference").like("%analytics_layer%")
-    per_user = src.groupBy("job_date", "user_email").agg(
-        F.sum("cost_usd").alias("c"), F.count("*").alias("n"), sum_where("cost_usd", curated).alias("t1")
-    )
+    return src.groupBy("job_date", "user_email").agg(F.sum("cost_usd").alias("c"), F.count("*").alias("n"), sum_where("cost_usd", curated).alias("t1"))
+
+
+def cost_summary(cost: DataFrame, day: str | None = None, user_limit: float = 1000) -> DataFrame:
+    """SQ3: total, top spender, number of users above the limit and cost on the curated layers, per day."""
     spender = F.struct(F.col("c"), F.col("user_email"))
-    over = F.when(F.col("c") > user_limit, F.struct("user_email", half_up("c", 2).cast("decimal(18,2)").alias("cost_usd")))
-    return per_user.groupBy(F.col("job_date").alias("summary_date")).agg(
+    return _per_user(cost, day).groupBy(F.col("job_date").alias("summary_date")).agg(
         half_up(F.sum("c"), 2).alias("total_cost_usd"),
         F.sum("n").alias("total_queries"),
         F.max(spender)["user_email"].alias("top_spender_user"),
         half_up(F.max("c"), 2).alias("top_spender_cost_usd"),
-        F.to_json(F.sort_array(F.collect_list(over))).alias("anomalous_users"),
+        count_where(F.col("c") > user_limit).alias("anomalous_users"),
         half_up(F.sum("t1"), 2).alias("tier_1_query_cost_usd"),
     )
 
 
+def anomalous_users(cost: DataFrame, day: str | None = None, user_limit: float = 1000) -> DataFrame:
+    """SQ3: the users above the limit, a row per day and user, so a day with many of them is no large value."""
+    over = _per_user(cost, day).where(F.col("c") > user_limit)
+    return over.select(F.col("job_date").alias("summary_date"), "user_email", half_up("c", 2).alias("cost_usd"))
+
+
 def alert_rows(df: DataFrame, kind: str, severity: Column, subject: Column, message: Column, source: Column, as_of_ts: str) -> DataFrame:
     """Rows of the alert table. The id is a digest of what the alert says, so a retried task writes the same id."""
     at = ts_literal(as_of_ts)

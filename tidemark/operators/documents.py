@@ -51,18 +51,15 @@ def json_explode_variant(events: DataFrame, event_type: str | None = None) -> Da
     )
 
 
-def join_errors(events: DataFrame, event_type: str | None = None, separator: str = " | ") -> DataFrame:
-    """Q046: the distinct failure reasons of each unit as one ordered text, with their total count.
+def failure_reasons(events: DataFrame, event_type: str | None = None) -> DataFrame:
+    """Q046: every failure reason of each unit with how often it occurs, a row each.
 
-    Reasons are counted per unit first, so the text grows with the vocabulary of
-    reasons and not with the number of failures.
+    Rows instead of one joined text: its length would grow with the vocabulary
+    of reasons. Counted before the shuffle, so a hot unit is no hot task.
     """
     doc = F.from_json("payload", "error_list ARRAY<STRING>")
     errors = _of_type(events, event_type).select("bu_code", F.explode(doc["error_list"]).alias("err"))
-    counted = errors.groupBy("bu_code", "err").agg(F.count("*").alias("n"))
-    return counted.groupBy("bu_code").agg(
-        F.array_join(F.sort_array(F.collect_list("err")), separator).alias("errors"), F.sum("n").alias("occurrences")
-    )
+    return errors.groupBy("bu_code", "err").agg(F.count("*").alias("occurrences"))
 
 
 def nested_profile(customers: DataFrame) -> DataFrame:

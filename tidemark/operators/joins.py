@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import count_where, day_literal, is_posted, units_between
@@ -108,14 +108,29 @@ def employee_manager(employees: DataFrame) -> DataFrame:
 
 
 def rapid_repeat(df: DataFrame, same: Sequence[str], when: str, ident: str, minutes: int = 5) -> DataFrame:
-    """Q060: a later row equal in ``same`` within ``minutes``.
+    """Q060: rows that repeat an earlier row equal in ``same`` within ``minutes``: how many there are and the nearest.
 
-    The time bucket joins the equality keys, so a row meets only rows of its own
-    and the next bucket, however many rows its key has.
+    One row per repeat, never a row per pair. Each row stands in its own and the
+    next time bucket, so a window sees a bounded stretch of time of one key.
     """
     width = minutes * 60
+    at = F.unix_micros(F.col(when).cast("timestamp_ltz"))
     bucket = F.floor(F.unix_seconds(F.col(when).cast("timestamp_ltz")) / width)
-    base = df.select(*same, F.col(when), F.col(ident), bucket.alias("_b"))
+    base = df.select(*same, F.col(when).alias("_when"), F.col(ident).alias("_id"), at.alias("_at"), bucket.alias("_own"))
+    spread = base.withColumn("_b", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
+    before = Window.partitionBy(*same, "_b").orderBy("_at").rangeBetween(-width * 1_000_000, -1)
+    nearest = F.max(F.struct("_when", "_id")).over(before)
+    found = spread.select(*same, "_when", "_id", "_own", "_b", F.count("*").over(before).alias("repeats"), nearest.alias("_near"))
+    return found.where((F.col("_b") == F.col("_own")) & (F.col("repeats") > 0)).select(
+        *same, F.col("_near._id").alias("nearest_id"), F.col("_id").alias(ident), "repeats", units_between("MINUTE", "_near._when", "_when").alias("gap_minutes")
+    )
+
+
+def rapid_pairs(df: DataFrame, keys: DataFrame, same: Sequence[str], when: str, ident: str, minutes: int = 5) -> DataFrame:
+    """Q060: the pairs themselves, for the named ``keys`` only; their number grows with the square of a burst."""
+    width = minutes * 60
+    bucket = F.floor(F.unix_seconds(F.col(when).cast("timestamp_ltz")) / width)
+    base = df.join(keys.select(*same).distinct(), list(same), "left_semi").select(*same, F.col(when), F.col(ident), bucket.alias("_b"))
     first = base.select(*same, F.col(when).alias("_t1"), F.col(ident).alias("first_id"), F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"))
     second = base.select(*same, F.col(when).alias("_t2"), F.col(ident).alias("second_id"), "_b")
     close = (F.col("_t1") < F.col("_t2")) & (F.col("_t2") <= F.col("_t1") + F.expr(f"INTERVAL {int(minutes)} MINUTES"))

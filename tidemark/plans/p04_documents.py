@@ -42,12 +42,11 @@ def _(t):
 
 @query(
     "q046_join_errors",
-    """WITH e AS (SELECT bu_code, unnest(json_extract_string(payload, '$.error_list[*]')) AS err FROM event_docs),
-       c AS (SELECT bu_code, err, count(*) AS n FROM e GROUP BY ALL)
-       SELECT bu_code, string_agg(err, ' | ' ORDER BY err) AS errors, sum(n)::BIGINT AS occurrences FROM c GROUP BY bu_code""",
+    """WITH e AS (SELECT bu_code, unnest(json_extract_string(payload, '$.error_list[*]')) AS err FROM event_docs)
+       SELECT bu_code, err, count(*) AS occurrences FROM e GROUP BY ALL""",
 )
 def _(t):
-    return D.join_errors(t.event_docs, "ERROR")
+    return D.failure_reasons(t.event_docs, "ERROR")
 
 
 @query(

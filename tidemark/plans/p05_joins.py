@@ -61,9 +61,11 @@ def _(t):
 
 @query(
     "q060_rapid_repeat",
-    """SELECT a.customer_key, a.event_type, a.event_id AS first_id, b.event_id AS second_id, date_sub('minute', a.event_timestamp, b.event_timestamp) AS gap_minutes
-       FROM ops_events a JOIN ops_events b ON b.customer_key = a.customer_key AND b.event_type = a.event_type
-         AND b.event_timestamp > a.event_timestamp AND b.event_timestamp <= a.event_timestamp + INTERVAL 5 MINUTE""",
+    """WITH p AS (SELECT a.customer_key, a.event_type, a.event_id AS first_id, a.event_timestamp AS t1, b.event_id, b.event_timestamp AS t2
+         FROM ops_events a JOIN ops_events b ON b.customer_key = a.customer_key AND b.event_type = a.event_type
+           AND b.event_timestamp > a.event_timestamp AND b.event_timestamp <= a.event_timestamp + INTERVAL 5 MINUTE),
+       n AS (SELECT customer_key, event_type, event_id, count(*) AS repeats, max({'t': t1, 'i': first_id}) AS x, any_value(t2) AS t2 FROM p GROUP BY ALL)
+       SELECT customer_key, event_type, x.i AS nearest_id, event_id, repeats, date_sub('minute', x.t, t2) AS gap_minutes FROM n""",
 )
 def _(t):
     return J.rapid_repeat(t.ops_events, ["customer_key", "event_type"], "event_timestamp", "event_id", 5)

@@ -292,13 +292,17 @@ def _(t):
     "sq3_cost_summary",
     f"""WITH u AS (SELECT job_date, user_email, sum(cost_usd) AS c, count(*) AS n, coalesce(sum(cost_usd) FILTER (table_reference LIKE 'core_layer%' OR table_reference LIKE 'analytics_layer%'), 0) AS t1 FROM query_cost GROUP BY ALL)
         SELECT job_date AS summary_date, {r('sum(c)', 2)} AS total_cost_usd, sum(n)::BIGINT AS total_queries, arg_max(user_email, {{'c': c, 'u': user_email}}) AS top_spender_user, {r('max(c)', 2)} AS top_spender_cost_usd,
-          concat('[', coalesce(string_agg(concat('{{"user_email":"', user_email, '","cost_usd":', round(c::DECIMAL(28,8), 2)::DECIMAL(18,2), '}}'), ',' ORDER BY user_email) FILTER (c > 600), ''), ']') AS anomalous_users,
-          {r('sum(t1)', 2)} AS tier_1_query_cost_usd FROM u GROUP BY job_date""",
+          count(*) FILTER (c > 600) AS anomalous_users, {r('sum(t1)', 2)} AS tier_1_query_cost_usd FROM u GROUP BY job_date""",
 )
 def _(t):
     return A.cost_summary(t.query_cost, user_limit=600)
 
 
+@query("sq3_anomalous_users", f"SELECT job_date AS summary_date, user_email, {r('sum(cost_usd)', 2)} AS cost_usd FROM query_cost GROUP BY ALL HAVING sum(cost_usd) > 600")
+def _(t):
+    return A.anomalous_users(t.query_cost, user_limit=600)
+
+
 @query(
     "sq4_freshness_alerts",
     f"""WITH x AS (SELECT *, date_sub('hour', last_loaded_at, TIMESTAMP '{NOW}') AS h FROM table_catalog WHERE criticality = 'T1')

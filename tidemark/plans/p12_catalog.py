@@ -11,27 +11,61 @@ from tidemark.operators import hierarchy as H
 from tidemark.plans.p02_segments import NOW
 from tidemark.plans.registry import query
 
+#: Columns and types of every given table.
 SCANNED = {
-    "region": ["r_regionkey", "r_name"],
-    "nation": ["n_nationkey", "n_name", "n_regionkey"],
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
-    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
-    "labels": ["doc_id", "quality", "toxic"],
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
+COLUMNS = {table: [tuple(c.split()) for c in layout.split(", ")] for table, layout in SCANNED.items()}
 
 
 @query(
     "g1_scan_catalog",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_id, '{c}' AS column_name, {i} AS ordinal, count(*) AS row_count, count(*) - count({c}) AS null_count FROM {t}"
-        for t, cols in SCANNED.items()
-        for i, c in enumerate(cols, 1)
+        f"SELECT '{t}' AS table_id, '{c}' AS column_name, {i} AS ordinal, '{kind}' AS data_type, count(*) AS row_count, count(*) - count({c}) AS null_count FROM {t}"
+        for t, columns in COLUMNS.items()
+        for i, (c, kind) in enumerate(columns, 1)
     ),
 )
 def _(t):
-    return C.scan_catalog({n: getattr(t, n) for n in SCANNED}).drop("data_type")
+    return C.scan_catalog({n: getattr(t, n) for n in SCANNED})
+
+
+@query("g1_table_sizes", " UNION ALL ".join(f"SELECT '{t}' AS table_id, true AS has_files, count(*) > 0 AS has_bytes FROM {t}" for t in SCANNED))
+def _(t):
+    """Files and bytes of every table from its file metadata; their numbers depend on the writer."""
+    sizes = C.table_sizes({n: getattr(t, n) for n in SCANNED})
+    return sizes.select("table_id", (F.col("files") > 0).alias("has_files"), (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
+@query(
+    "g3_column_catalog",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_id, '{c}' AS column_name, {i} AS ordinal, '{kind}' AS data_type, {'true' if t == 'orders' and c == 'o_custkey' else 'false'} AS by_steward, "
+        f"'{'RESTRICTED' if t == 'orders' and c == 'o_custkey' else 'PII' if 'name' in c else 'PCI' if 'pan' in c or 'card' in c else 'INTERNAL'}' AS sensitivity"
+        for t, columns in COLUMNS.items()
+        for i, (c, kind) in enumerate(columns, 1)
+    ),
+)
+def _(t):
+    """Column rows written twice: the second scan replaces those of the first by key and adds the rest."""
+    steward = t.spark.createDataFrame([("orders", "o_custkey", "RESTRICTED")], "table_id string, column_name string, sensitivity string")
+    scan = C.column_layout({n: getattr(t, n) for n in SCANNED})
+    first = C.column_catalog(scan.where("table_id < 'm'").withColumn("data_type", F.lit("outdated")), steward, NOW)
+    merged = C.upsert_columns(first, C.column_catalog(scan, steward, NOW))
+    return merged.select("table_id", "column_name", "ordinal", "data_type", (F.col("sensitivity") == "RESTRICTED").alias("by_steward"), "sensitivity")
 
 
 @query(

@@ -226,3 +226,26 @@ def _(t):
 @query("a13_sheet_days", f"WITH {DAILY_CTE} SELECT metric_date, sum(active_customers)::BIGINT AS active_customers, any_value(dq_score) AS dq_score, any_value(cost_usd) AS cost_usd FROM v1 {DAY_JOINS} GROUP BY metric_date")
 def _(t):
     return A.sheet_days(_overview(t))
+
+
+@query("src_csv_upload", "SELECT txn_id, customer_id, amount_usd, txn_type, status, promo FROM upload")
+def _(t):
+    """The upload written as CSV and read back as text columns; blanks and bad numbers stay as they are."""
+    from tidemark.session import run_dir
+    from tidemark.sources import files
+
+    columns = ["txn_id", "customer_id", "amount_usd", "txn_type", "status", "promo"]
+    folder = run_dir(t.spark, "csv")
+    t.upload.select(*columns).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return files.read_csv(t.spark, folder, columns).drop(files.CORRUPT)
+
+
+@query("src_json_orders", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULL::VARCHAR AS added_later FROM orders")
+def _(t):
+    """Orders as JSON lines, read with a schema that has one field more."""
+    from tidemark.session import run_dir
+    from tidemark.sources import files
+
+    folder = run_dir(t.spark, "json")
+    t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").write.json(folder)
+    return files.read_json(t.spark, folder, "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, added_later STRING")

@@ -52,6 +52,10 @@ ENTRIES = {
         lambda t: S.key_health(t.txn_gaps, "customer_ref", ["etl_batch_id"]),
         "SELECT etl_batch_id, count(*) AS staged_rows, count(*) - count(customer_ref) AS null_keys, count(DISTINCT customer_ref) AS distinct_keys FROM txn_gaps GROUP BY etl_batch_id",
     ),
+    "s03c_runs_of_the_day": (
+        lambda t: S.run_log(t.pipeline_runs, first=ORDERS_AS_OF, last=ORDERS_AS_OF).select("run_id", "pipeline_name", "target_table", "status"),
+        f"SELECT run_id, pipeline_name, target_table, status FROM pipeline_runs WHERE run_date = DATE '{ORDERS_AS_OF}'",
+    ),
     "s04a_sla_breach": (
         lambda t: freshness_report(t.table_catalog, t.pipeline_runs, NOW, "T2").select("table_id", "freshness_status"),
         f"""WITH ok AS (SELECT target_table, max(run_finished_at) AS f FROM pipeline_runs WHERE status = 'SUCCESS' GROUP BY 1)

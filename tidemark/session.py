@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dir: str | None = None
+_local_dir: tempfile.TemporaryDirectory | None = None
 
 
 def local_session(app: str = "tidemark", cores: str | int = 8, **conf: str) -> SparkSession:
@@ -45,8 +45,9 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     global _local_dir
     if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_dir
+        # Removed with all checkpoints in it when the process ends.
+        _local_dir = tempfile.TemporaryDirectory(prefix="tidemark-", ignore_cleanup_errors=True)
+    return _local_dir.name
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
