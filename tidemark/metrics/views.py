@@ -19,35 +19,41 @@ from tidemark.functions import (
     units_between,
 )
 from tidemark.operators.ranking import ntile_by_value
+from tidemark.session import cut_lineage
 
 
 def executive_daily(txns: DataFrame, units: DataFrame, regions: DataFrame, products: DataFrame) -> DataFrame:
     """V1: KPIs by day, business unit and region.
 
-    Rows are combined per (day, unit, region, customer) and then per cell, so the
-    distinct customers are a plain count and a hot cell is spread over its customers.
+    Rows are combined per (day, unit, region, customer), so the distinct customers
+    are a plain count, and per (day, unit, region, product), so margins meet sums
+    and no single transaction meets the product dimension. Both become cells,
+    which are few, before they are joined.
     """
+    cell = ["txn_date", "bu_code", "region_key"]
     good = counts_as_gmv()
     margins = products.where("is_current").select("product_key", "margin_pct")
-    per_customer = (
-        txns.join(margins, "product_key", "left")
-        .groupBy("txn_date", "bu_code", "region_key", "customer_key")
+    counted = (
+        txns.groupBy(*cell, "customer_key")
         .agg(
             count_where(good).alias("n"),
             sum_where("amount_usd", good).alias("gmv"),
             sum_where(F.abs("amount_usd"), F.col("txn_type") == "REFUND").alias("refunds"),
             F.sum("amount_usd").alias("total"),
-            F.sum(F.col("amount_usd") * F.col("margin_pct")).alias("weighted"),
+        )
+        .groupBy(*cell)
+        .agg(
+            F.sum("n").alias("txn_count"),
+            count_where(F.col("n") > 0).alias("active_customers"),
+            F.sum("gmv").alias("gmv_usd"),
+            F.sum("refunds").alias("refunds_usd"),
+            ratio(F.sum("gmv"), F.sum("n"), 2).alias("avg_order_value_usd"),
+            F.sum("total").alias("_total"),
         )
     )
-    kpis = per_customer.groupBy("txn_date", "bu_code", "region_key").agg(
-        F.sum("n").alias("txn_count"),
-        count_where(F.col("n") > 0).alias("active_customers"),
-        F.sum("gmv").alias("gmv_usd"),
-        F.sum("refunds").alias("refunds_usd"),
-        ratio(F.sum("gmv"), F.sum("n"), 2).alias("avg_order_value_usd"),
-        ratio(F.sum("weighted"), F.sum("total"), 4).alias("blended_margin_rate"),
-    )
+    per_product = txns.groupBy(*cell, "product_key").agg(F.sum("amount_usd").alias("total")).join(margins, "product_key")
+    weighted = per_product.groupBy(*cell).agg(F.sum(F.col("total") * F.col("margin_pct")).alias("_weighted"))
+    kpis = counted.join(weighted, cell, "left").withColumn("blended_margin_rate", ratio("_weighted", "_total", 4))
     return (
         kpis.join(units, "bu_code")
         .join(regions.select("region_key", "region_name"), "region_key")
@@ -96,16 +102,18 @@ def customer_360(customers: DataFrame, txns: DataFrame, cases: DataFrame, as_of:
         F.count_distinct("account_key").alias("account_count"),
     )
     waiting = cases.where(F.col("status").isin("OPEN", "IN_PROGRESS")).groupBy("customer_key").agg(F.count("*").alias("open_cases"))
-    base = customers.where("is_current").select("customer_key", "customer_id", "full_name", "customer_segment", "tier", "is_active").join(
-        activity, "customer_key"
-    )
-    valued = ntile_by_value(base, "lifetime_value_usd", "customer_key", 4, "value_quartile")
+    members = customers.where("is_current").select("customer_key", "customer_id", "full_name", "customer_segment", "tier", "is_active")
+    # Keys and measures alone are placed in order; names join after.
+    base = cut_lineage(members.select("customer_key").join(activity, "customer_key"))
+    valued = ntile_by_value(base.select("customer_key", "lifetime_value_usd"), "lifetime_value_usd", "customer_key", 4, "value_quartile").drop("lifetime_value_usd")
     recent = ntile_by_value(
         base.select("customer_key", "days_since_last_txn"), "days_since_last_txn", "customer_key", 4, "recency_quartile", descending=False
     ).drop("days_since_last_txn")
     days = F.col("days_since_last_txn")
     return (
-        valued.join(recent, "customer_key")
+        members.join(base, "customer_key")
+        .join(valued, "customer_key")
+        .join(recent, "customer_key")
         .join(waiting, "customer_key", "left")
         .withColumn("open_cases", F.coalesce("open_cases", F.lit(0)))
         .withColumn("engagement_status", bucketed("days_since_last_txn", [(days <= top, name) for top, name in ENGAGEMENT], "LAPSED"))

@@ -95,14 +95,13 @@ def gmv_per_customer(txns: DataFrame, business_units: DataFrame) -> DataFrame:
     )
 
 
-def all_recent_escalated(customers: DataFrame, cases: DataFrame, as_of_ts: str, days: int = 180, last: int = 3) -> DataFrame:
+def all_recent_escalated(customers: DataFrame, cases: DataFrame, as_of_ts: str, days: int = 180) -> DataFrame:
     """Q029: active customers with cases and none unescalated in the last ``days`` days."""
-    newest = top_n(cases, ["customer_key"], [F.col("opened_at").desc(), F.col("case_number").desc()], last)
     since = ts_literal(as_of_ts) - F.expr(f"INTERVAL {int(days)} DAYS")
     calm = cases.where(~F.col("is_escalated") & (F.col("opened_at") >= since))
     return (
         customers.where("is_active")
-        .join(newest, "customer_key", "left_semi")
+        .join(cases.select("customer_key"), "customer_key", "left_semi")
         .join(calm, "customer_key", "left_anti")
     )
 

@@ -220,7 +220,7 @@ def _overview(t):
 
 @query("a13_sheet_gmv", f"WITH {DAILY_CTE} SELECT metric_date, bu_name, sum(gmv_usd::DECIMAL(28,2))::DOUBLE AS gmv_usd FROM v1 GROUP BY ALL")
 def _(t):
-    return A.sheet_gmv(_overview(t))
+    return A.sheet_gmv(executive_daily(t))
 
 
 @query("a13_sheet_days", f"WITH {DAILY_CTE} SELECT metric_date, sum(active_customers)::BIGINT AS active_customers, any_value(dq_score) AS dq_score, any_value(cost_usd) AS cost_usd FROM v1 {DAY_JOINS} GROUP BY metric_date")
