@@ -23,7 +23,43 @@ def query(name: str, table: str, oracle: str | None = None):
     return add
 
 
-@query("op1_secret_scan", "documents")
+def _secret_sql() -> str:
+    """The scan as joins of match positions; splitting and extraction by RE2 instead of Java."""
+    S = secrets
+    patterns = [S.ASSIGN, rf"AKIA[A-Z0-9]{{{S.ACCESS_LENGTH - 4},}}", rf"[0-9a-f]{{{S.HEX_LENGTH},}}", S.IDENT, S.PASS, S.BLOB, S.ENDPOINT]
+    quoted = [p.replace("'", "''") for p in patterns]
+    found = " UNION ALL ".join(
+        f"SELECT rid, {k} AS kind, string_split_regex(text, '{p}') AS g, regexp_extract_all(text, '{p}') AS m, {f"regexp_extract_all(text, '{p}', 2)" if k == 0 else 'm'} AS v FROM d WHERE regexp_matches(text, '{p}')"
+        for k, p in enumerate(quoted)
+    )
+    names = "[" + ", ".join(f"'{k}'" for k in S.KINDS) + "]"
+    roles = "[" + ", ".join(f"'{S.ROLES[k]}'" for k in S.KINDS) + "]"
+    text = f"concat({names}[kind + 1], ':', start, ':', stop)"
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+      f AS ({found}),
+      u AS (SELECT rid, kind, unnest(range(len(m))) AS i, unnest(g[:len(m)]) AS gap, unnest(m) AS hit, unnest(v) AS val FROM f),
+      s AS (SELECT rid, kind, val, (sum(length(gap) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY i))::BIGINT AS stop, stop - length(hit) AS start FROM u),
+      p AS (SELECT rid, kind, start, stop, kind < 3 AS strong, {roles}[kind + 1] AS role FROM s WHERE kind <> 0 OR length(val) >= {S.ASSIGN_VALUE}),
+      w AS (SELECT w.rid, w.kind, w.start, w.stop FROM p w JOIN p o ON o.rid = w.rid AND o.start < w.stop + {S.REACH} AND o.stop > w.start - {S.REACH} WHERE NOT w.strong GROUP BY ALL
+        HAVING (bool_or(o.strong AND o.role <> w.role) OR count(DISTINCT o.role) FILTER (o.role <> w.role) = 2) AND NOT bool_or(o.strong AND o.start < w.stop AND o.stop > w.start)),
+      b AS (SELECT rid, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS c, count(*) FILTER (kind = 2) AS h, string_agg({text}, ',' ORDER BY start, kind) AS t FROM p WHERE strong GROUP BY rid),
+      e AS (SELECT rid, string_agg({text}, ',' ORDER BY start, kind) AS t, count(*) FILTER (kind >= 3) AS n FROM (SELECT rid, kind, start, stop FROM p WHERE strong UNION ALL FROM w) GROUP BY rid)
+      SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(b.t, '')) AS base_sha256, coalesce(e.t, '') AS spans, coalesce(n, 0) AS n_linked
+      FROM d LEFT JOIN b USING (rid) LEFT JOIN e USING (rid)"""
+
+
+#: Without the tree: each record beside its damaged replica.
+_FIXITY_SQL = f"""WITH r AS (SELECT page_id AS record_id, coalesce(html, '') AS h, concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', page_id, '>', chr(13), chr(10),
+        'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen(h), chr(13), chr(10), chr(13), chr(10), h, chr(13), chr(10), chr(13), chr(10)) AS body FROM pages),
+      n AS (SELECT record_id, strlen(body) AS length, sha256(body) AS digest, row_number() OVER (ORDER BY record_id NULLS FIRST, digest) - 1 AS number FROM r),
+      m AS (SELECT *, number // {fixity.FILE_RECORDS} AS file_no, CASE number % 97 WHEN 13 THEN 'flipped' WHEN 41 THEN 'cut' WHEN 71 THEN 'lost' END AS kind,
+        CASE kind WHEN 'cut' THEN length // 2 WHEN 'lost' THEN 0 ELSE length END AS left_over FROM n),
+      o AS (SELECT *, (sum(length) OVER w - length)::BIGINT AS "offset", (sum(left_over) OVER w - left_over)::BIGINT AS moved FROM m WINDOW w AS (PARTITION BY file_no ORDER BY number))
+      SELECT record_id, number, file_no, "offset", length, digest, if(kind = 'lost', NULL, moved) AS replica_offset, if(kind = 'lost', NULL, left_over) AS replica_length,
+        CASE WHEN kind = 'lost' THEN 'missing' WHEN kind IS NOT NULL THEN 'corrupt' WHEN moved <> "offset" THEN 'moved' ELSE 'ok' END AS status FROM o"""
+
+
+@query("op1_secret_scan", "documents", _secret_sql())
 def op1(docs: DataFrame) -> DataFrame:
     return secrets.report(docs)
 
@@ -43,7 +79,7 @@ def op4(docs: DataFrame) -> DataFrame:
     return langid.identify(docs)
 
 
-@query("op5_fixity_audit", "pages")
+@query("op5_fixity_audit", "pages", _FIXITY_SQL)
 def op5(pages: DataFrame) -> DataFrame:
     return fixity.audit_pages(pages)
 
