@@ -71,7 +71,7 @@ def test_mail(spark):
 
 
 def test_odd_rows(spark):
-    texts = [None, "", "no numbers at all", "4.0. 3. 555-7209", "97.51.17.173 " * 3000, "9" * 60, "999.1.1.1 0.0.0.0.0"]
+    texts = [None, "", "no numbers at all", "4.0. 3. 555-7209", "97.51.17.173 " * 3000, "9" * 60, "999.1.1.1 0.0.0.0.0", "a" * 200_000, "a.b-" * 40_000 + "@ x"]
     rows = found(spark, *texts)
     assert [r.text for r in rows][:4] == texts[:4] and [r.text for r in rows][5:] == texts[5:]
     assert len(rows[4].found) == 3000 and len(set(rows[4].text.split())) == 1

@@ -57,6 +57,6 @@ def test_copies_tie_to_the_smaller_id(spark):
 
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0], "a"), (100, None, None), (200, [0.0, 0.0], None), (300, [nan, 1.0], None), (1, [2.0, 0.0], None), (2, [inf, 0.0], None), (3, [1.0, None], None), (None, [1.0, 1.0], None), (4, [], None), (0, [1.0, 0.0], "a")]
+    rows = [(0, [1.0, 0.0], "a"), (100, None, None), (200, [0.0, 0.0], None), (300, [nan, 1.0], None), (1, [2.0, 0.0], None), (2, [inf, 0.0], None), (3, [1.0, None], None), (None, [1.0, 1.0], None), (4, [], None), (5, [1.0, 0.0, 0.0], None), (0, [1.0, 0.0], "a")]
     assert answers(pivots.nearest(spark.createDataFrame(rows[:-1], SCHEMA))) == {0: [(1, 1.0)]}
     assert pivots.nearest(spark.createDataFrame([], SCHEMA)).collect() == []

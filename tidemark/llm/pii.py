@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 KEY = "tidemark"
 ROUNDS = 10
 
-MAIL = r"[A-Za-z0-9_.+-]*[A-Za-z0-9_+-]@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# An address starts where a run of its characters does, so a long run is tried once.
+MAIL = r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]*[A-Za-z0-9_+-]@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 PATTERNS = {
     "mail": MAIL,

@@ -27,17 +27,19 @@ SHARD, BLOCK = 20_000, 4_096
 
 
 def valid_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id, v`` of rows with an id and a vector that is neither null, empty nor zero and has finite parts only.
-
-    Vectors of another length than most have no distance to the others and are
-    left to the caller: all of one table have one length here.
-    """
+    """``vec_id, v`` of rows with an id and a vector that is neither null, empty nor zero and has finite parts only."""
     v = F.col(f"`{embedding}`").cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     some = F.exists(v, lambda x: x != 0)
     return rows.select(F.col(f"`{vec_id}`").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null").where(finite & some)
 
 
+def of_one_length(vectors: DataFrame) -> DataFrame:
+    """Vectors of the most frequent length, of equally frequent ones the smallest; others have no distance to them and take no part."""
+    first = vectors.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return vectors if first is None else vectors.where(F.size("v") == first["n"])
+
+
 def choose_pivots(vectors: DataFrame, n: int = PIVOTS):
     """At most ``n`` distinct vectors with the smallest hashes, as a matrix."""
     import numpy as np
@@ -107,9 +109,10 @@ def search(rows: DataFrame, is_query, k: int = 10, pivots: int = PIVOTS, length:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which ``is_query(vec_id)`` holds.
 
     Nearest by Euclidean distance, ties to the smaller id; fewer rows only where
-    the table has fewer candidates. Rows with the query's own id are no candidates.
+    the table has fewer candidates. Rows with the query's own id are no candidates;
+    invalid vectors and those of an odd length take no part.
     """
-    vectors = cut_lineage(valid_vectors(rows))
+    vectors = of_one_length(cut_lineage(valid_vectors(rows)))
     counts = vectors.agg(F.count("*").alias("n"), F.count(F.when(is_query(F.col("vec_id")), 1)).alias("q")).first()
     shards, blocks = max(1, -(-counts["n"] // shard)), max(1, -(-counts["q"] // block))
     table = choose_pivots(vectors, pivots)
