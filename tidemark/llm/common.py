@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import struct
 import unicodedata
 from itertools import count
@@ -15,7 +14,7 @@ from tidemark.session import cut_lineage
 
 TOKENIZER = "word_bpe_49k.json"
 #: Words that one Python worker remembers; more start a new memory. Only speed depends on it.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 600_000
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
@@ -67,17 +66,15 @@ class WordIds(dict):
     piece of their own, so they are looked up apart.
     """
 
-    TAIL = re.compile(rb"(.*[0-9A-Za-z\x80-\xff])([.,;:!?]+)", re.DOTALL)
-    PLAIN = re.compile(rb"[a-z]+")
+    TAIL = b".,;:!?"
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.split = self.tokenizer.model.tokenize
         self.remembered = remembered
-        self.pieces: dict[bytes, bytes] = {}
         # Byte-level models show bytes without a visible character of their own as code points from 256 on.
         visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         self.shown = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(visible)))}
@@ -85,27 +82,21 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.remembered:
             self.clear()
-            self.pieces.clear()
-        m = self.TAIL.fullmatch(word)
-        if m and (m[1].isascii() or m[1].decode("utf-8", "replace")[-1].isalpha()):
-            found = self._piece(m[1]) + self._piece(m[2])
+        if word.isalpha() and word.islower():
+            shown = word.decode()
         else:
-            found = self._piece(word)
-        self[word] = found
-        return found
-
-    def _piece(self, word: bytes) -> bytes:
-        found = self.pieces.get(word)
-        if found is None:
+            core = word.rstrip(self.TAIL)
+            if len(core) < len(word) and core and (core[-1:].isalnum() or core[-1] >= 128 and core.decode("utf-8", "replace")[-1].isalpha()):
+                found = self[core] + self[word[len(core) :]]
+                self[word] = found
+                return found
             shown = self._shown(word)
-            ids = [t.id for t in self.model.tokenize(shown)] if shown else self._whole(word)
-            found = self.pieces[word] = struct.pack(f"<{len(ids)}I", *ids)
+        ids = self._whole(word) if shown is None else [t.id for t in self.split(shown)]
+        found = self[word] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def _shown(self, word: bytes) -> str | None:
-        """The word as the model reads it if normalizing and splitting leave it whole: lower-case Latin letters only."""
-        if self.PLAIN.fullmatch(word):
-            return word.decode()
+        """A word with letters beyond ASCII as the model reads it, if normalizing and splitting leave it whole: lower-case Latin letters only."""
         if word.isascii():
             return None
         text = word.decode("utf-8", "replace")

@@ -32,7 +32,7 @@ BLOCK, WIDTH, CLASSES, OWN_ROWS = 32, 16, 32, 1024
 #: Words of a training passage, share of the passages that a training round takes, rounds, and windows in a step.
 PASSAGE, ONE_IN, TRAIN_ROUNDS, STEP = 48, 48, 2, 64
 #: Documents and bytes of text whose words are counted together.
-CHUNK_DOCS, CHUNK_BYTES = 12_288, 48 << 20
+CHUNK_DOCS, CHUNK_BYTES = 12_288, 32 << 20
 SEED = 17
 
 
@@ -151,7 +151,9 @@ def scores(m: dict, classes: Classes, texts: list):
     rows, ids, first, owner = blocks_of(texts, classes)
     mask = _mask(m)
     scale = np.float32(WIDTH**-0.5)
-    q_of, k_of, v_of, u, c = m["e"] @ m["q"] * scale, m["e"] @ m["k"], m["e"] @ m["v"], m["u"], m["c"]
+    q_of, k_of, u, c = m["e"] @ m["q"] * scale, m["e"] @ m["k"], m["u"], m["c"]
+    # A last column of ones makes the sum of the weights come out of the same product.
+    v_of = np.c_[m["e"] @ m["v"], np.ones(len(m["e"]), np.float32)].astype(np.float32)
     for a in range(0, len(rows), STEP):
         part = slice(a, a + STEP)
         seen, own = rows[part], rows[part, BLOCK:]
@@ -160,8 +162,8 @@ def scores(m: dict, classes: Classes, texts: list):
         s[first[part], :, :BLOCK] = -1e9
         if s.max() < 60:
             np.exp(s, out=s)
-            h = s @ v_of[seen]
-            h /= s.sum(axis=2, keepdims=True)
+            summed = s @ v_of[seen]
+            h = summed[:, :, :WIDTH] / summed[:, :, WIDTH:]
             h += m["e"][own]
         else:
             h = attend(m, seen, first[part], mask)[-1]
@@ -184,7 +186,7 @@ def _picked(z, real, goal):
     import numpy as np
 
     own = z[real, goal]
-    return own - np.log(np.exp(z, out=z).sum(axis=1))[real]
+    return own - np.log(np.exp(z, out=z) @ np.ones(CLASSES, np.float32))[real]
 
 
 def gradients(m: dict, rows, target_classes, first):
@@ -270,9 +272,9 @@ def id_counts(words: DataFrame, path: str):
 
         total, ids = np.zeros(VOCABULARY, np.int64), word_ids(path)
         for b in batches:
-            for word, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                # A word may hold an id more than once.
-                np.add.at(total, np.frombuffer(ids[word], "<u4") if word else END, c)
+            coded = [ids[w] if w else END.to_bytes(4, "little") for w in b.column(0).to_pylist()]
+            times = np.repeat(b.column(1).to_numpy(), [len(x) // 4 for x in coded])
+            total += np.bincount(np.frombuffer(b"".join(coded), "<u4"), times, VOCABULARY).astype(np.int64)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
 
