@@ -14,15 +14,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_counted
 
 def levels(start: DataFrame, step: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
     """The start rows and every following level until one is empty. The caller has ruled out cycles."""
-    current = cut_lineage(start)
+    current, rows = cut_counted(start)
     found = []
-    while not current.isEmpty():
+    while rows:
         found.append(current)
-        current = cut_lineage(step(current))
+        current, rows = cut_counted(step(current))
     return found or [current]
 
 
@@ -32,13 +32,13 @@ def require_no_loop(links: DataFrame) -> None:
     Links are doubled, so each round looks twice as far up and a chain of n
     nodes takes log2(n) rounds. A way longer than the number of nodes repeats one.
     """
-    far = cut_lineage(links.where("above IS NOT NULL"))
-    nodes, reach = far.count(), 1
-    while reach <= nodes and not far.isEmpty():
+    far, nodes = cut_counted(links.where("above IS NOT NULL"))
+    left, reach = nodes, 1
+    while reach <= nodes and left:
         up = far.select(F.col("node").alias("above"), F.col("above").alias("_next"))
-        far = cut_lineage(far.join(up, "above").select("node", F.col("_next").alias("above")))
+        far, left = cut_counted(far.join(up, "above").select("node", F.col("_next").alias("above")))
         reach *= 2
-    if not far.isEmpty():
+    if left:
         raise ValueError("the hierarchy has a cycle")
 
 
@@ -48,18 +48,17 @@ def peeled(links: DataFrame) -> DataFrame:
     Nodes that no remaining link points to are taken away, round by round. If a
     round takes none, what is left holds a cycle, which raises.
     """
-    left = cut_lineage(links.distinct())
-    n, depth, found = left.count(), 0, []
+    left, n = cut_counted(links.distinct())
+    sources, depth, found = left.select("node").distinct(), 0, []
     while n:
         open_nodes = left.select(F.col("next").alias("node")).distinct()
         heads = left.select("node").distinct().join(open_nodes, "node", "left_anti")
-        rest = cut_lineage(left.join(open_nodes, "node", "left_semi"))
-        remaining = rest.count()
+        rest, remaining = cut_counted(left.join(open_nodes, "node", "left_semi"))
         if remaining == n:
             raise ValueError("the hierarchy has a cycle")
         found.append(heads.withColumn("depth", F.lit(depth)))
         # Ends of links that start nowhere else come one round later.
-        ends = left.join(heads, "node", "left_semi").select(F.col("next").alias("node")).distinct().join(links.select("node").distinct(), "node", "left_anti")
+        ends = left.join(heads, "node", "left_semi").select(F.col("next").alias("node")).distinct().join(sources, "node", "left_anti")
         found.append(ends.withColumn("depth", F.lit(depth + 1)))
         left, n, depth = rest, remaining, depth + 1
     nodes = stacked(found) if found else links.select("node", F.lit(0).alias("depth")).limit(0)
@@ -173,12 +172,12 @@ def reachable(edges: DataFrame, start_table: str, start_column: str) -> DataFram
     """
     links, heads, start = _links(edges, start_table, start_column)
     key = ["target_table", "target_column"]
-    frontier = cut_lineage(heads(links.where(start)).withColumn("depth", F.lit(0)))
+    frontier, rows = cut_counted(heads(links.where(start)).withColumn("depth", F.lit(0)))
     seen, depth = frontier, 0
-    while not frontier.isEmpty():
+    while rows:
         depth += 1
         reached = heads(links.join(_as_source(frontier), ["source_table", "source_column"], "left_semi"))
-        frontier = cut_lineage(reached.join(seen, key, "left_anti").withColumn("depth", F.lit(depth)))
+        frontier, rows = cut_counted(reached.join(seen, key, "left_anti").withColumn("depth", F.lit(depth)))
         seen = seen.unionByName(frontier)
     return seen
 

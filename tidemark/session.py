@@ -61,3 +61,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(run_dir(df.sparkSession, "checkpoints"))
     return df.checkpoint()
+
+
+def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` with the number of rows, counted while they are written."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation()
+    kept = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return kept, seen.get["rows"]
