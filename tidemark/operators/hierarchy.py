@@ -49,20 +49,16 @@ def peeled(links: DataFrame) -> DataFrame:
     round takes none, what is left holds a cycle, which raises.
     """
     left, n = cut_counted(links.distinct())
-    sources, depth, found = left.select("node").distinct(), 0, []
+    depth, found = 0, [left.select("node", F.lit(0).alias("depth"))]
     while n:
-        open_nodes = left.select(F.col("next").alias("node")).distinct()
-        heads = left.select("node").distinct().join(open_nodes, "node", "left_anti")
-        rest, remaining = cut_counted(left.join(open_nodes, "node", "left_semi"))
+        # A link stays until the round of its start, so its end lies at least one deeper.
+        ends = left.select(F.col("next").alias("node"))
+        found.append(ends.withColumn("depth", F.lit(depth + 1)))
+        left, remaining = cut_counted(left.join(ends.distinct(), "node", "left_semi"))
         if remaining == n:
             raise ValueError("the hierarchy has a cycle")
-        found.append(heads.withColumn("depth", F.lit(depth)))
-        # Ends of links that start nowhere else come one round later.
-        ends = left.join(heads, "node", "left_semi").select(F.col("next").alias("node")).distinct().join(sources, "node", "left_anti")
-        found.append(ends.withColumn("depth", F.lit(depth + 1)))
-        left, n, depth = rest, remaining, depth + 1
-    nodes = stacked(found) if found else links.select("node", F.lit(0).alias("depth")).limit(0)
-    return nodes.groupBy("node").agg(F.max("depth").alias("depth"))
+        n, depth = remaining, depth + 1
+    return stacked(found).groupBy("node").agg(F.max("depth").alias("depth"))
 
 
 def stacked(parts: list[DataFrame]) -> DataFrame:
