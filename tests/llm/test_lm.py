@@ -95,3 +95,14 @@ def test_gradients():
         down[k][at] -= 1e-4
         slope = (lm.gradients(up, rows, goals, first)[0] - lm.gradients(down, rows, goals, first)[0]) / 2e-4
         assert abs(slope - g[k][at]) < 1e-3 * max(1e-3, abs(slope))
+
+
+def test_training_learns_from_every_id_once():
+    path = tokenizer_path()
+    classes = lm.Classes(np.ones(lm.VOCABULARY))
+    texts = [b"", None, b"one two three", b"many words in a row " * 200, b"other " * 31]
+    every = np.concatenate([classes.of[c] for c in lm._coded(texts, path)])
+    turns = [lm.drawn(texts, classes, path, lm.ONE_IN, r) for r in range(lm.TRAIN_ROUNDS)]
+    learned = np.concatenate([goals.ravel() for _, goals, _ in turns])
+    assert sorted(learned[learned >= 0].tolist()) == sorted(every.tolist())
+    assert sum(int(first.sum()) for _, _, first in turns) == len(texts) and lm.CLASSES >= 64

@@ -11,7 +11,7 @@ and drawn within a class by their counts, so the probabilities of all ids add up
 to one. Texts are cut into blocks of ``BLOCK`` ids; a window is a block and the
 block before it, windows overlap by half and score the ids of their last block,
 so each id is scored once. Training runs on every partition at once and
-averages; the passages of all training documents take part, one in ``ONE_IN`` each round.
+averages; every window of all training documents is learned from once, one in ``ONE_IN`` each round.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ from tidemark.session import cut_lineage, run_dir
 
 #: Ids of the tokenizer: all, the mark before a text and the mark after it.
 VOCABULARY, START, END = 49_408, 49_406, 49_407
-BLOCK, WIDTH, CLASSES, OWN_ROWS = 32, 16, 32, 1024
-#: Words of a training passage, share of the passages that a training round takes, rounds, and windows in a step.
-PASSAGE, ONE_IN, TRAIN_ROUNDS, STEP = 48, 48, 2, 64
+BLOCK, WIDTH, CLASSES, OWN_ROWS = 32, 16, 64, 1024
+#: Training rounds, of which each takes another one of ``ONE_IN`` windows, and windows in a step.
+TRAIN_ROUNDS, ONE_IN, STEP = 2, 2, 64
 #: Documents and bytes of text whose words are counted together.
 CHUNK_DOCS, CHUNK_BYTES = 12_288, 32 << 20
 SEED = 17
@@ -307,21 +307,20 @@ def _averaged(updates: DataFrame, groups: int) -> dict | None:
     return mean((r["steps"], r["model"]) for r in grouped.collect())[0]
 
 
-def _passages(text: bytes | None, path: str, one_in: int, turn: int):
-    """Id sequences of the drawn passages of one text, each with the passage before it, and whether it starts the text."""
+def drawn(texts: list, classes: Classes, path: str, one_in: int, turn: int):
+    """Of the windows of texts, every ``one_in``-th; as many turns draw each window once. Input rows, classes of the targets (-1: none), first-block flags."""
     import numpy as np
 
-    ids, words, seed = word_ids(path), (text or b"").lower().split(), crc32(text or b"")
-    for a in range(0, len(words) + 1, PASSAGE):
-        if crc32(a.to_bytes(8, "little"), seed) % one_in == turn % one_in:
-            begin, stop = max(0, a - PASSAGE), a + PASSAGE
-            coded = ids.of_words(words[begin:stop]) + (END.to_bytes(4, "little") if stop > len(words) else b"")
-            if coded:
-                yield np.frombuffer(coded, "<u4").astype(np.int32), begin == 0
+    rows, ids, first, owner = blocks_of(_coded(texts, path), classes)
+    starts = np.flatnonzero(first)
+    number = np.arange(len(owner)) - starts[owner] + np.array([crc32(t or b"") for t in texts], np.int64)[owner]
+    mine = number % one_in == turn % one_in
+    ids = ids[mine]
+    return rows[mine], np.where(ids >= 0, classes.of[np.maximum(ids, 0)].astype(np.int64), -1), first[mine]
 
 
 def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUNDS, one_in: int = ONE_IN) -> dict:
-    """Rounds over ``docs(text)``: each partition trains on its passages from the shared model, then the models are averaged."""
+    """Rounds over ``docs(text)``: each partition trains on its windows from the shared model, then the models are averaged."""
     import numpy as np
 
     model = new_model(classes)
@@ -338,12 +337,9 @@ def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUN
             def windows():
                 for b in batches:
                     for part in _parts(b):
-                        drawn = [x for t in part.column(0).to_pylist() for x in _passages(t, path, one_in, r)]
-                        if drawn:
-                            rows, ids, first, owner = blocks_of([x for x, _ in drawn], classes)
-                            # What the start mark predicts is learned from the starts of texts alone.
-                            ids[first & ~np.array([x for _, x in drawn])[owner], 0] = -1
-                            yield rows, np.where(ids >= 0, classes.of[np.maximum(ids, 0)].astype(np.int64), -1), first
+                        found = drawn(part.column(0).to_pylist(), classes, path, one_in, r)
+                        if len(found[0]):
+                            yield found
 
             def steps():
                 held, size = [], 0
