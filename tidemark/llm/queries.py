@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fixity, langid, lm, packing, pii, pivots, secrets, sharding, simhash
+from tidemark.llm import decontaminate, fixity, langid, lm, packing, phrases, pii, pivots, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,6 +59,19 @@ _FIXITY_SQL = f"""WITH r AS (SELECT page_id AS record_id, coalesce(html, '') AS
         CASE WHEN kind = 'lost' THEN 'missing' WHEN kind IS NOT NULL THEN 'corrupt' WHEN moved <> "offset" THEN 'moved' ELSE 'ok' END AS status FROM o"""
 
 
+#: Every n-gram by itself, counted apart for each length.
+_PHRASE_SQL = """WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+      w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS ws FROM p),
+      g AS (SELECT lang, j, unnest([ws[i:i + j - 1] for i in range(1, len(ws) - j + 2)]) AS g FROM w, range(1, 6) AS s(j)),
+      c AS (SELECT lang, j, g, array_to_string(g, ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+      n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+      d AS (SELECT * FROM c WHERE j > 1 AND NOT EXISTS (SELECT 1 FROM c o WHERE o.lang = c.lang AND o.j > c.j AND 100 * o.f >= 100 * c.f AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+      k AS (SELECT d.lang, d.phrase, d.f AS a, x.f AS l, y.f AS r, n.n, ((1000::HUGEINT * d.f * n.n) // (x.f::HUGEINT * y.f))::BIGINT AS score, x.j AS k
+        FROM d JOIN n ON n.lang = d.lang JOIN c x ON x.lang = d.lang AND x.j < d.j AND x.g = d.g[:x.j] JOIN c y ON y.lang = d.lang AND y.j = d.j - x.j AND y.g = d.g[x.j + 1:]),
+      b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+      SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b QUALIFY rank <= 2000"""
+
+
 @query("op1_secret_scan", "documents", _secret_sql())
 def op1(docs: DataFrame) -> DataFrame:
     return secrets.report(docs)
@@ -110,3 +123,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op10_decontaminate"] = op10
+
+
+@query("op11_phrases", "documents", _PHRASE_SQL)
+def op11(docs: DataFrame) -> DataFrame:
+    return phrases.collocations(docs)
