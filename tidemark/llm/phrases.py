@@ -7,11 +7,11 @@ a phrase of any length has its count without an n-gram table of its own, and
 the language's own row is the number of its words.
 
 A window ends early where no phrase that is frequent enough can reach: a first
-pass counts the hashes of all n-grams in ``BUCKETS`` counters a length, and a
-window stops before an n-gram whose counter stays below the limit. A counter is
-never less than the count of any of its n-grams, so no frequent phrase is cut;
-the counters have the same size for every input. Rare first words open a window
-of padding alone, which counts them in their language.
+pass counts the hashes of all phrases in ``BUCKETS`` counters a length, and a
+window stops before a phrase whose counter stays below the limit. A counter is
+never less than the count of any of its phrases, so no frequent one is cut; the
+counters have the same size for every input. A window holds its first word
+always, so every word is counted.
 
 Hot keys: tasks send one row for each of their distinct windows, counters stop at
 the limit, and the report is limited for each language before it is shuffled.
@@ -98,16 +98,14 @@ class _Grams:
         self.seed = np.array([xxh64_intdigest(x.encode()) for x in self.names], np.uint64)
 
     def lengths(self):
-        """For every length, where an n-gram of it starts and the counter of each start."""
+        """For every length from 2 on, where a phrase of it starts and the counter of each start."""
         import numpy as np
 
         mine, ok = self.hash_of[self.ids], self.word
-        code = self.seed[self.lang]
-        for n in range(1, self.longest + 1):
-            if n > 1:
-                ok = ok[:-1] & self.word[n - 1 :]
-                code = code[:-1]
-            code = code * np.uint64(0x9E3779B97F4A7C15) + mine[n - 1 :]
+        code = self.seed[self.lang] + mine
+        for n in range(2, self.longest + 1):
+            ok = ok[:-1] & self.word[n - 1 :]
+            code = code[:-1] * np.uint64(0x9E3779B97F4A7C15) + mine[n - 1 :]
             mixed = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             yield n, ok, (mixed >> self.shift).astype(np.int64)
 
@@ -117,26 +115,28 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def reachable(texts: DataFrame, least: int, longest: int = LONGEST, buckets: int = BUCKETS) -> list[bytes]:
-    """For every length, one bit a counter: whether its n-grams come to ``least`` or more together.
+    """For every length from 2 on, one bit a counter: whether its phrases come to ``least`` or more together.
 
     The result has a fixed size. Tasks cut their counters at ``least``, which changes no bit.
     """
     import numpy as np
     import pyarrow as pa
 
+    # A limit beyond the width of a counter only lets more phrases pass.
     table, top = _table(), min(least, 0xFFFF)
+    kind = np.uint8 if top <= 0xFF else np.uint16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sums = Words(), np.zeros((longest, buckets), np.int32)
+        words, sums = Words(), np.zeros((longest - 1, buckets), np.int32)
         for langs, step in _steps(batches, table):
             if len(words) > REMEMBERED:
                 words = Words()
             for n, ok, at in _Grams(words, langs, step, longest, buckets).lengths():
-                sums[n - 1] += np.bincount(at[ok], minlength=buckets).astype(np.int32)
+                sums[n - 2] += np.bincount(at[ok], minlength=buckets).astype(np.int32)
         yield from rows_of(sums)
 
     def rows_of(sums) -> Iterator[pa.RecordBatch]:
-        parts = np.minimum(sums, top).astype(np.uint16).reshape(-1, BLOCK)
+        parts = np.minimum(sums, top).astype(kind).reshape(-1, BLOCK)
         used = np.flatnonzero(parts.any(axis=1))
         for at in range(0, len(used), 512):
             some = used[at : at + 512]
@@ -147,15 +147,15 @@ def reachable(texts: DataFrame, least: int, longest: int = LONGEST, buckets: int
         for b in batches:
             for k, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 have = sums.setdefault(k, np.zeros(BLOCK, np.int64))
-                have += np.frombuffer(part, np.uint16)
+                have += np.frombuffer(part, kind)
         if sums:
             made = [np.packbits(sums[k] >= top).tobytes() for k in sums]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(made, pa.binary())], ["block", "bits"])
 
     summed = texts.mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, bits binary")
-    found = {r.block: bytes(r.bits) for r in summed.collect()}  # longest * buckets bits at most
+    found = {r.block: bytes(r.bits) for r in summed.collect()}  # (longest - 1) * buckets bits at most
     empty, blocks = bytes(BLOCK // 8), buckets // BLOCK
-    return [b"".join(found.get(n * blocks + k, empty) for k in range(blocks)) for n in range(longest)]
+    return [b"".join(found.get(n * blocks + k, empty) for k in range(blocks)) for n in range(longest - 1)]
 
 
 def windows(texts: DataFrame, bits: list[bytes], longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
@@ -177,10 +177,10 @@ def windows(texts: DataFrame, bits: list[bytes], longest: int = LONGEST, buckets
             grams = _Grams(words, langs, step, longest, buckets)
             ids = grams.ids
             rows = np.zeros((len(ids), longest + 1), np.int64)
-            rows[:, longest] = grams.lang
+            rows[:, 0], rows[:, longest] = ids, grams.lang
             goes_on = grams.word
             for n, ok, at in grams.lengths():
-                goes_on = goes_on[: len(ok)] & ok & open_[n - 1][at]
+                goes_on = goes_on[: len(ok)] & ok & open_[n - 2][at]
                 rows[: len(ok), n - 1] = np.where(goes_on, ids[n - 1 :], 0)
             rows = rows[grams.word]
             if not len(rows):
