@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fixity, langid, lm, packing, phrases, pii, pivots, secrets, sharding, simhash
+from tidemark.llm import decontaminate, fixity, langid, lm, negatives, packing, phrases, pii, pivots, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,6 +72,15 @@ _PHRASE_SQL = """WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_
       SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b QUALIFY rank <= 2000"""
 
 
+#: Every anchor beside every row.
+_NEGATIVE_SQL = """WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT a.vec_id AS anchor_id, a.label AS own, o.vec_id, o.label, list_dot_product(a.v, o.v)::BIGINT AS score FROM e a JOIN e o ON o.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+      p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+      SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+      FROM p JOIN s USING (anchor_id) WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3"""
+
+
 @query("op1_secret_scan", "documents", _secret_sql())
 def op1(docs: DataFrame) -> DataFrame:
     return secrets.report(docs)
@@ -128,3 +137,8 @@ QUERIES["op10_decontaminate"] = op10
 @query("op11_phrases", "documents", _PHRASE_SQL)
 def op11(docs: DataFrame) -> DataFrame:
     return phrases.collocations(docs)
+
+
+@query("op12_hard_negatives", "embeddings", _NEGATIVE_SQL)
+def op12(vectors: DataFrame) -> DataFrame:
+    return negatives.hard_negatives(vectors)
