@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fixity, langid, lm, negatives, packing, phrases, pii, pivots, secrets, sharding, simhash
+from tidemark.llm import decontaminate, fixity, jaccard, langid, lm, negatives, packing, phrases, pii, pivots, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,16 @@ _NEGATIVE_SQL = """WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 T
       FROM p JOIN s USING (anchor_id) WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3"""
 
 
+#: Every pair of rows with a common shingle, then reachability.
+_JACCARD_SQL = """WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+      s AS (SELECT rid, doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE [array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)] END) AS g FROM w),
+      x AS (SELECT rid, len(g) AS n, unnest(g) AS g FROM s),
+      j AS (SELECT a.rid AS a, b.rid AS b FROM x a JOIN x b ON a.g = b.g AND a.rid <> b.rid GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+      r AS (SELECT rid AS a, rid AS b FROM w UNION SELECT r.a, j.b FROM r JOIN j ON r.b = j.a),
+      c AS (SELECT a, min(doc_id) AS component_id FROM r JOIN w ON w.rid = r.b GROUP BY a)
+      SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM s JOIN c ON c.a = s.rid"""
+
+
 @query("op1_secret_scan", "documents", _secret_sql())
 def op1(docs: DataFrame) -> DataFrame:
     return secrets.report(docs)
@@ -142,3 +152,8 @@ def op11(docs: DataFrame) -> DataFrame:
 @query("op12_hard_negatives", "embeddings", _NEGATIVE_SQL)
 def op12(vectors: DataFrame) -> DataFrame:
     return negatives.hard_negatives(vectors)
+
+
+@query("op13_jaccard_join", "documents", _JACCARD_SQL)
+def op13(docs: DataFrame) -> DataFrame:
+    return jaccard.joined(docs)
