@@ -44,7 +44,8 @@ SPARE_SHARE, SPARE = 0.1, 3
 DELETED_UP_TO, DELETED = 31, 2
 #: Classes of a list that are compared pair by pair.
 CROWD = 16
-PARITY_WORDS = 4
+#: Parity bits of a set, at least; greater sets have as many as members, rounded up to a power of two.
+PARITY = 256
 
 
 def shingles(text: bytes | None, width: int = 5):
@@ -164,6 +165,15 @@ def signature(hashes, schemes: list[Scheme]):
     return np.unique(np.concatenate(keys)), min(spare), short
 
 
+def parity_bits(hashes):
+    """For every counter, whether an odd number of members fall into it, as 64-bit numbers."""
+    import numpy as np
+
+    bits = max(PARITY, 1 << (len(hashes) - 1).bit_length()) if len(hashes) else PARITY
+    odd = np.bincount(_mixed(hashes) & np.uint64(bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64)
+
+
 def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: str, **limits: int) -> DataFrame:
     """Per row: ``doc_id``, digest ``h`` of its set, its first 64 bits ``node``, size ``n``, band, parity bits; keys once a task for each set."""
     import numpy as np
@@ -171,8 +181,7 @@ def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: st
 
     starts = band_starts(percent)
     schemes = [Scheme(k, a, b - 1, percent, **limits) for k, (a, b) in enumerate(zip(starts, starts[1:]))]
-    parity = [f"p{k}" for k in range(PARITY_WORDS)]
-    names = ["doc_id", "h", "node", "n", "band", *parity, "spare", "short", "keys"]
+    names = ["doc_id", "h", "node", "n", "band", "parity", "spare", "short", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import md5
@@ -185,7 +194,6 @@ def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: st
                 for t in part.column(1).to_pylist():
                     own = shingles(t, width)
                     h = md5(own.tobytes()).digest()
-                    bits = np.packbits(np.bincount(_mixed(own) & np.uint64(64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS).astype(np.uint8) & 1)
                     keys, spare, short = (np.zeros(0, np.uint64), 0, [])
                     if len(own) and h not in seen:
                         if len(seen) > 500_000:
@@ -193,14 +201,14 @@ def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: st
                         seen.add(h)
                         keys, spare, short = signature(own, schemes)
                     band = next(s.band for s in schemes if len(own) <= s.most)
-                    rows.append((h, int.from_bytes(h[:8], "big", signed=True), len(own), band, *bits.view(">i8").tolist(), spare, short, keys.view(np.int64)))
+                    rows.append((h, int.from_bytes(h[:8], "big", signed=True), len(own), band, parity_bits(own), spare, short, keys.view(np.int64)))
                 if rows:
                     cols = list(zip(*rows))
-                    types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * PARITY_WORDS, pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                    types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
                     yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], names)
 
     kind = dict(docs.dtypes)[doc_id]
-    schema = f"doc_id {kind}, h binary, node bigint, n bigint, band int, {', '.join(f'{p} bigint' for p in parity)}, spare bigint, short array<int>, keys array<bigint>"
+    schema = f"doc_id {kind}, h binary, node bigint, n bigint, band int, parity array<bigint>, spare bigint, short array<int>, keys array<bigint>"
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
@@ -260,11 +268,23 @@ def listed_pairs(entries: DataFrame, crowd: int = CROWD) -> DataFrame:
     return entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a bigint, b bigint, key bigint")
 
 
+def _folded(bits: Column, to: Column) -> Column:
+    """Parity bits with half as many counters where the other side has fewer."""
+    half = F.floor(F.size(bits) / 2).cast("int")
+    folded = F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(bits) > F.size(to), folded).otherwise(bits)
+
+
 def _may_be_similar(percent: int) -> Column:
-    """Bounds by size and by parity bits, of columns with the endings _a and _b."""
+    """Bounds by size and by parity bits, of columns with the endings _a and _b.
+
+    Sets of fitting size have as many counters or twice as many. Each counter
+    that differs stands for a member in just one of the sets.
+    """
+    a, b = F.col("parity_a"), F.col("parity_b")
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    apart = sum((F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(PARITY_WORDS)), F.lit(0))
-    return sizes & (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+    apart = F.aggregate(F.zip_with(_folded(a, b), _folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.when(sizes, apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).otherwise(False)
 
 
 class Join:
@@ -275,12 +295,12 @@ class Join:
         folder = f"{run_dir(docs.sparkSession, 'jaccard')}/signed"
         signed_sets(docs, percent, width, text, doc_id, **limits).write.parquet(folder)
         self.signed = docs.sparkSession.read.parquet(folder)
-        facts = ["node", "n", "band", *(f"p{k}" for k in range(PARITY_WORDS))]
+        facts = ["node", "n", "band", "parity"]
         every = self.signed.where("n > 0").groupBy("h").agg(F.min("doc_id").alias("least"), F.max("spare").alias("spare"), *[F.min(c).alias(c) for c in facts])
         self.classes = cut_lineage(every.withColumn("id", F.monotonically_increasing_id()))
 
     def _side(self, end: str, *more: str) -> DataFrame:
-        kept = ["id", "n", *(f"p{k}" for k in range(PARITY_WORDS)), *more]
+        kept = ["id", "n", "parity", *more]
         return self.classes.select(*[F.col(c).alias(f"{c}_{end}") for c in kept])
 
     def _numbered(self, pairs: DataFrame) -> DataFrame:
@@ -291,7 +311,7 @@ class Join:
     def _short(self) -> DataFrame:
         """Sets that could not look up a band fully, with all sets of that band."""
         short = self.signed.where(F.size("short") > 0).select("h", F.explode("short").alias("band_b")).distinct()
-        asked = short.join(self.classes.select("h", *[F.col(c).alias(f"{c}_a") for c in ["id", "n", *(f"p{k}" for k in range(PARITY_WORDS))]]), "h")
+        asked = short.join(self.classes.select("h", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "parity")]), "h")
         return asked.join(self._side("b", "band"), "band_b").where((F.col("id_a") != F.col("id_b")) & _may_be_similar(self.percent)).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
     def similar(self, pairs: DataFrame) -> DataFrame:
