@@ -18,10 +18,10 @@ whole sets decide.
 
 Hot keys: equal sets are one class; a task signs each of its distinct texts once.
 A list with more than ``CROWD`` classes is not paired up. Its members are
-compared with the first one, which links most copies of one text; after that
-only members of different components are compared, and only for sets that have
-no other segments left to look up instead. No link between classes is lost that
-the components need.
+compared with the one that is in most such lists, which links most copies of one
+text; after that only members of different components are compared, and only
+for sets that have no other segments left to look up instead. No link between
+classes is lost that the components need.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ SPARE_SHARE, SPARE = 0.1, 3
 DELETED_UP_TO, DELETED = 31, 2
 #: Classes of a list that are compared pair by pair.
 CROWD = 16
-#: Parity bits of a set, at least; greater sets have as many as members, rounded up to a power of two.
+#: Parity bits of a set, at least; greater sets have four for each member, rounded up to a power of two.
 PARITY = 256
 
 
@@ -169,7 +169,7 @@ def parity_bits(hashes):
     """For every counter, whether an odd number of members fall into it, as 64-bit numbers."""
     import numpy as np
 
-    bits = max(PARITY, 1 << (len(hashes) - 1).bit_length()) if len(hashes) else PARITY
+    bits = max(PARITY, 4 << (len(hashes) - 1).bit_length()) if len(hashes) else PARITY
     odd = np.bincount(_mixed(hashes) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64)
 
@@ -213,7 +213,7 @@ def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: st
 
 
 def listed_pairs(entries: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """``a, b, key`` of ``entries(key, node)``: pairs within a list without a key; of a crowded one, its first member with every other, and the key."""
+    """``a, b, key`` of ``entries(key, node)``: pairs within a list, without a key; the key of a crowded one and all its members ``b`` beside the first, ``a``."""
     import numpy as np
     import pyarrow as pa
 
@@ -355,15 +355,22 @@ class Join:
         """Edges ``a, b`` between class numbers that connect all similar classes."""
         entries = self.signed.select("node", F.explode("keys").alias("key")).select("key", "node")
         listed = cut_lineage(listed_pairs(entries, self.crowd).distinct())
-        edges = self.similar(self._numbered(listed.select("a", "b").distinct()).union(self._short()))
+        pairs = self._numbered(listed.where("key is null").select("a", "b")).union(self._short())
         crowded = listed.where("key is not null")
         if crowded.isEmpty():
-            return edges
-        return edges.union(self.similar(self._across(crowded, edges)))
-
-    def _across(self, crowded: DataFrame, edges: DataFrame) -> DataFrame:
+            return self.similar(pairs)
+        members = cut_lineage(crowded.select("key", F.col("a").alias("node")).union(crowded.select("key", "b")).distinct())
+        edges = self.similar(pairs.union(self._numbered(self._to_centres(members))))
+        return edges.union(self.similar(self._across(members, edges)))
+
+    def _to_centres(self, members: DataFrame) -> DataFrame:
+        """Every member of a crowded list with the member of it that is in most crowded lists."""
+        lists = members.groupBy("node").agg(F.count("*").alias("lists"))
+        centres = members.join(lists, "node").groupBy("key").agg(F.max(F.struct("lists", "node"))["node"].alias("a"))
+        return members.join(centres, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+
+    def _across(self, members: DataFrame, edges: DataFrame) -> DataFrame:
         """Pairs of crowded lists between different components, for sets without enough other segments."""
-        members = crowded.select("key", F.col("a").alias("node")).union(crowded.select("key", "b")).distinct()
         found = components(edges).withColumnRenamed("node", "id")
         facts = self.classes.join(found, "id", "left").withColumn("root", F.coalesce("root", "id")).drop("h", "least", "band")
         placed = cut_lineage(members.join(facts, "node"))
