@@ -10,21 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, minhash, packing, pii
+from tidemark.llm import decontaminate, langid, packing, pii, simhash
 from tidemark.llm.common import free_name
 from tidemark.session import run_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without a letter."""
+    """Documents without a language go: null texts and texts without a letter, also where no row has a language to learn."""
     mark = free_name(docs, "language")
-    found = langid.predict(docs, langid.fit(docs.select("doc_id", "text", "lang")), out=mark)
-    return found.where(F.col(mark)["lang_pred"] != langid.UNKNOWN).drop(mark)
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    if not model.families:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return langid.predict(docs, model, out=mark).where(F.col(mark)["lang_pred"] != langid.UNKNOWN).drop(mark)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id: 0.8 or more of the five-word shingles in common."""
-    return minhash.drop_near_copies(docs)
+    """One document of each group of near copies stays, the one with the smallest id: fingerprints of three-word shingles at most two bits apart."""
+    return simhash.drop_near_duplicates(docs, width=3, max_bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
