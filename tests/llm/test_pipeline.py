@@ -9,7 +9,7 @@ from test_simhash import slow_classes, slow_print
 from tokenizers import Tokenizer
 
 from tidemark.llm import decontaminate, pii
-from tidemark.llm.common import tokenizer_path
+from tidemark.llm.common import row_hash, tokenizer_path
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 ITEM = "thand ering ountion of the shere inthe erand nder tion that thing was oned for ereng and out"
@@ -107,7 +107,21 @@ def test_run_and_registration(spark, stages):
     drop = ["sequence_id", "offset"]
     assert sorted(map(tuple, corpus_pipeline.run(spark, folder).drop(*drop).collect())) == sorted(map(tuple, seen[5].drop(*drop).collect()))
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
+
+
+def test_texts_stay_where_no_language_is_known(spark):
+    rows = [(k, t, None, "s", 1) for k, t in enumerate(["some words", "é", "12 34", "", None])]
+    assert sorted(r.doc_id for r in corpus_pipeline.language_id(spark, spark.createDataFrame(rows, COLUMNS), "").collect()) == [0, 1]
+
+
+def test_rows_with_nulls_in_other_places_are_different(spark):
+    rows = [(7, "one text", "a", None, 1), (7, "one text", None, "a", 1), (7, "one text", "a", None, 1)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    marks = [r[0] for r in df.select(row_hash(df)).collect()]
+    assert marks[0] == marks[2] != marks[1]
+    kept = corpus_pipeline.near_dedup(spark, df, "").collect()
+    assert len(kept) == 1 and tuple(kept[0]) in {tuple(r) for r in rows}
 
 
 def test_empty_documents(spark, tmp_path):

@@ -30,8 +30,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def row_hash(df: DataFrame) -> Column:
-    """64 bits over all columns of a row; equal rows have equal hashes."""
-    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`").alias("v"))) if t.startswith(("map", "variant")) else F.col(f"`{c}`") for c, t in df.dtypes])
+    """128 bits over all columns of a row as text; equal rows have equal hashes, a null counts where it stands."""
+    plain = [F.to_json(F.struct(F.col(f"`{c}`").alias("v"))) if t.startswith(("map", "variant", "struct", "array")) else F.col(f"`{c}`") for c, t in df.dtypes]
+    marked = [x for c in plain for x in (c.isNull(), c)]
+    return F.concat_ws(":", *[F.hex(F.xxhash64(F.lit(seed), *marked)) for seed in (0, 1)])
 
 
 def numbered(df: DataFrame, *order: str, number: str = "row_number", population: str = "population") -> DataFrame:
