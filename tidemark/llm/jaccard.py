@@ -44,7 +44,7 @@ SPARE_SHARE, SPARE = 0.1, 3
 DELETED_UP_TO, DELETED = 31, 2
 #: Classes of a list that are compared pair by pair.
 CROWD = 16
-#: Parity bits of a set, at least; greater sets have four for each member, rounded up to a power of two.
+#: Parity bits of a set, at least; greater sets have two for each member, rounded up to a power of two.
 PARITY = 256
 
 
@@ -169,7 +169,7 @@ def parity_bits(hashes):
     """For every counter, whether an odd number of members fall into it, as 64-bit numbers."""
     import numpy as np
 
-    bits = max(PARITY, 4 << (len(hashes) - 1).bit_length()) if len(hashes) else PARITY
+    bits = max(PARITY, 2 << (len(hashes) - 1).bit_length()) if len(hashes) else PARITY
     odd = np.bincount(_mixed(hashes) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64)
 
@@ -181,7 +181,7 @@ def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: st
 
     starts = band_starts(percent)
     schemes = [Scheme(k, a, b - 1, percent, **limits) for k, (a, b) in enumerate(zip(starts, starts[1:]))]
-    names = ["doc_id", "h", "node", "n", "band", "parity", "spare", "short", "keys"]
+    names = ["doc_id", "h", "node", "n", "band", "parity", "coarse", "spare", "short", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import md5
@@ -194,6 +194,8 @@ def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: st
                 for t in part.column(1).to_pylist():
                     own = shingles(t, width)
                     h = md5(own.tobytes()).digest()
+                    parity = parity_bits(own)
+                    coarse = np.bitwise_xor.reduce(parity.reshape(-1, PARITY // 64))
                     keys, spare, short = (np.zeros(0, np.uint64), 0, [])
                     if len(own) and h not in seen:
                         if len(seen) > 500_000:
@@ -201,14 +203,14 @@ def signed_sets(docs: DataFrame, percent: int, width: int, text: str, doc_id: st
                         seen.add(h)
                         keys, spare, short = signature(own, schemes)
                     band = next(s.band for s in schemes if len(own) <= s.most)
-                    rows.append((h, int.from_bytes(h[:8], "big", signed=True), len(own), band, parity_bits(own), spare, short, keys.view(np.int64)))
+                    rows.append((h, int.from_bytes(h[:8], "big", signed=True), len(own), band, parity, coarse, spare, short, keys.view(np.int64)))
                 if rows:
                     cols = list(zip(*rows))
-                    types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                    types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
                     yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], names)
 
     kind = dict(docs.dtypes)[doc_id]
-    schema = f"doc_id {kind}, h binary, node bigint, n bigint, band int, parity array<bigint>, spare bigint, short array<int>, keys array<bigint>"
+    schema = f"doc_id {kind}, h binary, node bigint, n bigint, band int, parity array<bigint>, coarse array<bigint>, spare bigint, short array<int>, keys array<bigint>"
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
@@ -295,7 +297,7 @@ class Join:
         folder = f"{run_dir(docs.sparkSession, 'jaccard')}/signed"
         signed_sets(docs, percent, width, text, doc_id, **limits).write.parquet(folder)
         self.signed = docs.sparkSession.read.parquet(folder)
-        facts = ["node", "n", "band", "parity"]
+        facts = ["node", "n", "band", "parity", "coarse"]
         every = self.signed.where("n > 0").groupBy("h").agg(F.min("doc_id").alias("least"), F.max("spare").alias("spare"), *[F.min(c).alias(c) for c in facts])
         self.classes = cut_lineage(every.withColumn("id", F.monotonically_increasing_id()))
 
@@ -372,16 +374,17 @@ class Join:
     def _across(self, members: DataFrame, edges: DataFrame) -> DataFrame:
         """Pairs of crowded lists between different components, for sets without enough other segments."""
         found = components(edges).withColumnRenamed("node", "id")
-        facts = self.classes.join(found, "id", "left").withColumn("root", F.coalesce("root", "id")).drop("h", "least", "band")
-        placed = cut_lineage(members.join(facts, "node"))
+        roots = self.classes.join(found, "id", "left").select("node", "id", F.coalesce("root", "id").alias("root"), "spare")
+        placed = cut_lineage(members.join(roots, "node").drop("node"))
         split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
         bound = placed.groupBy("id").agg(F.count("*").alias("lists"), F.max("spare").alias("allowed")).where("lists > allowed").select("id")
-        mixed = cut_lineage(placed.join(split, "key").drop("node", "spare"))
+        # Few counters go along with a list; the pairs that they leave are looked at with all.
+        mixed = cut_lineage(placed.join(split, "key").drop("spare").join(self.classes.select("id", "n", F.col("coarse").alias("parity")), "id"))
         ends = lambda df, end: df.select("key", *[F.col(c).alias(f"{c}_{end}") for c in df.columns if c != "key"])
         asking = ends(mixed.join(bound, "id", "left_semi"), "a")
-        # Short rows by key first; pairs that a bound rules out are never made.
-        pairs = asking.join(ends(mixed, "b"), "key").where((F.col("root_a") != F.col("root_b")) & _may_be_similar(self.percent))
-        return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+        # Pairs that a bound rules out are never made.
+        pairs = asking.join(ends(mixed, "b"), "key").where((F.col("root_a") != F.col("root_b")) & _may_be_similar(self.percent)).select("id_a", "id_b").distinct()
+        return pairs.join(self._side("a"), "id_a").join(self._side("b"), "id_b").where(_may_be_similar(self.percent)).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def joined(docs: DataFrame, percent: int = 80, width: int = 5, text: str = "text", doc_id: str = "doc_id", crowd: int = CROWD, **limits: int) -> DataFrame:
