@@ -93,3 +93,37 @@ def test_no_event_is_lost_in_any_order(spark):
     assert sorted(r.event_id for r in read_table(spark, late).collect()) == [3, 5]
     S.hourly_events(stream_table(spark, source, 1), hours, run_dir(spark, "ck")).awaitTermination()
     assert S.latest_hours(read_table(spark, hours)).agg(F.sum("event_count")).first()[0] == 7
+
+
+def add_lines(spark, path, lines):
+    spark.createDataFrame([(x,) for x in lines], "body string").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_lines_read_are_stored_copies_or_set_aside(spark):
+    source, out, aside, ck = (run_dir(spark, x) for x in ("src", "out", "aside", "ck"))
+
+    def tick():
+        S.ingest_events(stream_table(spark, source, 1), out, ck, aside_path=aside).awaitTermination()
+
+    good = '{"event_id": %d, "event_timestamp": "2024-01-01T10:%02d:00Z", "event_type": "A"}'
+    no_id = '{"event_timestamp": "2024-01-01T1%d:00:00Z", "event_type": "A"}'
+    add_lines(spark, source, [good % (1, 0), good % (1, 3), "not json", no_id % 1, no_id % 2, '{"event_id": 5'])
+    tick()
+    add_lines(spark, source, [good % (1, 4), good % (2, 5), "not json", None, " ", '{"event_id": 9}'])
+    tick()
+    tick()
+    assert sorted(r.event_id for r in read_table(spark, out).collect()) == [1, 2]
+    got = sorted((r.reason, r.body) for r in read_table(spark, aside).where("body is not null").collect())
+    assert got == sorted([("unreadable", "not json")] * 2 + [("unreadable", '{"event_id": 5'), ("no id", no_id % 1), ("no id", no_id % 2), ("empty", " "), ("no time", '{"event_id": 9}')])
+    # Twelve lines: two stored, two copies, eight set aside.
+    assert read_table(spark, aside).count() == 8
+
+
+def test_rows_without_a_key_are_stored_each(spark):
+    source, out, ck = (run_dir(spark, x) for x in ("src", "out", "ck"))
+    add_file(spark, source, [(None, 0, "SUCCESS"), (None, 0, "SUCCESS"), (1, 1, "SUCCESS"), (1, 2, "SUCCESS")])
+    events = stream_table(spark, source, 1).withColumn("event_date", F.to_date("event_timestamp"))
+    S.dedup_stream(events, out, ck).awaitTermination()
+    add_file(spark, source, [(None, 0, "SUCCESS"), (1, 3, "SUCCESS")])
+    S.dedup_stream(stream_table(spark, source, 1).withColumn("event_date", F.to_date("event_timestamp")), out, ck).awaitTermination()
+    assert sorted(str(r.event_id) for r in read_table(spark, out).collect()) == ["1", "None", "None", "None"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.loads.partitions import read_table
@@ -56,6 +56,28 @@ def _(t):
     return aside.join(stored, "event_id", "left_anti").agg(F.count("*").alias("late_not_stored")).withColumn("some_late", F.lit(not aside.isEmpty()))
 
 
+def _with_damage() -> Column:
+    """Text of an event: every seventh is cut off, every eleventh has no id, every thirteenth no time."""
+    fields = ["event_type", "source_system", "status", F.col("latency_ms").cast("double").alias("latency_ms"), "payload"]
+    has = lambda n, c: F.when(F.col("event_id") % n != 0, F.col(c)).alias(c)
+    whole = F.to_json(F.struct(has(11, "event_id"), has(13, "event_timestamp"), *fields))
+    return F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_ty'))).otherwise(whole)
+
+
+@query(
+    "r1_unreadable_events",
+    """WITH k AS (SELECT CASE WHEN event_id % 7 = 0 THEN 'unreadable' WHEN event_id % 11 = 0 THEN 'no id' WHEN event_id % 13 = 0 THEN 'no time' ELSE 'stored' END AS outcome FROM ops_events)
+       SELECT outcome, count(*) AS events FROM k GROUP BY outcome""",
+)
+def _(t):
+    """Every line read is stored or set aside with its reason."""
+    raw = _ops_stream(t).select(_with_damage().alias("body"))
+    path, aside = run_dir(t.spark, "events"), run_dir(t.spark, "aside")
+    S.ingest_events(raw, path, run_dir(t.spark, "ck"), aside_path=aside).awaitTermination()
+    stored = read_table(t.spark, path).select(F.lit("stored").alias("outcome"))
+    return stored.union(read_table(t.spark, aside).select("reason")).groupBy("outcome").agg(F.count("*").alias("events"))
+
+
 @query("r2_dedup_events", "SELECT event_id, event_type FROM ops_events")
 def _(t):
     path = run_dir(t.spark, "dedup")

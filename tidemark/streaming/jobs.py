@@ -7,7 +7,9 @@ batch repeated after a failure leaves the same rows.
 No job drops an event for being late. Copies are found in the stored days
 rather than in a state that forgets, and counts are written as parts that add
 up, so a late event changes the hour it belongs to. What came late is also
-recorded aside for restatement.
+recorded aside for restatement. Text that is no event, or an event without an
+id or a time, is set aside with the reason: lines read are stored, copies of
+stored ones, or set aside.
 """
 
 from __future__ import annotations
@@ -30,6 +32,20 @@ def parse_events(raw: DataFrame, body: str = "body", schema: str = EVENT_SCHEMA)
     return raw.select(F.from_json(body, schema).alias("e")).select("e.*").withColumn("event_date", F.to_date("event_timestamp"))
 
 
+def read_events(raw: DataFrame, body: str = "body", schema: str = EVENT_SCHEMA) -> DataFrame:
+    """``parse_events`` with the text, ``body``, and the ``reason`` why it cannot be stored as an event, null for good ones."""
+    corrupt = "_corrupt"
+    found = F.from_json(body, f"{schema}, {corrupt} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    rows = raw.select(F.col(body).alias("body"), found.alias("e")).select("body", "e.*")
+    reason = (
+        F.when(F.col("body").isNull() | (F.trim("body") == ""), "empty")
+        .when(F.col(corrupt).isNotNull(), "unreadable")
+        .when(F.col("event_id").isNull(), "no id")
+        .when(F.col("event_timestamp").isNull(), "no time")
+    )
+    return rows.withColumn("reason", reason).drop(corrupt).withColumn("event_date", F.to_date("event_timestamp"))
+
+
 def is_stored(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -43,15 +59,20 @@ def dedup_stream(
 
     A batch keeps the earliest of its own copies and drops those whose key is
     stored within a day of it; only the key column of those days is read. Rows
-    older than the newest stored event by more than ``within`` are written to
-    ``late_path`` as well.
+    without a key have no copies and are stored each. Rows older than the newest
+    stored event by more than ``within`` are written to ``late_path`` as well.
     """
+    return each_batch(events, checkpoint, _dedup_writer(path, late_path, within, key, when, day))
+
+
+def _dedup_writer(path: str, late_path: str | None, within: str, key: str, when: str, day: str) -> Callable[[DataFrame, int], None]:
     gap = F.expr(f"INTERVAL {within}")
 
     def write(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
         first = Window.partitionBy(key).orderBy(when, F.xxhash64(*df.columns))
-        rows = df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
+        keyed = df.where(F.col(key).isNotNull()).withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
+        rows = keyed.unionByName(df.where(F.col(key).isNull()))
         newest = None
         if is_stored(spark, path):
             # What an earlier attempt of this batch has written does not count.
@@ -64,7 +85,7 @@ def dedup_stream(
         if late_path is not None and newest is not None:
             write_batch(rows.where(F.col(when) < F.lit(newest) - gap), batch, late_path)
 
-    return each_batch(events, checkpoint, write)
+    return write
 
 
 def _newest_event(stored: DataFrame, day: str, when: str) -> DataFrame:
@@ -76,9 +97,24 @@ def _write_parts(df: DataFrame, path: str, parts: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def ingest_events(raw: DataFrame, path: str, checkpoint: str, late_path: str | None = None, within: str = "15 minutes") -> StreamingQuery:
-    """JSON events to daily partitions, one row per event id; late ones also aside."""
-    return dedup_stream(parse_events(raw), path, checkpoint, late_path, within)
+def ingest_events(
+    raw: DataFrame, path: str, checkpoint: str, late_path: str | None = None, within: str = "15 minutes", aside_path: str | None = None
+) -> StreamingQuery:
+    """JSON events to daily partitions, one row per event id; late ones also aside.
+
+    What cannot be stored goes to ``aside_path`` (by default beside the table) by
+    batch, as the text and the reason.
+    """
+    aside = aside_path or f"{path}-aside"
+    store = _dedup_writer(path, late_path, within, "event_id", "event_timestamp", "event_date")
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.persist()
+        write_batch(df.where("reason is not null").select("body", "reason"), batch, aside)
+        store(df.where("reason is null").drop("body", "reason"), batch)
+        df.unpersist()
+
+    return each_batch(read_events(raw), checkpoint, write)
 
 
 def each_batch(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
