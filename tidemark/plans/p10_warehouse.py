@@ -87,6 +87,21 @@ def _(t):
     return P.read_table(t.spark, path).select("metric_date", "bu_code", "txn_count", "active_customers", "gmv_usd")
 
 
+ROLLING = f"""SELECT bu_code, d AS window_days, count(DISTINCT customer_key) AS active_customers FROM transactions, (VALUES (7), (30), (90)) AS w(d)
+       WHERE {GMV} AND txn_date > DATE '{ORDERS_AS_OF}' - d AND txn_date <= DATE '{ORDERS_AS_OF}' GROUP BY ALL"""
+
+
+@query("m1_rolling_customers", ROLLING)
+def _(t):
+    """Built without the late rows, then added to; the report reads the stored bitmaps alone."""
+    path, whole = run_dir(t.spark, "bitmaps"), run_dir(t.spark, "bitmaps")
+    loaded_late = F.col("etl_batch_id") == 4049
+    P.write_by_month(V.customer_bitmaps(t.transactions.where(~loaded_late)), path, "metric_date", ["bu_code"])
+    added = V.add_bitmaps(P.read_table(t.spark, path), V.customer_bitmaps(t.transactions.where(loaded_late)))
+    P.write_by_month(added, whole, "metric_date", ["bu_code"])
+    return V.rolling_customers(P.read_table(t.spark, whole), ORDERS_AS_OF)
+
+
 @query(
     "m2_hourly_ops_events",
     f"""SELECT event_date, date_trunc('hour', event_timestamp) AS event_hour, source_system, event_type, count(*) AS event_count, {avg('latency_ms', 0)} AS avg_latency_ms,
