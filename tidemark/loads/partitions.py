@@ -83,6 +83,34 @@ def refresh_days(base: DataFrame, base_day: str, touched: DataFrame, view: Calla
     _swap(old.join(gone, view_day, "left_anti"), fresh, old, path, MONTH)
 
 
+def record_build(spark: SparkSession, path: str, built_at: str, loaded_until: str) -> None:
+    """Note beside a pre-aggregate when it was brought up to date and up to which load time; one row a build."""
+    row = spark.range(1).select(F.lit(built_at).cast("timestamp").alias("built_at"), F.lit(loaded_until).cast("timestamp").alias("loaded_until"))
+    row.coalesce(1).write.mode("append").parquet(f"{path}-builds")
+
+
+def read_within(
+    base: DataFrame, base_day: str, loaded_at: str, view: Callable[[DataFrame], DataFrame], path: str, view_day: str, as_of_ts: str, max_minutes: int
+) -> DataFrame:
+    """A pre-aggregate no staler than ``max_minutes`` at ``as_of_ts``.
+
+    Within the limit the stored rows are the answer and the base is not read.
+    Beyond it the days with rows loaded since the last build are computed from
+    the base and take the place of the stored ones; nothing is written.
+    """
+    spark = base.sparkSession
+    stored = read_table(spark, path).drop(MONTH)
+    last = read_table(spark, f"{path}-builds").agg(F.max(F.struct("built_at", "loaded_until")).alias("b")).select("b.*")
+    age = (F.unix_seconds(F.lit(as_of_ts).cast("timestamp")) - F.unix_seconds("built_at")) / 60
+    is_old, until = last.select((age > max_minutes).alias("old"), F.col("loaded_until").cast("string")).first()  # one row
+    if not is_old:
+        return stored
+    days = base.where(F.col(loaded_at).cast("timestamp") > F.lit(until).cast("timestamp")).select(base_day).distinct()
+    fresh = view(base.join(days, base_day, "left_semi"))
+    kept = stored.join(days.select(F.col(base_day).alias(view_day)), view_day, "left_anti")
+    return kept.select(*stored.columns).unionByName(_as_table(fresh, stored))
+
+
 def _swap(survivors: DataFrame, new: DataFrame, old: DataFrame, path: str, partition: str) -> None:
     """Write survivors and new rows over the partitions of ``old``, then remove those of them that are left without rows.
 

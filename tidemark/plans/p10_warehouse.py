@@ -87,6 +87,17 @@ def _(t):
     return P.read_table(t.spark, path).select("metric_date", "bu_code", "txn_count", "active_customers", "gmv_usd")
 
 
+@query("m1_read_within_staleness", M1)
+def _(t):
+    """Built before the last loads and read an hour past its limit: the days touched since come from the base."""
+    path = run_dir(t.spark, "daily_gmv")
+    loaded = F.col("etl_loaded_at")
+    until = t.transactions.agg(F.date_sub(F.max(loaded).cast("date"), 30).cast("string")).first()[0]  # one value
+    P.write_by_month(V.daily_gmv_by_bu(t.transactions.where(loaded.cast("timestamp") <= F.lit(until).cast("timestamp"))), path, "metric_date", ["bu_code"])
+    P.record_build(t.spark, path, "2030-01-01 00:00:00", until)
+    return P.read_within(t.transactions, "txn_date", "etl_loaded_at", V.daily_gmv_by_bu, path, "metric_date", "2030-01-01 02:00:00", 60)
+
+
 ROLLING = f"""SELECT bu_code, d AS window_days, count(DISTINCT customer_key) AS active_customers FROM transactions, (VALUES (7), (30), (90)) AS w(d)
        WHERE {GMV} AND txn_date > DATE '{ORDERS_AS_OF}' - d AND txn_date <= DATE '{ORDERS_AS_OF}' GROUP BY ALL"""
 
