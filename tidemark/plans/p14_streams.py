@@ -12,6 +12,7 @@ from tidemark.session import run_dir
 from tidemark.sources.fixtures import FIXTURES
 from tidemark.sources.files import stream_table
 from tidemark.streaming import jobs as S
+from tidemark.streaming.bounded import dedup_in_time
 
 
 def _stream(t, fixture: str, base: str) -> DataFrame:
@@ -85,6 +86,19 @@ def _(t):
     return read_table(t.spark, path).select("event_id", "event_type")
 
 
+@query("r2_dedup_in_time", "SELECT event_id, event_type FROM ops_events")
+def _(t):
+    """Five files that each hold events of the whole time, with copies; the job stops after two files and starts again."""
+    folder, path, ck = (run_dir(t.spark, x) for x in ("scattered", "dedup", "ck"))
+    events = t.ops_events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ltz"))
+    copies = _with_copies(events).withColumn("_file", F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(5)))
+    copies.where("_file < 2").repartition(2, "_file").drop("_file").write.parquet(folder)
+    dedup_in_time(stream_table(t.spark, folder, 1), path, ck).awaitTermination()
+    copies.where("_file >= 2").repartition(3, "_file").drop("_file").write.mode("append").parquet(folder)
+    dedup_in_time(stream_table(t.spark, folder, 1), path, ck).awaitTermination()
+    return read_table(t.spark, path).select("event_id", "event_type")
+
+
 @query(
     "r3_hourly_events",
     f"""SELECT date_trunc('hour', event_timestamp) AS event_hour, source_system, event_type, count(*) AS event_count, {r('sum(latency_ms)::DOUBLE / count(latency_ms)', 0)} AS avg_latency_ms,

@@ -5,7 +5,7 @@ folder. Batch writes are keyed by batch id or replace what they touch, so a
 batch repeated after a failure leaves the same rows.
 
 No job drops an event for being late. Copies are found in the stored days
-rather than in a state that forgets, and counts are written as parts that add
+rather than in a state that forgets (``bounded`` combines both), and counts are written as parts that add
 up, so a late event changes the hour it belongs to. What came late is also
 recorded aside for restatement. Text that is no event, or an event without an
 id or a time, is set aside with the reason: lines read are stored, copies of
@@ -81,7 +81,7 @@ def _dedup_writer(path: str, late_path: str | None, within: str, key: str, when:
             near = stored.where(F.col(day).between(F.lit(low), F.lit(high))).select(key)
             rows = rows.join(near, key, "left_anti")
         rows = cut_lineage(rows)
-        _write_parts(rows.withColumn("batch_id", F.lit(batch)), path, [day, "batch_id"])
+        write_parts(rows.withColumn("batch_id", F.lit(batch)), path, [day, "batch_id"])
         if late_path is not None and newest is not None:
             write_batch(rows.where(F.col(when) < F.lit(newest) - gap), batch, late_path)
 
@@ -93,7 +93,7 @@ def _newest_event(stored: DataFrame, day: str, when: str) -> DataFrame:
     return stored.where(F.col(day) == stored.agg(F.max(day)).scalar()).agg(F.max(when).alias("newest"))
 
 
-def _write_parts(df: DataFrame, path: str, parts: list[str]) -> None:
+def write_parts(df: DataFrame, path: str, parts: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
@@ -123,7 +123,7 @@ def each_batch(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, int],
 
 def write_batch(df: DataFrame, batch: int, path: str) -> None:
     """Replace the partition of this batch id, so a repeated batch does not add rows twice."""
-    _write_parts(df.withColumn("batch_id", F.lit(batch)), path, ["batch_id"])
+    write_parts(df.withColumn("batch_id", F.lit(batch)), path, ["batch_id"])
 
 
 HOUR_KEYS = ["event_hour", "source_system", "event_type"]
