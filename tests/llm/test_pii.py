@@ -70,6 +70,29 @@ def test_mail(spark):
     assert "mail4" not in one.text and "y@z" in two.text
 
 
+def test_cards_beside_numbers(spark):
+    card, other, spaced, amex = "4111111111111111", "7536784127813050", "4845 1681 1440 7329", "3782 822463 10005"
+    texts = [
+        f"{card} 12/27", f"order 12 {card}", f"{card} 2024", f"{other} 4845168114407329", f"{spaced} 123", f"1234 {spaced}", f"{spaced} {spaced}",
+        f"{amex} 1234", f"{card} 2024-05-01", f"{card}-219-09-9999", f"{card} +1 (487) 555-7209", f"\u0001{card}\u0001\u0003 12", "48451681144 07329",
+    ]
+    rows = found(spark, *texts)
+    kinds = [[x.kind for x in r.found] for r in rows]
+    assert kinds == [["card"]] * 3 + [["card"] * 2] + [["card"]] * 2 + [["card"] * 2, ["card"], ["card", "date"], ["card"], ["card", "phone"], ["card"], ["card"]]
+    for text, r in zip(texts, rows):
+        left = text
+        for x in r.found:
+            assert x.kind != "card" or luhn(x.pseudonym)
+            left = left.replace(x.value, x.pseudonym)
+        assert r.text == left and card not in r.text and spaced not in r.text
+    assert len({x.pseudonym for r in rows for x in r.found if x.value == card}) == 1
+
+
+def test_mail_with_a_card_number_stays_a_mail(spark):
+    rows = found(spark, "4111111111111111@x.example.com", "4111111111111111.a@x.example.com", "a@4111111111111111.com")
+    assert [[x.kind for x in r.found] for r in rows] == [["mail"]] * 3
+
+
 def test_odd_rows(spark):
     texts = [None, "", "no numbers at all", "4.0. 3. 555-7209", "97.51.17.173 " * 3000, "9" * 60, "999.1.1.1 0.0.0.0.0", "a" * 200_000, "a.b-" * 40_000 + "@ x"]
     rows = found(spark, *texts)

@@ -5,6 +5,10 @@ network within their own format: equal values get equal pseudonyms in every
 document and in every spelling, different values get different ones, and a
 pseudonym passes the same validation. Mail addresses have no fixed format; they
 get a keyed digest in the form of an address.
+
+Cards in their usual groups are looked for first and by themselves, so a number
+beside one (an expiry date, a check number, another card) does not hide it.
+All other patterns work on the texts between them.
 """
 
 from __future__ import annotations
@@ -13,8 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name
+
 KEY = "tidemark"
 ROUNDS = 10
+FOUND = "array<struct<value:string,kind:string,pseudonym:string>>"
 
 # An address starts where a run of its characters does, so a long run is tried once.
 MAIL = r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]*[A-Za-z0-9_+-]@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -27,6 +34,8 @@ PATTERNS = {
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?!-?[0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])",
 }
+# One run of digits or 4-4-4-4, 4-6-5 and 4-6-4, the groups beginning as card networks number them; not within a mail address.
+CARD = r"(?<![A-Za-z0-9_.+@-])(?:[0-9]{13,19}|(?:[3-6][0-9]{3}|2[2-7][0-9]{2})(?:(?:[ -][0-9]{4}){3}|[ -][0-9]{6}[ -][0-9]{4,5}))(?![0-9]|[A-Za-z0-9_.+-]{0,64}@)"
 KINDS = list(PATTERNS)
 ANY = "|".join(PATTERNS.values())
 
@@ -166,7 +175,7 @@ def _kind(value: Column) -> Column:
         # Areas and groups that are never issued.
         .when(is_kind("ssn"), F.when(~value.rlike("^(?:000|666|9)|-00-|-0000$"), "ssn"))
         .when(is_kind("phone"), F.when(F.length(digits).between(7, 15), "phone"))
-        .when(is_kind("card"), F.when((_luhn(digits) % 10 == 0) & (digits.cast("decimal(38,0)") > 0), "card"))
+        .when(is_kind("card"), F.when(_is_card(value), "card"))
     )
 
 
@@ -183,6 +192,33 @@ def _pseudonym(found: Column, key: str) -> Column:
     )
 
 
+def _is_card(value: Column) -> Column:
+    digits = _digits(value)
+    return (_luhn(digits) % 10 == 0) & (digits.cast("decimal(38,0)") > 0)
+
+
+def _around_cards(whole: Column) -> tuple[Column, Column]:
+    """The valid cards in their usual groups and the texts before, between and after them.
+
+    What fails the validation stays in its text. The cut is a mark that the text
+    cannot hold, as its first character is escaped there.
+    """
+    sign, escaped, cut = "\u0001", "\u0001\u0002", "\u0001\u0003"
+    safe = F.replace(whole, F.lit(sign), F.lit(escaped))
+    runs = F.regexp_extract_all(safe, F.lit(CARD), F.lit(0))
+    marked = F.zip_with(F.split(safe, CARD, -1), runs, lambda gap, run: F.concat(gap, F.when(run.isNull(), "").when(_is_card(run), cut).otherwise(run)))
+    texts = F.transform(F.split(F.array_join(marked, ""), cut, -1), lambda t: F.replace(t, F.lit(escaped), F.lit(sign)))
+    return F.filter(runs, _is_card), texts
+
+
+def _replaced(whole: Column, key: str) -> Column:
+    """(text, found) of a text without cards in their usual groups."""
+    values = F.transform(F.regexp_extract_all(whole, F.lit(ANY), F.lit(0)), lambda v: F.struct(v.alias("value"), _kind(v).alias("kind")))
+    made = F.transform(values, lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), _pseudonym(x, key).alias("pseudonym")))
+    joined = F.array_join(F.zip_with(F.split(whole, ANY, -1), made, lambda gap, x: F.concat(gap, F.coalesce(x["pseudonym"], F.lit("")))), "")
+    return F.struct(joined.alias("text"), F.filter(made, lambda x: x["kind"].isNotNull()).alias("found"))
+
+
 def pseudonymize(docs: DataFrame, key: str = KEY, text: str = "text", found: str = "found") -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and an array ``found`` of (value, kind, pseudonym), in text order.
 
@@ -191,15 +227,17 @@ def pseudonymize(docs: DataFrame, key: str = KEY, text: str = "text", found: str
     as it is. Every row is answered on its own: nothing is shuffled.
     """
     whole = F.col(f"`{text}`")
-    pieces = F.split(whole, ANY, -1)
-    values = F.transform(F.regexp_extract_all(whole, F.lit(ANY), F.lit(0)), lambda v: F.struct(v.alias("value"), _kind(v).alias("kind")))
-    made = F.transform(values, lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), _pseudonym(x, key).alias("pseudonym")))
-    any_sign = whole.rlike("[0-9]|@")
-    none = F.array().cast("array<struct<value:string,kind:string,pseudonym:string>>")
-    with_found = docs.withColumn(found, F.when(any_sign, made).otherwise(none))
-    joined = F.array_join(F.zip_with(pieces, F.col(f"`{found}`"), lambda gap, x: F.concat(gap, F.coalesce(x["pseudonym"], F.lit("")))), "")
-    changed = with_found.withColumn(text, F.when(F.size(found) > 0, joined).otherwise(whole))
-    return changed.withColumn(found, F.filter(found, lambda x: x["kind"].isNotNull()))
+    cards, texts = _around_cards(whole)
+    card = lambda v: F.struct(v.alias("value"), F.lit("card").alias("kind"), _new_card(v, key).alias("pseudonym"))
+    parts = F.zip_with(F.transform(texts, lambda t: _replaced(t, key)), F.transform(cards, card), lambda t, c: F.struct(
+        F.concat(t["text"], F.coalesce(c["pseudonym"], F.lit(""))).alias("text"),
+        F.concat(t["found"], F.when(c.isNull(), F.array().cast(FOUND)).otherwise(F.array(c))).alias("found"),
+    ))
+    part = free_name(docs, "parts")
+    cut = docs.withColumn(part, F.when(whole.rlike("[0-9]|@"), parts))
+    listed = F.coalesce(F.flatten(F.transform(part, lambda p: p["found"])), F.array().cast(FOUND))
+    joined = F.array_join(F.transform(part, lambda p: p["text"]), "")
+    return cut.withColumn(found, listed).withColumn(text, F.when(F.size(found) > 0, joined).otherwise(whole)).drop(part)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -211,8 +249,6 @@ def report(docs: DataFrame) -> DataFrame:
 
 def rewrite(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and its length in ``n_chars``, if there is such a column; all else as it was."""
-    from tidemark.llm.common import free_name
-
     mark = free_name(docs, "found")
     done = pseudonymize(docs, key, found=mark)
     if "n_chars" in docs.columns:
