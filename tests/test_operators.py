@@ -60,6 +60,20 @@ def test_percentiles_equal_numpy(spark, values, p):
     assert got == pytest.approx(float(np.quantile(values, p)))
 
 
+@pytest.mark.parametrize("make", ["hash(id) / 7.0", "cast(id % 3 as double)", "cast(if(id % 3 = 0, 5, hash(id)) as double)", "cast(null as double)"])
+def test_bracketed_percentiles_equal_spark(spark, make):
+    probs = [("a", 0.0), ("b", 0.25), ("c", 0.26), ("d", 0.5), ("e", 0.99), ("f", 1.0)]
+    df = spark.range(30_000).selectExpr(f"{make} AS x")
+    want = df.agg(*[F.percentile("x", p).alias(n) for n, p in probs]).first()
+    got = ranking.bracketed_percentiles(df, "x", probs).first()
+    assert list(got) == (pytest.approx(list(want)) if want.a is not None else [None] * 6)
+
+
+def test_bracketed_percentiles_of_few_rows(spark):
+    df = spark.createDataFrame([(v,) for v in (3, 1, 2, 10)], "x long")
+    assert ranking.bracketed_percentiles(df, "x", [("p", 0.5), ("q", 0.9)]).first() == pytest.approx((2.5, 7.9))
+
+
 def test_percentiles_per_group_with_a_hot_group(spark):
     df = skewed(spark).where("v IS NOT NULL")
     got = {r.k: r.m for r in ranking.exact_percentiles(df, "v", [("m", 0.5)], by=["k"]).collect()}

@@ -21,7 +21,7 @@ from tidemark.functions import (
     share,
     units_between,
 )
-from tidemark.operators.ranking import exact_percentiles, ntile_by_value, top_by_position
+from tidemark.operators.ranking import bracketed_percentiles, ntile_by_value, top_by_position
 
 
 def gmv_by(txns: DataFrame, *keys: str, out: str = "gmv_usd") -> DataFrame:
@@ -215,7 +215,7 @@ def reopened_cases(cases: DataFrame, low: int = 1, high: int = 7) -> DataFrame:
 def iqr_outliers(txns: DataFrame, factor: float = 1.5) -> DataFrame:
     """Q018: posted amounts above Q3 + factor * IQR, with exact quartiles."""
     posted = txns.where(is_posted()).select("txn_id", "txn_no", "amount_usd")
-    quartiles = exact_percentiles(posted, "amount_usd", [("q1", 0.25), ("q3", 0.75)])
+    quartiles = bracketed_percentiles(posted, "amount_usd", [("q1", 0.25), ("q3", 0.75)])
     fence = quartiles.select(half_up(F.col("q3") + factor * (F.col("q3") - F.col("q1")), 4).alias("fence"))
     return (
         posted.withColumn("upper_fence", fence.scalar())
