@@ -93,6 +93,19 @@ def test_mail_with_a_card_number_stays_a_mail(spark):
     assert [[x.kind for x in r.found] for r in rows] == [["mail"]] * 3
 
 
+def test_phones_link_in_every_spelling(spark):
+    rows = found(spark, "+1 555 123 4567", "555-123-4567", "(555) 123-4567", "+15551234567", "+1-555-123-4567", "+44 20 7946 0958", "+442079460958", "+353 87 679 9000")
+    assert all([x.kind for x in r.found] == ["phone"] for r in rows)
+    digits = ["".join(c for c in r.text if c.isdigit()) for r in rows]
+    assert digits[0] == digits[3] == digits[4] == "1" + digits[1] == "1" + digits[2] and digits[5] == digits[6]
+    assert [r.text[:4] for r in rows[5:]] == ["+44 ", "+44" + digits[6][2], "+353"]
+    assert all(shape(x.value) == shape(x.pseudonym) for r in rows for x in r.found)
+
+
+def test_octets_keep_their_format(spark):
+    assert [[x.kind for x in r.found] for r in found(spark, "010.1.1.1", "01.1.1.1", "10.0.0.255 256.1.1.1")] == [[], [], ["ip"]]
+
+
 def test_odd_rows(spark):
     texts = [None, "", "no numbers at all", "4.0. 3. 555-7209", "97.51.17.173 " * 3000, "9" * 60, "999.1.1.1 0.0.0.0.0", "a" * 200_000, "a.b-" * 40_000 + "@ x"]
     rows = found(spark, *texts)
