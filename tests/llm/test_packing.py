@@ -19,6 +19,15 @@ def test_ids_are_the_tokenizers():
         assert np.frombuffer(ids.of_text(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_of_random_texts():
+    plain, ids = Tokenizer.from_file(tokenizer_path()), WordIds(tokenizer_path())
+    letters = np.array(list("aZ9 .,;:!?'-_\t\u00e9\u0130\u0131I\u0307\u01c5\ufb01\u00df\u03a3\u0958\u0301\u4e2d\u05d0\u1e9e\U0001d400"))
+    rng = np.random.default_rng(8)
+    for _ in range(20_000):
+        text = "".join(rng.choice(letters, rng.integers(1, 9)))
+        assert np.frombuffer(ids.of_text(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_best_fit_chooses_the_fullest_bin():
     parent, fills = packing.best_fit([6, 5, 4, 3, 2], 10)
     assert sorted(fills.tolist()) == [10, 10] and parent[0] == parent[2]
@@ -62,5 +71,14 @@ def test_rounds_come_close_to_the_bound(spark):
     assert used <= 1.02 * one_task + 2
 
 
+def test_bins_of_all_tasks_meet(spark):
+    """Two pieces fit each other and nothing else; wherever the rounds deal them, they meet."""
+    for k in range(3):
+        sizes = [2047] * 12_000 + [1100 + k, 948 - k]
+        pieces = spark.createDataFrame([(k, 0, 0, s, 0) for k, s in enumerate(sizes)], packing.PIECES)
+        rows = packing.pack(pieces, fan_in=2, slack=0).collect()
+        assert len(rows) == 12_002 and check(rows, 2048) == 12_001
+
+
 def test_no_rows(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []

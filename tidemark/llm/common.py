@@ -88,7 +88,7 @@ class WordIds(dict):
             shown = word.decode()
         else:
             core = word.rstrip(self.TAIL)
-            if len(core) < len(word) and core and (core[-1:].isalnum() or core[-1] >= 128 and core.decode("utf-8", "replace")[-1].isalpha()):
+            if len(core) < len(word) and core and (core[-1:].isalnum() or core[-1] >= 128 and self._ends_in_letter(core)):
                 found = self[core] + self[word[len(core) :]]
                 self[word] = found
                 return found
@@ -97,6 +97,12 @@ class WordIds(dict):
         found = self[word] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
+    @staticmethod
+    def _ends_in_letter(word: bytes) -> bool:
+        """Whether the tokenizer sees a letter at the end: a dotted capital I, for one, becomes a letter and a combining dot."""
+        last = word.decode("utf-8", "replace")[-1]
+        return last.isalpha() and unicodedata.normalize("NFC", last).lower()[-1].isalpha()
+
     def _shown(self, word: bytes) -> str | None:
         """A word with letters beyond ASCII as the model reads it, if normalizing and splitting leave it whole: lower-case Latin letters only."""
         if word.isascii():

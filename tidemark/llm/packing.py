@@ -102,9 +102,10 @@ def _packer(capacity: int, round_no: int):
 def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, task_bins: int = TASK_BINS, fan_in: int = FAN_IN) -> DataFrame:
     """``pieces`` (columns of PIECES, each at most ``capacity`` long) with ``sequence_id`` and ``offset``.
 
-    Equal pieces are packed apart. The last rounds stop when all bins left fit
-    one task, or when a round saves under one bin in a hundred; a task never
-    gets more than about ``task_bins`` bins.
+    Equal pieces are packed apart. The rounds go on until all bins left met in
+    one task. Where they are too many for one, as a task gets at most about
+    ``task_bins``, they are dealt anew to as few tasks as hold them until a round
+    saves under one bin in a hundred.
     """
     schema = PIECES + ", bin bigint, offset bigint, fill bigint"
     marked = pieces.withColumns({"bin": F.monotonically_increasing_id(), "offset": F.lit(0).cast("bigint"), "fill": F.col("length")})
@@ -123,12 +124,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, task_b
         done = done.union(packed.where(ready))
         left = packed.where(~ready)
         bins = left.select("bin").distinct().count()
-        last = tasks == 1 or bins > 0.99 * n and round_no > 0
+        fewest = max(-(-bins // task_bins), 1)
+        last = tasks == 1 or tasks <= fewest and bins > 0.99 * n and round_no > 0
         round_no += 1
         if last or not bins:
             done = done.union(left)
             break
-        tasks, n = max(-(-bins // task_bins), tasks // fan_in, 1), bins
+        tasks, n = max(fewest, tasks // fan_in), bins
     return done.select(*[c.split()[0] for c in PIECES.split(", ")], F.col("bin").alias("sequence_id"), "offset")
 
 
