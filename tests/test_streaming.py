@@ -127,3 +127,23 @@ def test_rows_without_a_key_are_stored_each(spark):
     add_file(spark, source, [(None, 0, "SUCCESS"), (1, 3, "SUCCESS")])
     S.dedup_stream(stream_table(spark, source, 1).withColumn("event_date", F.to_date("event_timestamp")), out, ck).awaitTermination()
     assert sorted(str(r.event_id) for r in read_table(spark, out).collect()) == ["1", "None", "None", "None"]
+
+
+def test_batches_hold_more_files_where_there_are_more_events(spark, tables, monkeypatch):
+    from tidemark.plans import p14_streams as plans
+
+    made = []
+    monkeypatch.setattr(plans, "ROWS_A_FILE", tables.events.count() // 20)
+    monkeypatch.setattr(plans, "run_dir", lambda s, label: made.append(run_dir(s, label)) or made[-1])
+    sizes, out = [], run_dir(spark, "ck")
+    S.each_batch(plans._ops_stream(tables), out, lambda df, batch: sizes.append(df.count())).awaitTermination()
+    assert len(spark.read.parquet(made[0]).inputFiles()) >= 20
+    assert len(sizes) == 4 and sum(sizes) == tables.events.count()
+
+
+def test_files_of_days_do_not_grow_with_the_tasks(spark):
+    out = run_dir(spark, "days")
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("id", F.lit(5)).cast("int")).alias("event_date"))
+    S.write_days(rows.repartition(16), 0, out, "event_date", 4000)
+    stored = spark.read.parquet(out)
+    assert len(stored.inputFiles()) == 5 and stored.select("event_id").distinct().count() == 4000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,12 +23,20 @@ def _stream(t, fixture: str, base: str) -> DataFrame:
     return t.spark.sql(text, **{base: stream_table(t.spark, t.path(base))})
 
 
+#: Events in a file of the scattered copies, about; the files of a batch grow in number, not in size.
+ROWS_A_FILE = 100_000
+
+
+def _files_a_batch(events: DataFrame, batches: int) -> int:
+    return max(1, math.ceil(events.count() / (batches * ROWS_A_FILE)))
+
+
 def _ops_stream(t) -> DataFrame:
-    """The operations events from four files that each hold events of the whole time, one file a batch."""
-    folder = run_dir(t.spark, "scattered")
-    t.events.repartition(4, "event_id").write.parquet(folder)
+    """The operations events in four batches that each hold events of the whole time."""
+    folder, each = run_dir(t.spark, "scattered"), _files_a_batch(t.events, 4)
+    t.events.repartition(4 * each, "event_id").write.parquet(folder)
     text = FIXTURES["ops_events"].replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
-    return t.spark.sql(text, events=stream_table(t.spark, folder, 1)).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ltz"))
+    return t.spark.sql(text, events=stream_table(t.spark, folder, each)).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ltz"))
 
 
 def _with_copies(events: DataFrame) -> DataFrame:
@@ -88,14 +98,15 @@ def _(t):
 
 @query("r2_dedup_in_time", "SELECT event_id, event_type FROM ops_events")
 def _(t):
-    """Five files that each hold events of the whole time, with copies; the job stops after two files and starts again."""
+    """Five batches that each hold events of the whole time, with copies; the job stops after two and starts again."""
     folder, path, ck = (run_dir(t.spark, x) for x in ("scattered", "dedup", "ck"))
     events = t.ops_events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ltz"))
-    copies = _with_copies(events).withColumn("_file", F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(5)))
-    copies.where("_file < 2").repartition(2, "_file").drop("_file").write.parquet(folder)
-    dedup_in_time(stream_table(t.spark, folder, 1), path, ck).awaitTermination()
-    copies.where("_file >= 2").repartition(3, "_file").drop("_file").write.mode("append").parquet(folder)
-    dedup_in_time(stream_table(t.spark, folder, 1), path, ck).awaitTermination()
+    each = _files_a_batch(events, 5)
+    copies = _with_copies(events).withColumn("_batch", F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(5)))
+    copies.where("_batch < 2").drop("_batch").repartition(2 * each, "event_id", "event_timestamp").write.parquet(folder)
+    dedup_in_time(stream_table(t.spark, folder, each), path, ck).awaitTermination()
+    copies.where("_batch >= 2").drop("_batch").repartition(3 * each, "event_id", "event_timestamp").write.mode("append").parquet(folder)
+    dedup_in_time(stream_table(t.spark, folder, each), path, ck).awaitTermination()
     return read_table(t.spark, path).select("event_id", "event_type")
 
 

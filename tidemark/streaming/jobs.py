@@ -14,6 +14,7 @@ stored ones, or set aside.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,10 +23,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import count_where, half_up
 from tidemark.operators.alerts import alert_rows
-from tidemark.session import cut_lineage
+from tidemark.session import cut_counted
 
 EVENT_SCHEMA = "event_id BIGINT, event_timestamp TIMESTAMP_LTZ, event_type STRING, source_system STRING, status STRING, latency_ms DOUBLE, payload STRING"
 
+#: Rows of a batch for which each of its days is written in one more part.
+ROWS_A_PART = 1_000_000
+
 
 def parse_events(raw: DataFrame, body: str = "body", schema: str = EVENT_SCHEMA) -> DataFrame:
     """Typed events from JSON text; the event day is the partition."""
@@ -80,8 +84,8 @@ def _dedup_writer(path: str, late_path: str | None, within: str, key: str, when:
             low, high, newest = df.agg(F.date_sub(F.min(day), 1), F.date_add(F.max(day), 1)).withColumn("_newest", _newest_event(stored, day, when).scalar()).first()
             near = stored.where(F.col(day).between(F.lit(low), F.lit(high))).select(key)
             rows = rows.join(near, key, "left_anti")
-        rows = cut_lineage(rows)
-        write_parts(rows.withColumn("batch_id", F.lit(batch)), path, [day, "batch_id"])
+        rows, n = cut_counted(rows)
+        write_days(rows, batch, path, day, n)
         if late_path is not None and newest is not None:
             write_batch(rows.where(F.col(when) < F.lit(newest) - gap), batch, late_path)
 
@@ -97,6 +101,17 @@ def write_parts(df: DataFrame, path: str, parts: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
+def write_days(df: DataFrame, batch: int, path: str, day: str, rows: int) -> None:
+    """Replace this batch id in the days of about ``rows`` rows.
+
+    Days are gathered first, each in a part for every ``ROWS_A_PART`` rows of the
+    batch, so files grow with the rows and not with tasks times days. A plain
+    shuffle, as stateful streams run without adaptive execution.
+    """
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, math.ceil(rows / ROWS_A_PART))))
+    write_parts(df.repartition(day, part).withColumn("batch_id", F.lit(batch)), path, [day, "batch_id"])
+
+
 def ingest_events(
     raw: DataFrame, path: str, checkpoint: str, late_path: str | None = None, within: str = "15 minutes", aside_path: str | None = None
 ) -> StreamingQuery:
