@@ -93,3 +93,9 @@ def test_any_order_of_arrival_gives_each_key_once(job, seed):
     for k in range(5):
         job(*rows[k::5])
     assert sorted(int(n.split("@")[0]) for n in job.stored()) == list(range(60))
+
+
+def test_a_batch_writes_a_day_in_one_file(spark, job):
+    job(*[(i, i % 9) for i in range(300)])
+    assert len(spark.read.parquet(job.path).inputFiles()) == 1
+    assert len(job.stored()) == 300

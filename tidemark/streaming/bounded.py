@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import cut_lineage
-from tidemark.streaming.jobs import each_batch, is_stored, write_batch, write_parts
+from tidemark.streaming.jobs import each_batch, is_stored, write_batch, write_days
 
 
 def dedup_in_time(
@@ -46,7 +46,7 @@ def dedup_in_time(
         newest, late_newest = _seen_before(spark, path, batch)
         bound = newest - within if newest else None
         seen = Observation()
-        rows = cut_lineage(_one_a_key(df.observe(seen, F.max(when).alias("newest")), key, when, bound))
+        rows = cut_lineage(_one_a_key(df.observe(seen, F.max(when).alias("newest"), F.count(F.lit(1)).alias("rows")), key, when, bound))
         late = rows.where("_late").drop("_late")
         in_time = rows.where("NOT _late").drop("_late")
         low, high = rows.where("_late").agg(F.date_sub(F.min(day), 1), F.date_add(F.max(day), 1)).first()
@@ -62,9 +62,9 @@ def dedup_in_time(
             floor = F.lit(bound - within)
             recent = spark.read.parquet(late_path).where((F.col("batch_id") < batch) & (F.col(day) >= F.to_date(floor)) & (F.col(when) > floor))
             in_time = in_time.join(recent.select(key), key, "left_anti")
-        write_parts(in_time.unionByName(late).withColumn("batch_id", F.lit(batch)), path, [day, "batch_id"])
+        write_days(in_time.unionByName(late), batch, path, day, seen.get["rows"])
         if stored_late is not None:
-            write_parts(late.withColumn("batch_id", F.lit(batch)), late_path, [day, "batch_id"])
+            write_days(late, batch, late_path, day, seen.get["rows"])
         _record(spark, path, batch, seen.get["newest"], stored_late, 0 if low is None else (high - low).days + 1)
 
     return each_batch(both, checkpoint, write)
