@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_counted
+from tidemark.session import cut_counted, cut_lineage
 
 def levels(start: DataFrame, step: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
     """The start rows and every following level until one is empty. The caller has ruled out cycles."""
@@ -61,6 +61,23 @@ def peeled(links: DataFrame) -> DataFrame:
     return stacked(found).groupBy("node").agg(F.max("depth").alias("depth"))
 
 
+def require_no_cycle(links: DataFrame) -> None:
+    """Raises if ``links(node, next)`` hold a cycle; a node may have several links.
+
+    A link of a cycle starts where one ends and ends where one starts. All others
+    are taken away round by round from both ends, so a tree loses most of its
+    links, the lowest, in the first rounds.
+    """
+    left, n = cut_counted(links.distinct())
+    while n:
+        starts, ends = left.select(F.col("node").alias("next")), left.select(F.col("next").alias("node"))
+        inner = left.join(ends.distinct(), "node", "left_semi").join(starts.distinct(), "next", "left_semi")
+        left, remaining = cut_counted(inner)
+        if remaining == n:
+            raise ValueError("the hierarchy has a cycle")
+        n = remaining
+
+
 def stacked(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -137,7 +154,9 @@ def bom_explosion(bom: DataFrame, root: int) -> DataFrame:
         F.col("component_product_key").alias("part"),
         F.col("quantity_per_unit").cast("decimal(28,0)").alias("per_unit"),
     )
-    peeled(edges.select(F.col("parent").alias("node"), F.col("part").alias("next")))
+    require_no_cycle(edges.select(F.col("parent").alias("node"), F.col("part").alias("next")))
+    # Every level joins with the same edges: they are made, shuffled and sorted once.
+    edges = cut_lineage(edges.repartition("parent").sortWithinPartitions("parent"))
     first = edges.where(F.col("parent") == root).groupBy("part").agg(F.sum("per_unit").alias("qty"))
 
     def down(level: DataFrame) -> DataFrame:
