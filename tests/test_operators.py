@@ -216,3 +216,38 @@ def test_orphans_count_hot_keys_once_per_fact(spark):
     facts = spark.createDataFrame([(9,)] * 50 + [(1,)] * 3, "k long")
     dim = spark.createDataFrame([(1,), (1,)], "key long")
     assert checks.orphans(facts, dim, "k", "key", "dim").first().orphan_rows == 50
+
+
+def test_a_bill_is_read_a_few_times_however_deep_it_is(spark, monkeypatch):
+    cut, rows = hierarchy.cut_counted, []
+
+    def counted(df):
+        kept, n = cut(df)
+        rows.append(n)
+        return kept, n
+
+    monkeypatch.setattr(hierarchy, "cut_counted", counted)
+    parts = [(i, (i - 1) // 2, 1 + i % 3) for i in range(1, 255)]
+    bom = spark.createDataFrame(parts, "component_product_key long, parent_product_key long, quantity_per_unit int")
+    got = {r.component_product_key: int(r.total_qty) for r in hierarchy.bom_explosion(bom, 0).collect()}
+    want = {0: 1}
+    for part, parent, quantity in parts:
+        want[part] = want[parent] * quantity
+    assert got == {k: v for k, v in want.items() if k}
+    assert sum(rows) < 4 * len(parts)
+
+
+def test_a_cycle_beside_the_root_raises(spark):
+    links = [(1, 0, 1), (2, 1, 1), (7, 9, 1), (8, 7, 1), (9, 8, 1), (2, 9, 1), (None, 0, 1)]
+    bom = spark.createDataFrame(links, "component_product_key long, parent_product_key long, quantity_per_unit int")
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.bom_explosion(bom, 0)
+    assert hierarchy.bom_explosion(bom.where("parent_product_key < 7"), 0).where("component_product_key = 2").first().total_qty == 1
+
+
+def test_few_views_in_one_file_are_taken_apart_by_several_tasks(spark):
+    from tidemark.catalog import lineage
+
+    views = spark.range(200, numPartitions=1).select(F.concat(F.lit("v"), "id").alias("target_table"), F.concat(F.lit("SELECT s.a"), "id", F.lit(" AS b FROM s")).alias("view_sql"))
+    assert lineage.lineage_edges(views.union(views.select("target_table", F.lit(None)))).count() == 200
+    assert lineage.lineage_edges(views).select(F.spark_partition_id().alias("p")).distinct().count() > 1
