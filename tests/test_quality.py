@@ -116,3 +116,23 @@ def test_samples_keep_to_the_filter(spark):
     assert E.sample_failures(df, high, ["k"]).count() == 1
     both = Rule("c", "CONSISTENCY", "t", "k", params={"other": "o", "by": "g", "other_column": "k"})
     assert E.sample_failures(df, both, ["k"], tables={"o": df.where("g = 'a'")}).count() == 3
+
+
+def test_a_table_with_a_bad_rule_is_made_twice_at_most(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    table = spark.range(100, numPartitions=1).mapInArrow(count, "id long")
+    condition = lambda text: {"condition": text}
+    rules = [
+        E.Rule("good", "VALIDITY", "t", "id", params=condition("id > 0")), E.Rule("keys", "UNIQUENESS", "t", "id"),
+        E.Rule("bad", "VALIDITY", "t", "id", params=condition("CAST(concat('x', id) AS INT) > 0")), E.Rule("layout", "SCHEMA", "t", params={"columns": ["id", "gone"]}),
+    ]
+    got = {r.rule_id: (r.rows_checked, r.rows_failed, r.status) for r in E.run_checks(spark, {"t": table}, rules).collect()}
+    assert got == {"good": (100, 1, "FAIL"), "keys": (100, 0, "PASS"), "bad": (0, -1, "ERROR"), "layout": (2, 1, "FAIL")}
+    # A failed task reports no rows: what is counted is the copy that the other rules read.
+    assert made.value == 100

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import count_where, half_up, ts_literal, units_between
 from tidemark.quality.rules import Rule, load_rules
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, run_dir
 
 # Severity weights; a severity not listed weighs 0.5.
 SEVERITY_WEIGHTS = {"ERROR": 1.0, "WARNING": 0.5, "INFO": 0.1}
@@ -176,7 +176,9 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: list
                 row_rules.setdefault(rule.table, []).append(rule)
             else:
                 singles.append([rule])
-    done = _run_apart([*row_rules.values(), *singles], tables, spark, broken)
+    # Row-level rules first: one that fails on its rows does not waste the shuffles of the others.
+    stored: dict[str, DataFrame] = {}
+    done = _run_apart(list(row_rules.values()), tables, spark, broken, rules, stored) + _run_apart(singles, tables, spark, broken, rules, stored)
     if broken:
         rows = [(b.rule_id, b.table, b.column, b.dimension, b.severity, float(b.max_rate), 0, -1) for b in broken]
         done.append(spark.createDataFrame(rows, RESULT_SCHEMA))
@@ -197,20 +199,42 @@ def _planned(rules: list[Rule], tables: Mapping[str, DataFrame], spark: SparkSes
     return _own_plan(rules[0], tables, spark).select(*_labels(rules[0]), "rows_checked", "rows_failed")
 
 
-def _run_apart(groups: list[list[Rule]], tables: Mapping[str, DataFrame], spark: SparkSession, broken: list[Rule]) -> list[DataFrame]:
-    """Results of groups of rules. All run as one job; if it fails the halves run apart, down to the single rule at fault."""
+def _run_apart(
+    groups: list[list[Rule]], tables: Mapping[str, DataFrame], spark: SparkSession, broken: list[Rule], rules: list[Rule], stored: dict[str, DataFrame]
+) -> list[DataFrame]:
+    """Results of groups of rules. All run as one job; if it fails the halves run apart, down to the single rule at fault.
+
+    A table whose rules have to be run apart is stored first, in ``stored``, so
+    that neither they nor later rules make its rows anew.
+    """
     if not groups:
         return []
     try:
-        return [cut_lineage(reduce(DataFrame.unionByName, [_planned(g, tables, spark) for g in groups]))]
+        return [cut_lineage(reduce(DataFrame.unionByName, [_planned(g, tables if g[0].dimension == "SCHEMA" else {**tables, **stored}, spark) for g in groups]))]
     except (PySparkException, Py4JJavaError):
         if len(groups) == 1 and len(groups[0]) == 1:
             broken.append(groups[0][0])
             return []
     if len(groups) == 1:
+        _store(groups[0][0].table, tables, spark, rules, stored)
         groups = [[rule] for rule in groups[0]]
     half = len(groups) // 2
-    return _run_apart(groups[:half], tables, spark, broken) + _run_apart(groups[half:], tables, spark, broken)
+    return _run_apart(groups[:half], tables, spark, broken, rules, stored) + _run_apart(groups[half:], tables, spark, broken, rules, stored)
+
+
+def _store(name: str, tables: Mapping[str, DataFrame], spark: SparkSession, rules: list[Rule], stored: dict[str, DataFrame]) -> None:
+    """A table as files in the shared folder, as far as rules mention its columns. One that cannot be stored is made anew by each rule."""
+    df = tables[name]
+    text = " ".join(str(v) for rule in rules for v in (rule.column, *rule.params.values())).lower()
+    if "_metadata" in text or "input_file" in text:
+        return
+    mentioned = [c for c in df.columns if c.lower() in text] or df.columns[:1]
+    path = run_dir(spark, "checked")
+    try:
+        (df if "*)" in text.replace(" ", "") else df.select(*[F.col(f"`{c}`") for c in mentioned])).write.parquet(path)
+    except (PySparkException, Py4JJavaError):
+        return
+    stored[name] = spark.read.parquet(path)
 
 
 def _judged(results: DataFrame) -> DataFrame:
