@@ -20,8 +20,9 @@ Hot keys: equal sets are one class; a task signs each of its distinct texts once
 A list with more than ``CROWD`` classes is not paired up. Its members are
 compared with the one that is in most such lists, which links most copies of one
 text; after that only members of different components are compared, and only
-for sets that have no other segments left to look up instead. No link between
-classes is lost that the components need.
+for sets that have no other segments left to look up instead. Such a set leaves
+out its longest lists, as many as it may miss, and meets in the others the sets
+of its size or above. No link between classes is lost that the components need.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import words_of
@@ -46,6 +47,8 @@ DELETED_UP_TO, DELETED = 31, 2
 CROWD = 16
 #: Parity bits of a set, at least; greater sets have two for each member, rounded up to a power of two.
 PARITY = 256
+#: Parity bits that go along with a list, at most: a list's rows stay small however long a text is.
+CARRIED = 4096
 
 
 def shingles(text: bytes | None, width: int = 5):
@@ -289,6 +292,19 @@ def _may_be_similar(percent: int) -> Column:
     return F.when(sizes, apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).otherwise(False)
 
 
+def _coarsely_similar(percent: int) -> Column:
+    """The bound by parity bits with ``PARITY`` counters, of columns with the endings _a and _b."""
+    apart = sum(F.bit_count(F.col(f"coarse{k}_a").bitwiseXOR(F.col(f"coarse{k}_b"))) for k in range(PARITY // 64))
+    return apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
+
+def _carried(parity: Column) -> Column:
+    """Parity bits with at most ``CARRIED`` counters."""
+    longs = CARRIED // 64
+    folded = F.transform(F.sequence(F.lit(0), F.lit(longs - 1)), lambda k: F.aggregate(F.sequence(k, F.size(parity) - 1, F.lit(longs)), F.lit(0).cast("bigint"), lambda x, at: x.bitwiseXOR(F.get(parity, at))))
+    return F.when(F.size(parity) > longs, folded).otherwise(parity)
+
+
 class Join:
     """The steps of one join; ``classes``: one row for each distinct set, with its number ``id``."""
 
@@ -375,17 +391,27 @@ class Join:
         """Pairs of crowded lists between different components, for sets without enough other segments."""
         found = components(edges).withColumnRenamed("node", "id")
         roots = self.classes.join(found, "id", "left").select("node", "id", F.coalesce("root", "id").alias("root"), "spare")
-        placed = cut_lineage(members.join(roots, "node").drop("node"))
-        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        bound = placed.groupBy("id").agg(F.count("*").alias("lists"), F.max("spare").alias("allowed")).where("lists > allowed").select("id")
-        # Few counters go along with a list; the pairs that they leave are looked at with all.
-        mixed = cut_lineage(placed.join(split, "key").drop("spare").join(self.classes.select("id", "n", F.col("coarse").alias("parity")), "id"))
-        ends = lambda df, end: df.select("key", *[F.col(c).alias(f"{c}_{end}") for c in df.columns if c != "key"])
-        asking = ends(mixed.join(bound, "id", "left_semi"), "a")
-        # Pairs that a bound rules out are never made.
-        pairs = asking.join(ends(mixed, "b"), "key").where((F.col("root_a") != F.col("root_b")) & _may_be_similar(self.percent)).select("id_a", "id_b").distinct()
+        pairs = self.met(cut_lineage(members.join(roots, "node").drop("node"))).distinct()
         return pairs.join(self._side("a"), "id_a").join(self._side("b"), "id_b").where(_may_be_similar(self.percent)).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
+    def met(self, placed: DataFrame) -> DataFrame:
+        """Pairs ``id_a, id_b`` that meet in a list of ``placed(key, id, root, spare)``, have different roots and pass the bounds.
+
+        The smaller set of a pair asks. It may miss ``spare`` of its lists, so it
+        leaves out the costliest; a list within one component costs nothing.
+        """
+        lists = placed.groupBy("key").agg(F.count("*").alias("cost"), (F.min("root") < F.max("root")).alias("split"))
+        costly = placed.join(lists.withColumn("cost", F.when(F.col("split"), F.col("cost")).otherwise(0)), "key")
+        cheapest, own = Window.partitionBy("id").orderBy("cost", "key"), Window.partitionBy("id")
+        chosen = costly.withColumn("place", F.row_number().over(cheapest)).withColumn("lists", F.count("*").over(own))
+        asked = cut_lineage(chosen.where("split and place <= lists - spare").select("key", "id", "root"))
+        facts = self.classes.select("id", "n", *[F.col("coarse")[k].alias(f"coarse{k}") for k in range(PARITY // 64)], _carried(F.col("parity")).alias("parity"))
+        ends = lambda df, end: df.join(facts, "id").select("key", *[F.col(c).alias(f"{c}_{end}") for c in ("id", "root", *facts.columns[1:])])
+        answering = placed.join(asked.select("key").distinct(), "key").select("key", "id", "root")
+        # Pairs that a bound rules out are never made: the cheap bound first, the sharp one for what it leaves.
+        near = (F.col("root_a") != F.col("root_b")) & (F.col("n_a") <= F.col("n_b")) & _coarsely_similar(self.percent)
+        return ends(asked, "a").join(ends(answering, "b"), "key").where(F.when(near, _may_be_similar(self.percent)).otherwise(False)).select("id_a", "id_b")
+
 
 def joined(docs: DataFrame, percent: int = 80, width: int = 5, text: str = "text", doc_id: str = "doc_id", crowd: int = CROWD, **limits: int) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row.
