@@ -106,3 +106,30 @@ def test_training_learns_from_every_id_once():
     learned = np.concatenate([goals.ravel() for _, goals, _ in turns])
     assert sorted(learned[learned >= 0].tolist()) == sorted(every.tolist())
     assert sum(int(first.sum()) for _, _, first in turns) == len(texts) and lm.CLASSES >= 64
+
+
+def test_weights_that_all_underflow():
+    """Exponents far below zero in every place of a window: the weights are still shares of one."""
+    classes = lm.Classes(np.ones(lm.VOCABULARY))
+    low = lm.new_model(classes)
+    text = np.arange(3 * lm.BLOCK, dtype=np.int32)
+    plain = lm.scores(low, classes, [text])
+    low["near"] -= 200
+    assert np.allclose(lm.scores(low, classes, [text]), plain, rtol=1e-4)
+
+
+def test_gradients_of_windows_that_share_blocks():
+    classes = lm.Classes(np.ones(lm.VOCABULARY))
+    rng = np.random.default_rng(2)
+    model = {k: x.astype(np.float64) + rng.normal(0, 0.1, x.shape) for k, x in lm.new_model(classes).items()}
+    texts = [rng.integers(0, lm.VOCABULARY, n).astype(np.int32) for n in (5, 4 * lm.BLOCK, 3 * lm.BLOCK + 7)]
+    rows, ids, first, _ = lm.blocks_of(texts, classes)
+    goals = np.where(ids >= 0, classes.of[np.maximum(ids, 0)].astype(np.int64), -1)
+    # The third window is left out, so the fourth follows none.
+    kept = np.flatnonzero(np.arange(len(rows)) != 2)
+    together = lm.gradients(model, rows[kept], goals[kept], first[kept])
+    share = (goals[kept] >= 0).sum(axis=1) / (goals[kept] >= 0).sum()
+    alone = [lm.gradients(model, rows[[k]], goals[[k]], first[[k]]) for k in kept]
+    assert np.isclose(together[0], sum(s * a[0] for s, a in zip(share, alone)))
+    for k in model:
+        assert np.allclose(together[1][k], sum(s * a[1][k] for s, a in zip(share, alone)), rtol=1e-4, atol=1e-7)

@@ -17,7 +17,7 @@ averages; every window of all training documents is learned from once, one in ``
 from __future__ import annotations
 
 from collections import Counter
-
+from functools import cache
 from zlib import crc32
 
 from pyspark.sql import DataFrame
@@ -76,14 +76,6 @@ def new_model(classes: Classes) -> dict:
     }
 
 
-def _distances():
-    """Distance of each key of a window to each query, and where a key lies ahead."""
-    import numpy as np
-
-    far = (np.arange(BLOCK) + BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
-    return np.clip(far, 0, None), far < 0
-
-
 def blocks_of(texts: list, classes: Classes):
     """Windows of several id sequences: input rows ``(n, 2 * BLOCK)``, targets ``(n, BLOCK)``, -1 for none, first-block flags, text numbers."""
     import numpy as np
@@ -103,137 +95,177 @@ def blocks_of(texts: list, classes: Classes):
     return np.concatenate([grid[which - 1], grid[which]], axis=1), ids.reshape(size, BLOCK)[which], np.isin(which, at), np.repeat(np.arange(len(texts)), blocks)
 
 
-def attend(m: dict, rows, first, mask):
-    """Attention of each window's last block over the window; the parts that training needs."""
-    import numpy as np
-
-    e = m["e"][rows]
-    own = e[:, BLOCK:]
-    q, k, v = own @ m["q"], e @ m["k"], e @ m["v"]
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(WIDTH**-0.5)
-    s += mask
-    s[first, :, :BLOCK] = -1e9
-    s -= s.max(axis=2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    h = s @ v
-    h += own
-    return e, q, k, v, s, h
-
-
-def log_classes(m: dict, h):
+@cache
+def _distances():
+    """Distance of each key of a window to each query, and where a key lies ahead."""
     import numpy as np
 
-    z = h.reshape(-1, WIDTH) @ m["u"] + m["c"]
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    far = (np.arange(BLOCK) + BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
+    return np.clip(far, 0, None), far < 0
 
 
 def _mask(m: dict):
     import numpy as np
 
     far, ahead = _distances()
-    return np.where(ahead, np.float32(-1e9), m["near"][far])
+    return np.where(ahead, m["near"].dtype.type(-1e9), m["near"][far])
 
 
-def scores(m: dict, classes: Classes, texts: list):
-    """Natural log probability of each id sequence, END included by the caller.
+def _tables(m: dict):
+    """Query, key and value of every embedding row; a last column of ones beside the values adds up weights."""
+    import numpy as np
 
-    The same sums as in ``attend`` and ``log_classes`` with less work: keys and
-    values of a row are made once, weights are divided after the weighted sum,
-    and exponents stay in range without their maximum being taken off, or else
-    the careful way is taken.
+    e = m["e"]
+    return e @ m["q"] * e.dtype.type(WIDTH**-0.5), e @ m["k"], np.concatenate([e @ m["v"], np.ones((len(e), 1), e.dtype)], axis=1)
+
+
+def attend(q, k, v, first, mask):
+    """Weights of each window's last block over the window, up to a factor for each query, and the values summed with them.
+
+    Exponents stay in range without their maximum being taken off, or else the
+    careful way is taken.
     """
     import numpy as np
 
+    for careful in (False, True):
+        s = q @ k.transpose(0, 2, 1)
+        s += mask
+        s[first, :, :BLOCK] = -1e9
+        if careful:
+            s -= s.max(axis=2, keepdims=True)
+        elif s.max() >= 60:
+            continue
+        np.exp(s, out=s)
+        summed = s @ v
+        if careful or summed[:, :, WIDTH].min() > 1e-25:
+            break
+    return s, summed
+
+
+def class_odds(m: dict, h, real, goal):
+    """Odds of the classes in each row of ``h`` up to a factor, their sums, and the log probability of rows ``real`` at ``goal``."""
+    import numpy as np
+
+    z = h @ m["u"]
+    z += m["c"]
+    if not (z.max() < 60 and z.min() > -60):
+        z -= z.max(axis=1, keepdims=True)
+    own = z[real, goal]
+    np.exp(z, out=z)
+    total = z @ np.ones(CLASSES, z.dtype)
+    return z, total, own - np.log(total[real])
+
+
+def scores(m: dict, classes: Classes, texts: list):
+    """Natural log probability of each id sequence, END included by the caller."""
+    import numpy as np
+
     total = np.zeros(len(texts))
     rows, ids, first, owner = blocks_of(texts, classes)
-    mask = _mask(m)
-    scale = np.float32(WIDTH**-0.5)
-    q_of, k_of, u, c = m["e"] @ m["q"] * scale, m["e"] @ m["k"], m["u"], m["c"]
-    # A last column of ones makes the sum of the weights come out of the same product.
-    v_of = np.c_[m["e"] @ m["v"], np.ones(len(m["e"]), np.float32)].astype(np.float32)
+    mask, (q_of, k_of, v_of) = _mask(m), _tables(m)
     for a in range(0, len(rows), STEP):
         part = slice(a, a + STEP)
-        seen, own = rows[part], rows[part, BLOCK:]
-        s = q_of[own] @ k_of[seen].transpose(0, 2, 1)
-        s += mask
-        s[first[part], :, :BLOCK] = -1e9
-        if s.max() < 60:
-            np.exp(s, out=s)
-            summed = s @ v_of[seen]
-            h = summed[:, :, :WIDTH] / summed[:, :, WIDTH:]
-            h += m["e"][own]
-        else:
-            h = attend(m, seen, first[part], mask)[-1]
+        seen = rows[part].astype(np.int64)
+        own = seen[:, BLOCK:]
+        _, summed = attend(q_of.take(own, axis=0), k_of.take(seen, axis=0), v_of.take(seen, axis=0), first[part], mask)
+        h = summed[:, :, :WIDTH] / summed[:, :, WIDTH:]
+        h += m["e"].take(own, axis=0)
         target = ids[part].ravel()
-        z = h.reshape(-1, WIDTH) @ u
-        z += c
         real = np.flatnonzero(target >= 0)
         target = target[real]
-        goal = classes.of[target]
-        if z.max() < 60 and z.min() > -60:
-            found = _picked(z, real, goal)
-        else:
-            found = log_classes(m, h)[real, goal]
+        _, _, found = class_odds(m, h.reshape(-1, WIDTH), real, classes.of[target])
         total += np.bincount(np.repeat(owner[part], BLOCK)[real], found + classes.log_share[target], len(texts))
     return total
 
 
-def _picked(z, real, goal):
-    """Log softmax of rows ``real`` at ``goal``; overwrites ``z``."""
+def _joined(grown, follows, stray):
+    """Gradients of windows ``(n, 2 * BLOCK, WIDTH)`` as those of their last blocks, to which a following window adds, and of blocks that stray before no other."""
     import numpy as np
 
-    own = z[real, goal]
-    return own - np.log(np.exp(z, out=z) @ np.ones(CLASSES, np.float32))[real]
+    before = grown[:, :BLOCK]
+    last = grown[:, BLOCK:].copy()
+    last[:-1][follows] += before[1:][follows]
+    return np.concatenate([last, before[stray]]).reshape(-1, WIDTH)
 
 
 def gradients(m: dict, rows, target_classes, first):
-    """Mean loss over the real targets (class -1: none) and its gradient."""
+    """Mean loss over the real targets (class -1: none) and its gradient.
+
+    A window that follows its text's last one in ``rows`` shares a block with
+    it; what both give to the block's rows is added up once.
+    """
     import numpy as np
 
-    e, q, k, v, s, h = attend(m, rows, first, _mask(m))
-    own, logp = e[:, BLOCK:], log_classes(m, h)
+    e, n = m["e"], len(rows)
+    seen = rows.astype(np.int64)
+    own = seen[:, BLOCK:]
+    q_of, k_of, v_of = _tables(m)
+    q, k, v, x = q_of.take(own, axis=0), k_of.take(seen, axis=0), v_of.take(seen, axis=0), e.take(own, axis=0)
+    s, summed = attend(q, k, v, first, _mask(m))
+    weight = summed[:, :, WIDTH:]
+    mixed = summed[:, :, :WIDTH] / weight
+    h = np.ones((n * BLOCK, WIDTH + 1), e.dtype)
+    h[:, :WIDTH] = (mixed + x).reshape(-1, WIDTH)
     t = target_classes.ravel()
     real = np.flatnonzero(t >= 0)
-    n = max(1, len(real))
-    dz = np.zeros_like(logp)
-    dz[real] = np.exp(logp[real])
-    dz[real, t[real]] -= 1
-    dz /= n
-    flat = h.reshape(-1, WIDTH)
-    g = {"u": flat.T @ dz, "c": dz.sum(axis=0)}
-    dh = (dz @ m["u"].T).reshape(h.shape)
-    ds = dh @ v.transpose(0, 2, 1)
-    dv = s.transpose(0, 2, 1) @ dh
-    ds -= (ds * s).sum(axis=2, keepdims=True)
+    goal, count = t[real], max(1, len(real))
+    dz, total, found = class_odds(m, h[:, :WIDTH], real, goal)
+    share = np.zeros_like(total)
+    share[real] = 1 / (total[real] * e.dtype.type(count))
+    dz *= share[:, None]
+    dz[real, goal] -= e.dtype.type(1 / count)
+    g = h.T @ dz
+    g = {"u": g[:WIDTH], "c": g[WIDTH]}
+    dh = (dz @ m["u"].T).reshape(mixed.shape)
+    # The ones beside the values take off each query's mean.
+    back = np.empty_like(summed)
+    np.divide(dh, weight, out=back[:, :, :WIDTH])
+    back[:, :, WIDTH] = -np.vecdot(back[:, :, :WIDTH], mixed)
+    ds = back @ v.transpose(0, 2, 1)
     ds *= s
     far, ahead = _distances()
-    g["near"] = np.bincount(far[~ahead], ds.sum(axis=0)[~ahead], 2 * BLOCK).astype(np.float32)
-    ds *= np.float32(WIDTH**-0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    wide = lambda x: x.reshape(-1, WIDTH)
-    g["q"], g["k"], g["v"] = wide(own).T @ wide(dq), wide(e).T @ wide(dk), wide(e).T @ wide(dv)
-    de = dk @ m["k"].T + dv @ m["v"].T
-    de[:, BLOCK:] += dq @ m["q"].T + dh
-    at = rows.ravel().astype(np.int64)
-    g["e"] = np.stack([np.bincount(at, col, len(m["e"])) for col in wide(de).T], axis=1).astype(np.float32)
-    return -float(logp[real, t[real]].sum()) / n, g
+    g["near"] = np.bincount(far[~ahead], ds.sum(axis=0)[~ahead], 2 * BLOCK).astype(e.dtype)
+    follows = ~first[1:] & (rows[1:, :BLOCK] == rows[:-1, BLOCK:]).all(axis=1)
+    stray = ~first
+    stray[1:] &= ~follows
+    at = np.concatenate([own, seen[stray, :BLOCK]]).ravel()
+    x = np.concatenate([x.reshape(-1, WIDTH), e.take(seen[stray, :BLOCK].ravel(), axis=0)])
+    dk = _joined(ds.transpose(0, 2, 1) @ q, follows, stray)
+    dv = _joined(s.transpose(0, 2, 1) @ back[:, :, :WIDTH], follows, stray)
+    dq = (ds @ k).reshape(-1, WIDTH)
+    dq *= e.dtype.type(WIDTH**-0.5)
+    g["q"], g["k"], g["v"] = x[: len(dq)].T @ dq, x.T @ dk, x.T @ dv
+    de = m["k"] @ dk.T
+    de += m["v"] @ dv.T
+    de[:, : len(dq)] += m["q"] @ dq.T
+    de[:, : len(dq)] += dh.reshape(-1, WIDTH).T
+    g["e"] = np.stack([np.bincount(at, col, len(e)) for col in de], axis=1).astype(e.dtype)
+    return -float(found.sum()) / count, g
 
 
 def adam(m: dict, batches, rate: float = 0.01) -> int:
     """Steps over the batches in place; the number of steps."""
     import numpy as np
 
-    first, second, n = {k: np.zeros_like(x) for k, x in m.items()}, {k: np.zeros_like(x) for k, x in m.items()}, 0
+    flat = np.concatenate([x.ravel() for x in m.values()])
+    ends = np.cumsum([x.size for x in m.values()])[:-1]
+    views = {k: part.reshape(x.shape) for (k, x), part in zip(m.items(), np.split(flat, ends))}
+    first, second, n = np.zeros_like(flat), np.zeros_like(flat), 0
     for batch in batches:
-        _, g = gradients(m, *batch)
+        _, found = gradients(views, *batch)
         n += 1
-        for k, x in m.items():
-            first[k] = 0.9 * first[k] + 0.1 * g[k]
-            second[k] = 0.99 * second[k] + 0.01 * g[k] ** 2
-            x -= (rate * (first[k] / (1 - 0.9**n)) / (np.sqrt(second[k] / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
+        g = np.concatenate([found[k].ravel() for k in m])
+        first *= 0.9
+        first += 0.1 * g
+        second *= 0.99
+        g *= g
+        g *= 0.01
+        second += g
+        scale = np.sqrt(second / (1 - 0.99**n))
+        scale += 1e-8
+        flat -= first / scale * (rate / (1 - 0.9**n))
+    for k, x in m.items():
+        x[...] = views[k]
     return n
 
 
