@@ -133,3 +133,41 @@ def test_gradients_of_windows_that_share_blocks():
     assert np.isclose(together[0], sum(s * a[0] for s, a in zip(share, alone)))
     for k in model:
         assert np.allclose(together[1][k], sum(s * a[1][k] for s, a in zip(share, alone)), rtol=1e-4, atol=1e-7)
+
+
+def test_ids_are_looked_up_once_for_all_steps(spark, monkeypatch):
+    """The pass that cuts chunks keeps each document's ids, in order, and marks equal texts: nothing looks them up again."""
+    texts = ["Two words", "x " * 700, "", "Two words", "Éa İ. tail;"]
+    monkeypatch.setattr(lm, "CHUNK_DOCS", 4)
+    df = spark.createDataFrame([(k, k == 2, bytearray(t.encode())) for k, t in enumerate(texts)], "doc_id bigint, held_out boolean, text binary").coalesce(1)
+    rows = lm._chunks(df, tokenizer_path()).collect()
+    found = [r for r in rows if r.kind == lm.IDS]
+    assert [np.frombuffer(r.ids, "<u2").tolist() for r in found] == [c.tolist() for c in lm._coded([t.encode() for t in texts], tokenizer_path())]
+    assert [r.mark for r in found] == [crc32(t.encode()) for t in texts] and [r.learned for r in found] == [1, 1, 0, 1, 1]
+    assert [r.key is None for r in found] == [False, False, False, True, False]
+    assert {r.key for r in found if r.key} == {r.key for r in rows if r.kind == lm.TEXT}
+    assert {r.key: r.learned for r in rows if r.kind == lm.WORD and r.chunk == found[0].chunk} == {b"": 3, b"two": 2, b"words": 2, b"x": 700}
+
+
+def test_gradients_of_more_windows_than_a_step():
+    classes = lm.Classes(np.ones(lm.VOCABULARY))
+    rng = np.random.default_rng(3)
+    model = lm.new_model(classes)
+    rows, ids, first, _ = lm.blocks_of([rng.integers(0, lm.VOCABULARY, (lm.STEP + 9) * lm.BLOCK).astype(np.int32)], classes)
+    goals = classes.of[ids].astype(np.int64)
+    whole, parts = lm.gradients(model, rows, goals, first), [lm.gradients(model, rows[a], goals[a], first[a]) for a in (slice(lm.STEP), slice(lm.STEP, None))]
+    share = (lm.STEP / len(rows), 9 / len(rows))
+    assert np.isclose(whole[0], sum(s * p[0] for s, p in zip(share, parts)), rtol=1e-5)
+    for k in model:
+        assert np.allclose(whole[1][k], sum(s * p[1][k] for s, p in zip(share, parts)), rtol=1e-3, atol=1e-6)
+
+
+def test_exponents_that_overflow():
+    """Queries, keys and class terms far above zero take the careful way and leave the shares as they are."""
+    classes = lm.Classes(np.ones(lm.VOCABULARY))
+    model = lm.new_model(classes)
+    text = np.arange(3 * lm.BLOCK, dtype=np.int32)
+    plain = lm.scores(model, classes, [text])
+    model["near"] += 100
+    model["c"] += 100
+    assert np.allclose(lm.scores(model, classes, [text]), plain, rtol=1e-4)

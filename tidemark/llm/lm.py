@@ -3,7 +3,9 @@
 Two scores for each text. The base score adds up smoothed log frequencies of
 its words in the training documents; the words of a bounded chunk of documents
 are counted together, so a word crosses the network once a chunk, with the list
-of the chunk's documents that hold it.
+of the chunk's documents that hold it. The same pass looks up the subword ids of
+each of the chunk's words once and keeps every document's ids in the shared
+folder; counting ids, training and scoring read those.
 
 The model is one layer of causal self-attention over subword ids, trained in
 numpy. It predicts the class of the next id; ids are put in classes by frequency
@@ -16,7 +18,6 @@ averages; every window of all training documents is learned from once, one in ``
 
 from __future__ import annotations
 
-from collections import Counter
 from functools import cache
 from zlib import crc32
 
@@ -112,48 +113,98 @@ def _mask(m: dict):
 
 
 def _tables(m: dict):
-    """Query, key and value of every embedding row; a last column of ones beside the values adds up weights."""
+    """Queries of every embedding row; its key, its value, a one that adds up weights and the row itself, side by side."""
     import numpy as np
 
     e = m["e"]
-    return e @ m["q"] * e.dtype.type(WIDTH**-0.5), e @ m["k"], np.concatenate([e @ m["v"], np.ones((len(e), 1), e.dtype)], axis=1)
+    return e @ m["q"] * e.dtype.type(WIDTH**-0.5), np.concatenate([e @ m["k"], e @ m["v"], np.ones((len(e), 1), e.dtype), e], axis=1)
 
 
-def attend(q, k, v, first, mask):
-    """Weights of each window's last block over the window, up to a factor for each query, and the values summed with them.
+#: Columns of the second table.
+_KEY, _VALUE, _SUMMED, _ROW = slice(0, WIDTH), slice(WIDTH, 2 * WIDTH), slice(WIDTH, 2 * WIDTH + 1), slice(2 * WIDTH + 1, None)
+
+
+class _Space:
+    """Arrays for ``STEP`` windows, written over and over: fresh ones would have to be fetched into a core's cache each time."""
+
+    def __init__(self, dtype):
+        import numpy as np
+
+        new = lambda *shape: np.empty((STEP, *shape), dtype)
+        self.q, self.seen, self.s, self.summed = new(BLOCK, WIDTH), new(2 * BLOCK, 3 * WIDTH + 1), new(BLOCK, 2 * BLOCK), new(BLOCK, WIDTH + 1)
+        self.mixed, self.z = new(BLOCK, WIDTH), new(BLOCK, CLASSES)
+        # A last column of ones goes with the classes' own terms.
+        self.h = np.ones((STEP, BLOCK, WIDTH + 1), dtype)
+        self.back, self.ds, self.asked, self.sought = new(BLOCK, WIDTH + 1), new(BLOCK, 2 * BLOCK), new(BLOCK, 2 * WIDTH), new(2 * BLOCK, 2 * WIDTH)
+
+    def cut(self, n: int) -> _Space:
+        """The arrays' first ``n`` windows."""
+        some = object.__new__(_Space)
+        some.__dict__.update((k, x[:n]) for k, x in vars(self).items())
+        return some
+
+
+@cache
+def _space(dtype: str) -> _Space:
+    return _Space(dtype)
+
+
+def _careless():
+    """For numbers that overflow: they are seen afterwards, and the careful way is taken."""
+    import numpy as np
+
+    return np.errstate(over="ignore", invalid="ignore")
+
+
+def attend(w: _Space, rows, first, tables, mask) -> None:
+    """Weights ``s`` of each window's last block over the window, up to a factor for each query, the values ``summed`` with them, their mean ``mixed`` and the output ``h``.
 
     Exponents stay in range without their maximum being taken off, or else the
     careful way is taken.
     """
     import numpy as np
 
+    tables[0].take(rows[:, BLOCK:], axis=0, out=w.q, mode="clip")
+    tables[1].take(rows, axis=0, out=w.seen, mode="clip")
+    s, begins = w.s, first.any()
     for careful in (False, True):
-        s = q @ k.transpose(0, 2, 1)
+        np.matmul(w.q, w.seen[:, :, _KEY].transpose(0, 2, 1), out=s)
         s += mask
-        s[first, :, :BLOCK] = -1e9
+        if begins:
+            s[first, :, :BLOCK] = -1e9
         if careful:
             s -= s.max(axis=2, keepdims=True)
-        elif s.max() >= 60:
-            continue
         np.exp(s, out=s)
-        summed = s @ v
-        if careful or summed[:, :, WIDTH].min() > 1e-25:
+        np.matmul(s, w.seen[:, :, _SUMMED], out=w.summed)
+        weight = w.summed[:, :, WIDTH]
+        if careful or weight.min() > 1e-25 and weight.max() < 1e28:
+            break
+    np.divide(w.summed[:, :, :WIDTH], w.summed[:, :, WIDTH:], out=w.mixed)
+    np.add(w.mixed, w.seen[:, BLOCK:, _ROW], out=w.h[:, :, :WIDTH])
+
+
+def class_odds(w: _Space, head, places):
+    """Odds ``z`` of the classes in each row of ``h`` up to a factor, their sums, and the log probability at ``places`` of the flat odds."""
+    import numpy as np
+
+    z, flat = w.z.reshape(-1, CLASSES), w.z.reshape(-1)
+    ones = np.ones(CLASSES, z.dtype)
+    for careful in (False, True):
+        np.matmul(w.h.reshape(-1, WIDTH + 1), head, out=z)
+        if careful:
+            z -= z.max(axis=1, keepdims=True)
+        own = flat.take(places)
+        np.exp(z, out=z)
+        total = z @ ones
+        if careful or total.min() > 1e-25 and total.max() < 1e28:
             break
-    return s, summed
+    return total, own - np.log(total.take(places // CLASSES))
 
 
-def class_odds(m: dict, h, real, goal):
-    """Odds of the classes in each row of ``h`` up to a factor, their sums, and the log probability of rows ``real`` at ``goal``."""
+def _head(m: dict):
     import numpy as np
 
-    z = h @ m["u"]
-    z += m["c"]
-    if not (z.max() < 60 and z.min() > -60):
-        z -= z.max(axis=1, keepdims=True)
-    own = z[real, goal]
-    np.exp(z, out=z)
-    total = z @ np.ones(CLASSES, z.dtype)
-    return z, total, own - np.log(total[real])
+    return np.concatenate([m["u"], m["c"][None, :]])
 
 
 def scores(m: dict, classes: Classes, texts: list):
@@ -162,85 +213,71 @@ def scores(m: dict, classes: Classes, texts: list):
 
     total = np.zeros(len(texts))
     rows, ids, first, owner = blocks_of(texts, classes)
-    mask, (q_of, k_of, v_of) = _mask(m), _tables(m)
-    for a in range(0, len(rows), STEP):
-        part = slice(a, a + STEP)
-        seen = rows[part].astype(np.int64)
-        own = seen[:, BLOCK:]
-        _, summed = attend(q_of.take(own, axis=0), k_of.take(seen, axis=0), v_of.take(seen, axis=0), first[part], mask)
-        h = summed[:, :, :WIDTH] / summed[:, :, WIDTH:]
-        h += m["e"].take(own, axis=0)
-        target = ids[part].ravel()
-        real = np.flatnonzero(target >= 0)
-        target = target[real]
-        _, _, found = class_odds(m, h.reshape(-1, WIDTH), real, classes.of[target])
-        total += np.bincount(np.repeat(owner[part], BLOCK)[real], found + classes.log_share[target], len(texts))
+    mask, tables, head = _mask(m), _tables(m), _head(m)
+    with _careless():
+        for a in range(0, len(rows), STEP):
+            part = slice(a, a + STEP)
+            w = _space(head.dtype.str).cut(len(rows[part]))
+            attend(w, rows[part], first[part], tables, mask)
+            target = ids[part].ravel()
+            real = np.flatnonzero(target >= 0)
+            target = target[real]
+            _, found = class_odds(w, head, real * CLASSES + classes.of[target])
+            total += np.bincount(owner[part][real // BLOCK], found + classes.log_share[target], len(texts))
     return total
 
 
-def _joined(grown, follows, stray):
-    """Gradients of windows ``(n, 2 * BLOCK, WIDTH)`` as those of their last blocks, to which a following window adds, and of blocks that stray before no other."""
-    import numpy as np
-
-    before = grown[:, :BLOCK]
-    last = grown[:, BLOCK:].copy()
-    last[:-1][follows] += before[1:][follows]
-    return np.concatenate([last, before[stray]]).reshape(-1, WIDTH)
-
-
 def gradients(m: dict, rows, target_classes, first):
-    """Mean loss over the real targets (class -1: none) and its gradient.
-
-    A window that follows its text's last one in ``rows`` shares a block with
-    it; what both give to the block's rows is added up once.
-    """
+    """Mean loss over the real targets (class -1: none) and its gradient, a few windows at a time."""
     import numpy as np
 
     e, n = m["e"], len(rows)
-    seen = rows.astype(np.int64)
-    own = seen[:, BLOCK:]
-    q_of, k_of, v_of = _tables(m)
-    q, k, v, x = q_of.take(own, axis=0), k_of.take(seen, axis=0), v_of.take(seen, axis=0), e.take(own, axis=0)
-    s, summed = attend(q, k, v, first, _mask(m))
-    weight = summed[:, :, WIDTH:]
-    mixed = summed[:, :, :WIDTH] / weight
-    h = np.ones((n * BLOCK, WIDTH + 1), e.dtype)
-    h[:, :WIDTH] = (mixed + x).reshape(-1, WIDTH)
-    t = target_classes.ravel()
-    real = np.flatnonzero(t >= 0)
-    goal, count = t[real], max(1, len(real))
-    dz, total, found = class_odds(m, h[:, :WIDTH], real, goal)
-    share = np.zeros_like(total)
-    share[real] = 1 / (total[real] * e.dtype.type(count))
-    dz *= share[:, None]
-    dz[real, goal] -= e.dtype.type(1 / count)
-    g = h.T @ dz
-    g = {"u": g[:WIDTH], "c": g[WIDTH]}
-    dh = (dz @ m["u"].T).reshape(mixed.shape)
-    # The ones beside the values take off each query's mean.
-    back = np.empty_like(summed)
-    np.divide(dh, weight, out=back[:, :, :WIDTH])
-    back[:, :, WIDTH] = -np.vecdot(back[:, :, :WIDTH], mixed)
-    ds = back @ v.transpose(0, 2, 1)
-    ds *= s
+    mask, tables, head, kind = _mask(m), _tables(m), _head(m), e.dtype
+    count, loss, scale = max(1, int((target_classes >= 0).sum())), 0.0, kind.type(WIDTH**-0.5)
+    u_back, asked_back = np.ascontiguousarray(m["u"].T), np.concatenate([m["q"] * scale, np.eye(WIDTH, dtype=kind)], axis=1)
+    sought_back = np.concatenate([m["k"], m["v"]], axis=1)
+    g_head, g_asked, g_sought, g_near = np.zeros_like(head), np.zeros_like(m["q"]), np.zeros_like(sought_back), np.zeros(BLOCK * 2 * BLOCK, kind)
+    de = np.empty((WIDTH, n, 2 * BLOCK), kind)
+    with _careless():
+        for a in range(0, n, STEP):
+            part = slice(a, a + STEP)
+            some = len(rows[part])
+            w = _space(kind.str).cut(some)
+            attend(w, rows[part], first[part], tables, mask)
+            t = target_classes[part].ravel()
+            real = np.flatnonzero(t >= 0)
+            places = real * CLASSES + t[real]
+            total, found = class_odds(w, head, places)
+            loss -= float(found.sum())
+            share = np.zeros_like(total)
+            share[real] = 1 / (total[real] * kind.type(count))
+            dz = w.z.reshape(-1, CLASSES)
+            dz *= share[:, None]
+            dz.reshape(-1)[places] -= kind.type(1 / count)
+            g_head += w.h.reshape(-1, WIDTH + 1).T @ dz
+            asked, sought, back, ds = w.asked, w.sought, w.back, w.ds
+            dh = asked[:, :, WIDTH:]
+            np.matmul(dz, u_back, out=asked.reshape(-1, 2 * WIDTH)[:, WIDTH:])
+            # The ones beside the values take off each query's mean.
+            np.divide(dh, w.summed[:, :, WIDTH:], out=back[:, :, :WIDTH])
+            np.negative(np.vecdot(back[:, :, :WIDTH], w.mixed), out=back[:, :, WIDTH])
+            np.matmul(back, w.seen[:, :, _SUMMED].transpose(0, 2, 1), out=ds)
+            ds *= w.s
+            g_near += np.ones(some, kind) @ ds.reshape(some, -1)
+            np.matmul(ds, w.seen[:, :, _KEY], out=asked[:, :, :WIDTH])
+            np.matmul(ds.transpose(0, 2, 1), w.q, out=sought[:, :, :WIDTH])
+            np.matmul(w.s.transpose(0, 2, 1), back[:, :, :WIDTH], out=sought[:, :, WIDTH:])
+            x = w.seen[:, :, _ROW]
+            g_asked += x[:, BLOCK:].reshape(-1, WIDTH).T @ asked.reshape(-1, 2 * WIDTH)[:, :WIDTH]
+            g_sought += w.seen.reshape(-1, 3 * WIDTH + 1)[:, _ROW].T @ sought.reshape(-1, 2 * WIDTH)
+            de[:, part] = (sought_back @ sought.reshape(-1, 2 * WIDTH).T).reshape(WIDTH, some, -1)
+            de[:, part, BLOCK:] += (asked_back @ asked.reshape(-1, 2 * WIDTH).T).reshape(WIDTH, some, -1)
     far, ahead = _distances()
-    g["near"] = np.bincount(far[~ahead], ds.sum(axis=0)[~ahead], 2 * BLOCK).astype(e.dtype)
-    follows = ~first[1:] & (rows[1:, :BLOCK] == rows[:-1, BLOCK:]).all(axis=1)
-    stray = ~first
-    stray[1:] &= ~follows
-    at = np.concatenate([own, seen[stray, :BLOCK]]).ravel()
-    x = np.concatenate([x.reshape(-1, WIDTH), e.take(seen[stray, :BLOCK].ravel(), axis=0)])
-    dk = _joined(ds.transpose(0, 2, 1) @ q, follows, stray)
-    dv = _joined(s.transpose(0, 2, 1) @ back[:, :, :WIDTH], follows, stray)
-    dq = (ds @ k).reshape(-1, WIDTH)
-    dq *= e.dtype.type(WIDTH**-0.5)
-    g["q"], g["k"], g["v"] = x[: len(dq)].T @ dq, x.T @ dk, x.T @ dv
-    de = m["k"] @ dk.T
-    de += m["v"] @ dv.T
-    de[:, : len(dq)] += m["q"] @ dq.T
-    de[:, : len(dq)] += dh.reshape(-1, WIDTH).T
-    g["e"] = np.stack([np.bincount(at, col, len(e)) for col in de], axis=1).astype(e.dtype)
-    return -float(found.sum()) / count, g
+    at = rows.ravel().astype(np.int64)
+    g = {"u": g_head[:WIDTH], "c": g_head[WIDTH], "q": g_asked * scale, "k": g_sought[:, :WIDTH], "v": g_sought[:, WIDTH:]}
+    g["near"] = np.bincount(far[~ahead], g_near.reshape(far.shape)[~ahead], 2 * BLOCK).astype(kind)
+    g["e"] = np.stack([np.bincount(at, col, len(e)) for col in de.reshape(WIDTH, -1)], axis=1).astype(kind)
+    return loss / count, g
 
 
 def adam(m: dict, batches, rate: float = 0.01) -> int:
@@ -277,7 +314,7 @@ def _coded(texts: list, path: str):
     import numpy as np
 
     ids, end = word_ids(path), END.to_bytes(4, "little")
-    return [np.frombuffer(ids.of_words((t or b"").lower().split()) + end, "<u4").astype(np.int32) for t in texts]
+    return [np.frombuffer(ids.of_words((t or b"").lower().split()) + end, "<u4").astype(np.uint16) for t in texts]
 
 
 def _parts(batch, rows: int = 256, size: int = 4 << 20):
@@ -295,22 +332,28 @@ def _parts(batch, rows: int = 256, size: int = 4 << 20):
         yield batch.slice(a)
 
 
-def id_counts(words: DataFrame, path: str):
-    """How often each subword id occurs in texts with the word counts ``words(word, c)``; the empty word is the end."""
+def _read(ids) -> list:
+    """Id sequences from an Arrow column of 16-bit ids."""
+    import numpy as np
+
+    return [np.frombuffer(x, "<u2") for x in ids.to_pylist()]
+
+
+def id_counts(coded: DataFrame):
+    """How often each subword id occurs in ``coded(ids)``."""
     import numpy as np
 
     def run(batches):
         import pyarrow as pa
 
-        total, ids = np.zeros(VOCABULARY, np.int64), word_ids(path)
+        total = np.zeros(VOCABULARY, np.int64)
         for b in batches:
-            coded = [ids[w] if w else END.to_bytes(4, "little") for w in b.column(0).to_pylist()]
-            times = np.repeat(b.column(1).to_numpy(), [len(x) // 4 for x in coded])
-            total += np.bincount(np.frombuffer(b"".join(coded), "<u4"), times, VOCABULARY).astype(np.int64)
+            for part in _parts(b):
+                total += np.bincount(np.concatenate(_read(part.column(0))), minlength=VOCABULARY)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
 
-    rows = words.select("word", "c").mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = coded.select("ids").mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(VOCABULARY)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -339,23 +382,46 @@ def _averaged(updates: DataFrame, groups: int) -> dict | None:
     return mean((r["steps"], r["model"]) for r in grouped.collect())[0]
 
 
-def drawn(texts: list, classes: Classes, path: str, one_in: int, turn: int):
-    """Of the windows of texts, every ``one_in``-th; as many turns draw each window once. Input rows, classes of the targets (-1: none), first-block flags."""
+def _turn(coded: list, marks, classes: Classes, one_in: int, turn: int):
+    """Of the windows of id sequences, every ``one_in``-th, counted from each text's mark."""
     import numpy as np
 
-    rows, ids, first, owner = blocks_of(_coded(texts, path), classes)
+    rows, ids, first, owner = blocks_of(coded, classes)
     starts = np.flatnonzero(first)
-    number = np.arange(len(owner)) - starts[owner] + np.array([crc32(t or b"") for t in texts], np.int64)[owner]
+    number = np.arange(len(owner)) - starts[owner] + marks[owner]
     mine = number % one_in == turn % one_in
     ids = ids[mine]
     return rows[mine], np.where(ids >= 0, classes.of[np.maximum(ids, 0)].astype(np.int64), -1), first[mine]
 
 
+def drawn(texts: list, classes: Classes, path: str, one_in: int, turn: int):
+    """Of the windows of texts, every ``one_in``-th; as many turns draw each window once. Input rows, classes of the targets (-1: none), first-block flags."""
+    import numpy as np
+
+    return _turn(_coded(texts, path), np.array([crc32(t or b"") for t in texts], np.int64), classes, one_in, turn)
+
+
 def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUNDS, one_in: int = ONE_IN) -> dict:
-    """Rounds over ``docs(text)``: each partition trains on its windows from the shared model, then the models are averaged."""
+    """The model of ``docs(text)``, whose ids are looked up in every round."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for part in _parts(b):
+                texts = part.column(0).to_pylist()
+                marks = np.array([crc32(t or b"") for t in texts], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(marks), pa.array([c.tobytes() for c in _coded(texts, path)], pa.binary())], ["mark", "ids"])
+
+    return train_coded(docs.mapInArrow(run, "mark bigint, ids binary"), classes, rounds, one_in)
+
+
+def train_coded(coded: DataFrame, classes: Classes, rounds: int = TRAIN_ROUNDS, one_in: int = ONE_IN) -> dict:
+    """Rounds over ``coded(mark, ids)``: each partition trains on its windows from the shared model, then the models are averaged."""
     import numpy as np
 
-    model = new_model(classes)
+    model, coded = new_model(classes), coded.select("mark", "ids")
     for r in range(rounds):
 
         def run(batches, model=model, r=r):
@@ -369,7 +435,7 @@ def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUN
             def windows():
                 for b in batches:
                     for part in _parts(b):
-                        found = drawn(part.column(0).to_pylist(), classes, path, one_in, r)
+                        found = _turn(_read(part.column(1)), part.column(0).to_numpy(), classes, one_in, r)
                         if len(found[0]):
                             yield found
 
@@ -391,70 +457,87 @@ def train(docs: DataFrame, classes: Classes, path: str, rounds: int = TRAIN_ROUN
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([pickle.dumps(own)], pa.binary())], ["task", "steps", "model"])
 
-        updates = docs.mapInArrow(run, "task bigint, steps bigint, model binary")
+        updates = coded.mapInArrow(run, "task bigint, steps bigint, model binary")
         model = _averaged(updates, groups=16) or model
     return model
 
 
-def model_scores(docs: DataFrame, model: dict, classes: Classes, path: str) -> DataFrame:
-    """``digest, score`` of each distinct text of ``docs(text)``: log10 probability, by the text's MD5."""
+def model_scores(coded: DataFrame, model: dict, classes: Classes) -> DataFrame:
+    """``digest, score`` of each distinct text of ``coded(digest, ids)``: log10 probability, by the text's MD5."""
 
     def run(batches):
-        from hashlib import md5
-
         import numpy as np
         import pyarrow as pa
 
         for b in batches:
             for part in _parts(b, 128, 1 << 19):
-                texts = part.column(0).to_pylist()
-                found = scores(model, classes, _coded(texts, path)) / np.log(10)
-                yield pa.RecordBatch.from_arrays([pa.array([md5(t or b"").digest() for t in texts]), pa.array(found)], ["digest", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores(model, classes, _read(part.column(1))) / np.log(10))], ["digest", "score"])
+
+    return coded.select("digest", "ids").mapInArrow(run, "digest binary, score double").groupBy("digest").agg(F.min("score").alias("score"))
+
 
-    return docs.mapInArrow(run, "digest binary, score double").groupBy("digest").agg(F.min("score").alias("score"))
+#: Rows of a chunk: one head with the documents, one row a word, one row a text, and for each document its subword ids.
+HEAD, WORD, TEXT, IDS = 0, 1, 2, 3
 
 
-#: Rows of a chunk: one head with the documents, one row a word, one row a text.
-HEAD, WORD, TEXT = 0, 1, 2
+class _Words(dict):
+    """Numbers of a chunk's words in the order they are met, and each word's subword ids."""
+
+    def __init__(self, path: str):
+        # The empty word stands for the end of a text.
+        super().__init__({b"": 0})
+        self.known, self.ids = word_ids(path), [END.to_bytes(4, "little")]
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.ids)
+        self.ids.append(self.known[word])
+        return n
 
 
 class _Chunk:
     """Documents whose words are counted together: postings of (document, times) in the order of the words."""
 
-    def __init__(self):
-        from array import array
-
-        # The empty word stands for the end of a text.
-        self.words: dict[bytes, int] = {b"": 0}
-        self.texts: dict[bytes, int] = {}
+    def __init__(self, path: str):
+        self.words, self.texts = _Words(path), {}
         self.ids, self.held, self.sizes, self.text_of, self.bytes = [], [], [], [], 0
-        self.word, self.doc, self.times = array("I"), array("H"), array("B")
+        self.postings, self.run, self.done = [], [], 0
 
-    def add(self, doc_id, held: bool, text: bytes) -> None:
+    def add(self, doc_id, held: bool, text: bytes) -> tuple:
+        """The text's digest (null if it was here before), whether it is learned from, its mark and its ids as bytes."""
         from hashlib import md5
 
-        words = text.lower().split()
-        counted = Counter(words)
-        counted[b""] = 1
-        known, here = self.words, len(self.ids)
-        numbers, times = [known.setdefault(w, len(known)) for w in counted], list(counted.values())
-        while max(times) > 255:
-            # A byte holds so many; the rest is another posting.
-            over = [(w, n - 255) for w, n in zip(numbers, times) if n > 255]
-            self._post([w for w, _ in over], here, [255] * len(over))
-            rest = dict(over)
-            times = [rest.get(w, n) if n > 255 else n for w, n in zip(numbers, times)]
-        self._post(numbers, here, times)
+        import numpy as np
+
+        numbers = [*map(self.words.__getitem__, text.lower().split()), 0]
+        self.run.append(np.array(numbers, np.uint64))
         self.ids.append(doc_id)
         self.held.append(held)
-        self.sizes.append(len(words) + 1)
-        self.text_of.append(self.texts.setdefault(md5(text).digest(), len(self.texts)))
+        self.sizes.append(len(numbers))
+        digest, known = md5(text).digest(), len(self.texts)
+        self.text_of.append(self.texts.setdefault(digest, known))
         self.bytes += len(text)
+        ids = np.frombuffer(b"".join(map(self.words.ids.__getitem__, numbers)), "<u4").astype("<u2")
+        return digest if len(self.texts) > known else None, int(not held), crc32(text), ids.tobytes()
+
+    def fold(self) -> None:
+        """Postings of the documents since the last call, each as one number: word, document, times."""
+        import numpy as np
 
-    def _post(self, numbers: list[int], doc: int, times: list[int]) -> None:
-        self.word.extend(numbers)
-        self.doc.extend([doc] * len(numbers))
-        self.times.extend(times)
+        if not self.run:
+            return
+        every = np.concatenate(self.run)
+        every <<= np.uint64(16)
+        every |= np.repeat(np.arange(self.done, len(self.ids), dtype=np.uint64), self.sizes[self.done :])
+        every.sort()
+        at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        times, every = np.diff(np.r_[at, len(every)]), every[at]
+        # A byte holds 255; the rest is in further postings.
+        more = -(-times // 255)
+        last = np.cumsum(more) - 1
+        part = np.full(int(more.sum()), 255, np.uint64)
+        part[last] = times - 255 * (more - 1)
+        self.postings.append(np.repeat(every, more) << np.uint64(8) | part)
+        self.run, self.done = [], len(self.ids)
 
     def rows(self, chunk: int):
         import pickle
@@ -462,41 +545,62 @@ class _Chunk:
         import numpy as np
         import pyarrow as pa
 
-        word, doc, times = np.frombuffer(self.word, np.uint32), np.frombuffer(self.doc, np.uint16), np.frombuffer(self.times, np.uint8)
-        order = np.argsort(word, kind="stable")
+        self.fold()
+        every = np.concatenate(self.postings)
+        every.sort()
+        word, doc, times = (every >> np.uint64(24)).astype(np.int64), (every >> np.uint64(8)).astype(np.uint16), every.astype(np.uint8)
         n = len(self.words)
         learned = np.bincount(word, times * ~np.array(self.held, bool)[doc], n).astype(np.int64)
-        postings = (np.bincount(word, minlength=n).astype(np.uint32).tobytes(), doc[order].tobytes(), times[order].tobytes())
+        postings = (np.bincount(word, minlength=n).astype(np.uint32).tobytes(), doc.tobytes(), times.tobytes())
         head = pickle.dumps((self.ids, self.held, self.sizes, self.text_of, postings))
-        made = [(HEAD, [b""], [0], [0], [head])]
+        yield _rows_of(chunk, HEAD, [b""], [0], [0], [head])
         for kind, keys, counts in ((WORD, list(self.words), learned), (TEXT, list(self.texts), np.zeros(len(self.texts), np.int64))):
             for a in range(0, len(keys), 50_000):
                 part = keys[a : a + 50_000]
-                made.append((kind, part, np.arange(a, a + len(part)), counts[a : a + len(part)], [None] * len(part)))
-        for kind, keys, at, counts, heads in made:
-            m = len(keys)
-            columns = [np.full(m, chunk), np.full(m, kind, np.int8)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(keys, pa.binary()), pa.array(at, pa.int32()), pa.array(counts, pa.int64()), pa.array(heads, pa.binary())], ["chunk", "kind", "key", "at", "learned", "head"])
+                yield _rows_of(chunk, kind, part, np.arange(a, a + len(part)), counts[a : a + len(part)])
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """The chunks of ``docs(doc_id, held_out, text)`` as head, word and text rows."""
+def _rows_of(chunk: int, kind: int, keys, at, learned, heads=None, marks=None, ids=None):
+    """Rows of a chunk as an Arrow batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = len(keys)
+    columns = [np.full(n, chunk), np.full(n, kind, np.int8)]
+    columns = [*map(pa.array, columns), pa.array(keys, pa.binary()), pa.array(at, pa.int32()), pa.array(learned, pa.int64())]
+    extra = [pa.array(x, t) if x is not None else pa.nulls(n, t) for x, t in ((heads, pa.binary()), (marks, pa.int64()), (ids, pa.binary()))]
+    return pa.RecordBatch.from_arrays(columns + extra, ["chunk", "kind", "key", "at", "learned", "head", "mark", "ids"])
+
+
+def _chunks(docs: DataFrame, path: str) -> DataFrame:
+    """The chunks of ``docs(doc_id, held_out, text)`` as head, word and text rows, and each document's ids in the order of the documents."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        task, serial, held = TaskContext.get().partitionId(), 0, _Chunk()
+        task, serial, held = TaskContext.get().partitionId(), 0, _Chunk(path)
+
+        def coded(found):
+            digests, learned, marks, ids = zip(*found)
+            return _rows_of(task << 32 | serial, IDS, digests, [None] * len(ids), learned, None, marks, ids)
+
         for b in batches:
             for part in _parts(b):
+                found = []
                 for doc_id, out, text in zip(*(c.to_pylist() for c in part.columns)):
                     if held.ids and (len(held.ids) >= CHUNK_DOCS or held.bytes + len(text) > CHUNK_BYTES):
+                        if found:
+                            yield coded(found)
                         yield from held.rows(task << 32 | serial)
-                        held, serial = _Chunk(), serial + 1
-                    held.add(doc_id, out, text)
+                        held, serial, found = _Chunk(path), serial + 1, []
+                    found.append(held.add(doc_id, out, text))
+                held.fold()
+                if found:
+                    yield coded(found)
         if held.ids:
             yield from held.rows(task << 32 | serial)
 
-    return docs.mapInArrow(run, "chunk bigint, kind tinyint, key binary, at int, learned bigint, head binary")
+    return docs.mapInArrow(run, "chunk bigint, kind tinyint, key binary, at int, learned bigint, head binary, mark bigint, ids binary")
 
 
 def _finish(population: int, distinct: int):
@@ -533,16 +637,17 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or tokenizer_path()
     rows = docs.select("doc_id", held_out().alias("held_out"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    learned = rows.where(~F.col("held_out")).select("text")
     folder = f"{run_dir(docs.sparkSession, 'lm')}/chunks"
-    _chunks(rows).write.parquet(folder)
+    _chunks(rows, path).write.parquet(folder)
     parts = docs.sparkSession.read.parquet(folder)
     words = parts.where(F.col("kind") == WORD)
     counts = cut_lineage(words.groupBy("key").agg(F.sum("learned").alias("c")).where("c > 0").withColumnRenamed("key", "word"))
     population, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    classes = Classes(id_counts(counts, path))
-    model = train(learned, classes, path)
-    scored = model_scores(rows.select("text"), model, classes, path)
+    coded = parts.where(F.col("kind") == IDS)
+    learned = coded.where("learned > 0")
+    classes = Classes(id_counts(learned))
+    model = train_coded(learned, classes)
+    scored = model_scores(coded.where("key IS NOT NULL").withColumnRenamed("key", "digest"), model, classes)
     # Words without an answer were never learned; each answer is one number.
     answers = words.select("chunk", "kind", "key", "at").join(counts.select(F.col("word").alias("key"), F.col("c").cast("double").alias("value")), "key")
     texts = parts.where(F.col("kind") == TEXT).select("chunk", "kind", "key", "at").join(scored.select(F.col("digest").alias("key"), F.col("score").alias("value")), "key")
