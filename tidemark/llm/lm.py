@@ -234,10 +234,10 @@ def gradients(m: dict, rows, target_classes, first):
     e, n = m["e"], len(rows)
     mask, tables, head, kind = _mask(m), _tables(m), _head(m), e.dtype
     count, loss, scale = max(1, int((target_classes >= 0).sum())), 0.0, kind.type(WIDTH**-0.5)
-    u_back, asked_back = np.ascontiguousarray(m["u"].T), np.concatenate([m["q"] * scale, np.eye(WIDTH, dtype=kind)], axis=1)
-    sought_back = np.concatenate([m["k"], m["v"]], axis=1)
-    g_head, g_asked, g_sought, g_near = np.zeros_like(head), np.zeros_like(m["q"]), np.zeros_like(sought_back), np.zeros(BLOCK * 2 * BLOCK, kind)
-    de = np.empty((WIDTH, n, 2 * BLOCK), kind)
+    u_back, asked_back = np.ascontiguousarray(m["u"].T), np.concatenate([m["q"].T * scale, np.eye(WIDTH, dtype=kind)])
+    sought_back = np.concatenate([m["k"].T, m["v"].T])
+    g_head, g_asked, g_sought, g_near = np.zeros_like(head), np.zeros_like(m["q"]), np.zeros((WIDTH, 2 * WIDTH), kind), np.zeros(BLOCK * 2 * BLOCK, kind)
+    de = np.empty((n, 2 * BLOCK, WIDTH), kind)
     with _careless():
         for a in range(0, n, STEP):
             part = slice(a, a + STEP)
@@ -270,13 +270,14 @@ def gradients(m: dict, rows, target_classes, first):
             x = w.seen[:, :, _ROW]
             g_asked += x[:, BLOCK:].reshape(-1, WIDTH).T @ asked.reshape(-1, 2 * WIDTH)[:, :WIDTH]
             g_sought += w.seen.reshape(-1, 3 * WIDTH + 1)[:, _ROW].T @ sought.reshape(-1, 2 * WIDTH)
-            de[:, part] = (sought_back @ sought.reshape(-1, 2 * WIDTH).T).reshape(WIDTH, some, -1)
-            de[:, part, BLOCK:] += (asked_back @ asked.reshape(-1, 2 * WIDTH).T).reshape(WIDTH, some, -1)
+            np.matmul(sought.reshape(-1, 2 * WIDTH), sought_back, out=de[part].reshape(-1, WIDTH))
+            de[part, BLOCK:] += (asked.reshape(-1, 2 * WIDTH) @ asked_back).reshape(some, BLOCK, WIDTH)
     far, ahead = _distances()
-    at = rows.ravel().astype(np.int64)
+    at = (rows.reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)).ravel()
     g = {"u": g_head[:WIDTH], "c": g_head[WIDTH], "q": g_asked * scale, "k": g_sought[:, :WIDTH], "v": g_sought[:, WIDTH:]}
     g["near"] = np.bincount(far[~ahead], g_near.reshape(far.shape)[~ahead], 2 * BLOCK).astype(kind)
-    g["e"] = np.stack([np.bincount(at, col, len(e)) for col in de.reshape(WIDTH, -1)], axis=1).astype(kind)
+    g["e"] = np.zeros_like(e)
+    np.add.at(g["e"].reshape(-1), at, de.reshape(-1))
     return loss / count, g
 
 
@@ -546,12 +547,18 @@ class _Chunk:
         import pyarrow as pa
 
         self.fold()
-        every = np.concatenate(self.postings)
+        every, self.postings = np.concatenate(self.postings), []
         every.sort()
-        word, doc, times = (every >> np.uint64(24)).astype(np.int64), (every >> np.uint64(8)).astype(np.uint16), every.astype(np.uint8)
-        n = len(self.words)
-        learned = np.bincount(word, times * ~np.array(self.held, bool)[doc], n).astype(np.int64)
-        postings = (np.bincount(word, minlength=n).astype(np.uint32).tobytes(), doc.tobytes(), times.tobytes())
+        times = every.astype(np.uint8)
+        every >>= np.uint64(8)
+        doc = every.astype(np.uint16)
+        every >>= np.uint64(16)
+        # Each word has a posting, so these are the words by their numbers.
+        at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        lengths = np.diff(np.r_[at, len(every)]).astype(np.uint32)
+        del every
+        learned = np.add.reduceat(times * ~np.array(self.held, bool)[doc], at, dtype=np.int64)
+        postings = (lengths.tobytes(), doc.tobytes(), times.tobytes())
         head = pickle.dumps((self.ids, self.held, self.sizes, self.text_of, postings))
         yield _rows_of(chunk, HEAD, [b""], [0], [0], [head])
         for kind, keys, counts in ((WORD, list(self.words), learned), (TEXT, list(self.texts), np.zeros(len(self.texts), np.int64))):
