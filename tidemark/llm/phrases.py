@@ -1,20 +1,26 @@
 """Collocations by top-order marginalisation.
 
-Every word opens one window of up to ``LONGEST`` words of its piece, padded to
-that length; only these longest windows are counted. Spark's ROLLUP over
-language and the word columns then sums the counts of ever shorter prefixes, so
+Every word opens one window of up to ``LONGEST`` words of its piece; only these
+longest windows are counted. They are padded to that length, and Spark's ROLLUP
+over language and the word columns sums the counts of ever shorter prefixes, so
 a phrase of any length has its count without an n-gram table of its own, and
 the language's own row is the number of its words.
 
 A window ends early where no phrase that is frequent enough can reach: a first
 pass counts the hashes of all phrases in ``BUCKETS`` counters a length, and a
-window stops before a phrase whose counter stays below the limit. A counter is
-never less than the count of any of its phrases, so no frequent one is cut; the
-counters have the same size for every input. A window holds its first word
-always, so every word is counted.
-
-Hot keys: tasks send one row for each of their distinct windows, counters stop at
-the limit, and the report is limited for each language before it is shuffled.
+window stops before a phrase whose counter, or that of a phrase inside it, stays
+below the limit. A counter is never less than the count of any of its phrases,
+so no frequent one is cut. A window that stops before its first word is empty
+and still counts for its language.
+
+There are more counters than phrases of a length in some hundred gigabytes of
+text, so they tell rare phrases from frequent ones at any such size. Only the
+counters that a task uses travel, as sorted steps with their counts; only those
+that reach the limit come back, at most one for each ``least`` words.
+
+Hot keys: tasks send each of their distinct windows once, packed with others of the
+same block, counters stop at the limit, and the report is limited for each
+language before it is shuffled.
 """
 
 from __future__ import annotations
@@ -27,17 +33,23 @@ from pyspark.sql import functions as F
 from tidemark.session import cut_lineage
 
 LONGEST = 5
-#: Counters for the n-grams of one length. Only the work depends on it.
-BUCKETS = 1 << 22
-#: Counters that travel as one row.
-BLOCK = 1 << 12
+#: Counters for the n-grams of one length, 2^32 at most. Only the work depends on it.
+BUCKETS = 1 << 32
+#: Ranges of the counters of one length; what a task has in a range travels as one row.
+BLOCKS = 1 << 10
+#: n-grams of one length, and windows, that a task gathers before it sorts and sends them.
+GATHERED, GATHERED_WINDOWS = 6_000_000, 3_000_000
+#: Counts of a range from which on it is added up in an array of all its counters.
+DENSE = 1 << 18
+#: Bits of a worker's table for each counter that reaches the limit, and most bits of it: 64 MB.
+TABLE_BITS, TABLE_MOST = 32, 29
 #: Words of one step of a task, and words that a task remembers between steps.
 STEP, REMEMBERED = 1_000_000, 1_000_000
 PAD = ""
 NO_LANG = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Bytes that no UTF-8 text holds.
-PIECE_END, TEXT_END = b"\xff", b"\xfe"
+PIECE_END, TEXT_END, WORD_END = b"\xff", b"\xfe", b"\xff"
 
 
 def _table() -> bytes:
@@ -47,6 +59,10 @@ def _table() -> bytes:
     return bytes(to)
 
 
+def _bits(buckets: int) -> int:
+    return (buckets - 1).bit_length()
+
+
 class Words(dict):
     """Numbers and hashes of words; 0 and 1 are the ends of a piece and of a text."""
 
@@ -93,118 +109,355 @@ class _Grams:
         place = {x: k for k, x in enumerate(self.names)}
         self.lang = np.array([place[x] for x in langs], np.int64)[np.cumsum(self.ids == 1)]
         self.word = self.ids > 1
-        self.longest, self.shift = longest, np.uint64(64 - (buckets - 1).bit_length())
+        self.longest, self.shift = longest, np.uint64(64 - _bits(buckets))
         self.hash_of = np.array(words.hashes, np.uint64)
         self.seed = np.array([xxh64_intdigest(x.encode()) for x in self.names], np.uint64)
 
     def lengths(self):
-        """For every length from 2 on, where a phrase of it starts and the counter of each start."""
+        """For every length, where a phrase of it starts and the counter of each start."""
         import numpy as np
 
         mine, ok = self.hash_of[self.ids], self.word
         code = self.seed[self.lang] + mine
-        for n in range(2, self.longest + 1):
-            ok = ok[:-1] & self.word[n - 1 :]
-            code = code[:-1] * np.uint64(0x9E3779B97F4A7C15) + mine[n - 1 :]
+        for n in range(1, self.longest + 1):
+            if n > 1:
+                ok = ok[:-1] & self.word[n - 1 :]
+                code = code[:-1] * np.uint64(0x9E3779B97F4A7C15) + mine[n - 1 :]
             mixed = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            yield n, ok, (mixed >> self.shift).astype(np.int64)
+            yield n, ok, (mixed >> self.shift).astype(np.uint32)
 
 
 def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(f"`{text}`").cast("binary").alias("text"))
 
 
+class _Sparse:
+    """Counts of one length by counter as rows ``block, steps, rest``: distances to the counter before, the lowest bytes apart, and counts."""
+
+    def __init__(self, buckets: int, top: int):
+        import numpy as np
+        import pyarrow as pa
+
+        self.width = max(0, _bits(buckets) - _bits(BLOCKS))
+        self.top, self.kind = top, np.dtype(np.uint8 if top <= 0xFF else np.uint16)
+        self.codec = pa.Codec("zstd", compression_level=1)
+
+    def packed(self, n: int, codes) -> Iterator[tuple[int, bytes, bytes]]:
+        import numpy as np
+
+        codes.sort()
+        first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+        counts = np.minimum(np.diff(np.r_[first, len(codes)]), self.top).astype(self.kind)
+        codes = codes[first]
+        block = codes >> np.uint32(self.width)
+        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        steps = np.diff(codes, prepend=np.uint32(0))
+        steps[starts] = codes[starts] - (block[starts] << np.uint32(self.width))
+        low, mid, high = (((steps >> np.uint32(k)) & np.uint32(0xFF)).astype(np.uint8) for k in (0, 8, 16))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(codes)], strict=True):
+            rest = counts[a:b].tobytes() + high[a:b].tobytes() + mid[a:b].tobytes()
+            yield (n - 1) * BLOCKS + int(block[a]), low[a:b].tobytes(), self.codec.compress(rest, asbytes=True)
+
+    def unpacked(self, low: bytes, rest: bytes):
+        """Counters within the block, each once and in order, and their counts."""
+        import numpy as np
+
+        n, size = len(low), self.kind.itemsize
+        plain = self.codec.decompress(rest, n * (size + 2), asbytes=True)
+        steps = np.frombuffer(low, np.uint8).astype(np.uint32)
+        for k, shift in ((1, 8), (0, 16)):
+            steps |= np.frombuffer(plain, np.uint8, n, n * (size + k)).astype(np.uint32) << np.uint32(shift)
+        return np.cumsum(steps, dtype=np.uint32), np.frombuffer(plain, self.kind, n).astype(np.int32)
+
+
+class _Block:
+    """Sums of one block: an array of all its counters once it has many counts."""
+
+    def __init__(self, sparse: _Sparse):
+        self.sparse, self.parts, self.held, self.sums = sparse, [], 0, None
+
+    def add(self, at, counts) -> None:
+        import numpy as np
+
+        if self.sums is not None:
+            self.sums[at] = np.minimum(self.sums[at] + counts, self.sparse.top)
+            return
+        self.parts.append((at, counts))
+        self.held += len(at)
+        if self.held > DENSE:
+            self.sums, parts, self.parts = np.zeros(1 << self.sparse.width, np.int32), self.parts, []
+            for part in parts:
+                self.add(*part)
+
+    def reached(self):
+        """The counters that come to the limit, in order."""
+        import numpy as np
+
+        if self.sums is not None:
+            return np.flatnonzero(self.sums >= self.sparse.top).astype(np.uint32)
+        at, counts = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1))
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        return at[first][np.add.reduceat(counts[order].astype(np.int64), first) >= self.sparse.top]
+
+
 def reachable(texts: DataFrame, least: int, longest: int = LONGEST, buckets: int = BUCKETS) -> list[bytes]:
-    """For every length from 2 on, one bit a counter: whether its phrases come to ``least`` or more together.
+    """For every length, the sorted counters whose phrases come to ``least`` or more together, as 32-bit numbers.
 
-    The result has a fixed size. Tasks cut their counters at ``least``, which changes no bit.
+    At most one counter for each ``least`` words is returned. Tasks cut their counts at ``least``, which changes no counter's answer.
     """
     import numpy as np
     import pyarrow as pa
 
-    # A limit beyond the width of a counter only lets more phrases pass.
+    # A limit beyond the width of a count only lets more phrases pass.
     table, top = _table(), min(least, 0xFFFF)
-    kind = np.uint8 if top <= 0xFF else np.uint16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sums = Words(), np.zeros((longest - 1, buckets), np.int32)
+        words, sparse, gathered, held = Words(), _Sparse(buckets, top), [[] for _ in range(longest)], 0
         for langs, step in _steps(batches, table):
             if len(words) > REMEMBERED:
                 words = Words()
-            for n, ok, at in _Grams(words, langs, step, longest, buckets).lengths():
-                sums[n - 2] += np.bincount(at[ok], minlength=buckets).astype(np.int32)
-        yield from rows_of(sums)
-
-    def rows_of(sums) -> Iterator[pa.RecordBatch]:
-        parts = np.minimum(sums, top).astype(kind).reshape(-1, BLOCK)
-        used = np.flatnonzero(parts.any(axis=1))
-        for at in range(0, len(used), 512):
-            some = used[at : at + 512]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())], ["block", "counts"])
+            grams = _Grams(words, langs, step, longest, buckets)
+            for n, ok, code in grams.lengths():
+                gathered[n - 1].append(code[ok])
+            held += len(grams.ids)
+            del grams
+            if held > GATHERED:
+                yield from rows_of(sparse, gathered)
+                held = 0
+        yield from rows_of(sparse, gathered)
+
+    def rows_of(sparse: _Sparse, gathered: list[list]) -> Iterator[pa.RecordBatch]:
+        for n, parts in enumerate(gathered, 1):
+            codes = np.concatenate(parts) if parts else ()
+            parts.clear()
+            if len(codes):
+                block, steps, rest = zip(*sparse.packed(n, codes), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(steps, pa.binary()), pa.array(rest, pa.binary())], ["block", "steps", "rest"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        sparse, now, sums = _Sparse(buckets, top), None, None
         for b in batches:
-            for k, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                have = sums.setdefault(k, np.zeros(BLOCK, np.int64))
-                have += np.frombuffer(part, kind)
-        if sums:
-            made = [np.packbits(sums[k] >= top).tobytes() for k in sums]
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(made, pa.binary())], ["block", "bits"])
+            for block, steps, rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if block != now:
+                    yield from reached(now, sums)
+                    now, sums = block, _Block(sparse)
+                sums.add(*sparse.unpacked(steps, rest))
+        yield from reached(now, sums)
+
+    def reached(block: int | None, sums: _Block | None) -> Iterator[pa.RecordBatch]:
+        if block is not None and len(at := sums.reached()):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([at.tobytes()], pa.binary())], ["block", "counters"])
+
+    sent = texts.mapInArrow(count, "block int, steps binary, rest binary")
+    summed = sent.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counters binary")
+    found = {r.block: bytes(r.counters) for r in summed.collect()}
+    width = _Sparse(buckets, top).width
+    whole = lambda k: (np.frombuffer(found[k], np.uint32) + np.uint32((k % BLOCKS) << width)).tobytes()
+    return [b"".join(whole(k) for k in range(n * BLOCKS, (n + 1) * BLOCKS) if k in found) for n in range(longest)]
+
+
+class _Open:
+    """Whether a counter is among those given; a few others may pass."""
+
+    def __init__(self, counters: bytes, buckets: int):
+        import numpy as np
+
+        at = np.frombuffer(counters, np.uint32)
+        size = min(_bits(buckets), max(16, min(TABLE_MOST, (TABLE_BITS * len(at)).bit_length())))
+        self.shift = np.uint32(_bits(buckets) - size)
+        at = at >> self.shift
+        self.table = np.zeros((1 << size) // 8 + 1, np.uint8)
+        np.bitwise_or.at(self.table, at >> np.uint32(3), np.uint8(1) << (at & np.uint32(7)).astype(np.uint8))
+
+    def __call__(self, codes):
+        import numpy as np
+
+        at = codes >> self.shift
+        return (self.table[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
+def _sorted(columns: list, widths: list[int]):
+    """The order that brings equal rows together, and where in it each kind begins; a column is below two to its width."""
+    import numpy as np
+
+    keys, room = [], 0
+    for c, width in zip(columns, widths, strict=True):
+        if width > room:
+            keys.append(c.astype(np.uint64))
+            room = 64 - width
+        else:
+            keys[-1] = keys[-1] << np.uint64(width) | c.astype(np.uint64)
+            room -= width
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        k = k[order]
+        new[1:] |= k[1:] != k[:-1]
+    return order, np.flatnonzero(new)
+
+
+def _planes(numbers) -> bytes:
+    """32-bit numbers, their lowest bytes first."""
+    import numpy as np
+
+    return np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
 
-    summed = texts.mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, bits binary")
-    found = {r.block: bytes(r.bits) for r in summed.collect()}  # (longest - 1) * buckets bits at most
-    empty, blocks = bytes(BLOCK // 8), buckets // BLOCK
-    return [b"".join(found.get(n * blocks + k, empty) for k in range(blocks)) for n in range(longest - 1)]
 
+def _from_planes(planes: bytes, n: int, at: int):
+    import numpy as np
+
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8, 4 * n, at).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+class _Windows:
+    """The distinct windows of a task and their counts, by length; sent as rows ``block, size, packed``."""
+
+    def __init__(self, words: Words, longest: int):
+        import pyarrow as pa
+
+        self.words, self.names = words, {}
+        self.parts: list[list] = [[] for _ in range(longest + 1)]
+        self.held = 0
+        self.codec = pa.Codec("zstd", compression_level=1)
+
+    def add(self, grams: _Grams, length, block) -> None:
+        """One window for each word of a step: how many words it has, and its block."""
+        import numpy as np
 
-def windows(texts: DataFrame, bits: list[bytes], longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
-    """``lang, w1 .. w<longest>, n``: the longest windows, padded, with their counts, one row for each step of a task."""
+        lang = np.array([self.names.setdefault(x, len(self.names)) for x in grams.names], np.int32)[grams.lang]
+        for n, parts in enumerate(self.parts):
+            at = np.flatnonzero(grams.word & (length == n))
+            if len(at):
+                columns = [lang[at], *(grams.ids[at + k].astype(np.int32) for k in range(n))]
+                order, first = self._order(columns)
+                some = order[first]
+                parts.append([np.diff(np.r_[first, len(order)]), block[at[some]], *(c[some] for c in columns)])
+                self.held += len(some)
+
+    def _order(self, columns: list):
+        return _sorted(columns, [len(self.names).bit_length(), *[len(self.words).bit_length()] * (len(columns) - 1)])
+
+    def rows(self):
+        """What was added so far as record batches."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        names = pa.array([x.encode() for x in self.names], pa.binary())
+        for parts in self.parts:
+            if not parts:
+                continue
+            counts, block, *columns = (np.concatenate(c) for c in zip(*parts, strict=True))
+            parts.clear()
+            order, first = self._order(columns)
+            counts, some = np.add.reduceat(counts[order], first), order[first]
+            by = np.argsort(block[some], kind="stable")
+            counts, some = counts[by], some[by]
+            block = block[some]
+            used = np.zeros(len(self.words), bool)
+            for c in columns[1:]:
+                used[c] = True
+            spelled, number = pa.array([self.words.words[k] for k in np.flatnonzero(used)], pa.binary()), np.cumsum(used) - 1
+            starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            # Blocks that are spelled out at once: up to some 50,000 windows and one block.
+            for some_starts in np.split(starts, np.flatnonzero(np.diff(starts // 50_000)) + 1):
+                begin = int(some_starts[0])
+                end = int(np.append(starts, len(block))[np.searchsorted(starts, some_starts[-1]) + 1])
+                mine = some[begin:end]
+                made = [names.take(pa.array(columns[0][mine])), *(spelled.take(pa.array(number[c[mine]])) for c in columns[1:])]
+                keys = pc.binary_join_element_wise(*made, WORD_END).to_pylist()
+                yield self._packed(keys, counts[begin:end], block[begin:end], (some_starts - begin).tolist())
+        self.held = 0
+
+    def _packed(self, keys: list[bytes], counts, block, starts: list[int]):
+        import numpy as np
+        import pyarrow as pa
+
+        packed = []
+        for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
+            plain = b"".join([_planes(counts[a:b]), _planes(np.fromiter(map(len, keys[a:b]), np.int64, b - a)), *keys[a:b]])
+            packed.append((int(block[a]), b - a, len(plain), self.codec.compress(plain, asbytes=True)))
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*packed, strict=True), kinds, strict=True)], ["block", "n", "size", "packed"])
+
+
+def windows(texts: DataFrame, counters: list[bytes], longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
+    """``lang, words, n``: the distinct longest windows with their counts."""
     import pyarrow as pa
 
     table = _table()
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
-    columns = [f"w{n}" for n in range(1, longest + 1)]
+    shared = texts.sparkSession.sparkContext.broadcast(counters)
+    width = max(0, _bits(buckets) - _bits(BLOCKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        open_ = [np.unpackbits(np.frombuffer(b, np.uint8)).astype(bool) for b in shared.value]
+        open_ = [_Open(b, buckets) for b in shared.value]
         words = Words()
+        found = _Windows(words, longest)
         for langs, step in _steps(batches, table):
             if len(words) > REMEMBERED:
+                yield from found.rows()
                 words = Words()
+                found = _Windows(words, longest)
             grams = _Grams(words, langs, step, longest, buckets)
-            ids = grams.ids
-            rows = np.zeros((len(ids), longest + 1), np.int64)
-            rows[:, 0], rows[:, longest] = ids, grams.lang
-            goes_on = grams.word
-            for n, ok, at in grams.lengths():
-                goes_on = goes_on[: len(ok)] & ok & open_[n - 2][at]
-                rows[: len(ok), n - 1] = np.where(goes_on, ids[n - 1 :], 0)
-            rows = rows[grams.word]
-            if not len(rows):
-                continue
-            order = np.lexsort(rows.T[::-1])
-            rows = rows[order]
-            first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
-            n = np.diff(np.r_[first, len(rows)])
-            rows = rows[first]
-            # Padding is word 0, which shows as the empty text here.
-            spelled = pa.array([b"", b"", *words.words[2:]], pa.binary())
-            for at in range(0, len(rows), 50_000):
-                part = rows[at : at + 50_000]
-                made = [spelled.take(pa.array(part[:, k])).cast(pa.string()) for k in range(longest)]
-                yield pa.RecordBatch.from_arrays([pa.array(grams.names).take(pa.array(part[:, longest])), *made, pa.array(n[at : at + 50_000])], ["lang", *columns, "n"])
+            length, block, goes_on = np.zeros(len(grams.ids), np.int8), np.zeros(len(grams.ids), np.int16), None
+            for n, ok, code in grams.lengths():
+                may = np.flatnonzero(ok if goes_on is None else ok & goes_on[:-1] & goes_on[1:])
+                may = may[open_[n - 1](code[may])]
+                goes_on = np.zeros(len(ok), bool)
+                goes_on[may] = True
+                length[may], block[may] = n, code[may] >> np.uint32(width)
+            found.add(grams, length, block)
+            if found.held > GATHERED_WINDOWS:
+                yield from found.rows()
+        yield from found.rows()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow.compute as pc
 
-    return texts.mapInArrow(run, ", ".join(["lang string", *(f"{c} string" for c in columns), "n bigint"]))
+        def summed(parts: list[pa.Table]) -> pa.Table:
+            whole = pa.concat_tables(parts).group_by("key", use_threads=False).aggregate([("n", "sum")])
+            return pa.table({"key": whole["key"], "n": whole["n_sum"]})
+
+        def rows(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+            for b in summed(parts).to_batches(max_chunksize=50_000):
+                split = pc.split_pattern(b.column("key"), WORD_END)
+                words = pc.list_slice(split, 1).cast(pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([pc.list_element(split, 0).cast(pa.string()), words, b.column("n")], ["lang", "words", "n"])
+
+        codec, now, parts, held, kept = pa.Codec("zstd"), None, [], 0, 0
+        for b in batches:
+            for block, n, size, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if block != now:
+                    if parts:
+                        yield from rows(parts)
+                    now, parts, held, kept = block, [], 0, 0
+                plain = codec.decompress(packed, size, asbytes=True)
+                ends = np.zeros(n + 1, np.int32)
+                np.cumsum(_from_planes(plain, n, 4 * n), out=ends[1:])
+                keys = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(plain[8 * n :])])
+                parts.append(pa.table({"key": keys, "n": pa.array(_from_planes(plain, n, 0).astype(np.int64))}))
+                held += n
+                if held > 2 * kept + DENSE:
+                    parts = [summed(parts)]
+                    held = kept = len(parts[0])
+        if parts:
+            yield from rows(parts)
+
+    sent = texts.mapInArrow(run, "block int, n int, size int, packed binary")
+    return sent.repartition("block").sortWithinPartitions("block").mapInArrow(add, "lang string, words array<string>, n bigint")
 
 
 def marginals(counted: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
     """``lang, words, f``: languages (no words) and phrases that occur ``least`` times or more, from one ROLLUP."""
     columns = [f"w{n}" for n in range(1, longest + 1)]
-    whole = counted.groupBy("lang", *columns).agg(F.sum("n").alias("n"))
-    summed = whole.rollup("lang", *columns).agg(F.sum("n").alias("f"))
+    padded = counted.select("lang", *(F.coalesce(F.get("words", F.lit(k)), F.lit(PAD)).alias(c) for k, c in enumerate(columns)), "n")
+    summed = padded.rollup("lang", *columns).agg(F.sum("n").alias("f"))
     words = F.filter(F.array(*columns), lambda x: x.isNotNull())
     kept = summed.where("lang is not null").select("lang", words.alias("words"), "f")
     return kept.where((F.size("words") == 0) | ((F.col("f") >= least) & ~F.array_contains("words", PAD)))
